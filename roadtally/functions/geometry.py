@@ -28,10 +28,20 @@ def crosses_right(edge: Column, x: Column, y: Column) -> Column:
     return spans & F.coalesce(x < at, F.lit(False))
 
 
+def on_edge(edge: Column, x: Column, y: Column) -> Column:
+    turn = (edge.x2 - edge.x1) * (y - edge.y1) - (edge.y2 - edge.y1) * (x - edge.x1)
+    between_x = x.between(F.least(edge.x1, edge.x2), F.greatest(edge.x1, edge.x2))
+    between_y = y.between(F.least(edge.y1, edge.y2), F.greatest(edge.y1, edge.y2))
+    return (turn == 0) & between_x & between_y
+
+
 def inside(edges: Column, x: Column, y: Column) -> Column:
-    """Even-odd rule over all rings' edges, so holes and parts need no case of their own."""
+    """Strictly inside, by the even-odd rule over all rings' edges.
+
+    Holes and parts need no case of their own; a point on an edge is outside.
+    """
     hits = F.aggregate(edges, F.lit(0), lambda n, e: n + crosses_right(e, x, y).cast("int"))
-    return hits % 2 == 1
+    return (hits % 2 == 1) & ~F.exists(edges, lambda e: on_edge(e, x, y))
 
 
 def segment_distance2(edge: Column, x: Column, y: Column) -> Column:

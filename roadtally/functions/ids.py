@@ -10,20 +10,16 @@ from pyspark.sql import functions as F
 from roadtally.functions.text import col_of
 
 LEGACY_DIGITS = 7
+# Place of the digit that holds a UUID's variant.
+VARIANT_AT = 20
 
 
 def name_uuid(c: Column | str, namespace: uuid.UUID = uuid.NAMESPACE_DNS) -> Column:
     """Version-5 UUID of a text, computed in the JVM."""
     digest = F.sha1(F.concat(F.unhex(F.lit(namespace.hex)), F.encode(col_of(c), "UTF-8")))
-    variant = F.lower(F.hex((F.conv(F.substring(digest, 17, 1), 16, 10).cast("int") % 4 + 8).cast("bigint")))
-    return F.concat_ws(
-        "-",
-        F.substring(digest, 1, 8),
-        F.substring(digest, 9, 4),
-        F.concat(F.lit("5"), F.substring(digest, 14, 3)),
-        F.concat(variant, F.substring(digest, 18, 3)),
-        F.substring(digest, 21, 12),
-    )
+    grouped = F.regexp_replace(digest, "^(.{8})(.{4}).(.{3})(.{4})(.{12}).*$", "$1-$2-5$3-$4-$5")
+    variant = F.translate(F.substring(grouped, VARIANT_AT, 1), "0123456789abcdef", "89ab89ab89ab89ab")
+    return F.overlay(grouped, variant, VARIANT_AT)
 
 
 def legacy_uuid(c: Column | str) -> Column:

@@ -8,13 +8,7 @@ from pyspark.sql import functions as F
 from roadtally.functions.text import col_of, strip
 
 # The accepted spellings of a date joined to a time.
-DATETIME_FORMATS = (
-    "M/d/yyyy H:mm",
-    "M/d/yyyy H:mm:ss",
-    "yyyy-MM-dd H:mm",
-    "yyyy-MM-dd H:mm:ss",
-    "yyyy-MM-dd'T'HH:mm:ss.SSS H:mm",
-)
+DATETIME_FORMATS = ("M/d/yyyy H:mm[:ss]", "yyyy-MM-dd H:mm[:ss]", "yyyy-MM-dd'T'HH:mm:ss[.SSS] H:mm[:ss]")
 
 # Weekday order of the charts.
 WEEKDAYS = ("Monday", "Tuesday", "Wednesday", "Thursday", "Friday", "Saturday", "Sunday")

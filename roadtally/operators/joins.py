@@ -203,9 +203,13 @@ def unmapped(df: DataFrame, c: str, known: list[str]) -> DataFrame:
 
 
 def with_group_size(df: DataFrame, key: str, name: str = "group_size") -> DataFrame:
-    """Attach the number of rows with the same key; a null key has none."""
+    """Attach the number of rows with the same key; a null key has none.
+
+    There may be as many keys as rows, so the sizes are joined, not sent around;
+    AQE still broadcasts them when they turn out small.
+    """
     sizes = df.where(F.col(quoted(key)).isNotNull()).groupBy(quoted(key)).agg(F.count(F.lit(1)).alias(name))
-    return lookup_join(df, sizes, key)
+    return spread_join(df, sizes, key)
 
 
 def min_max_scale(df: DataFrame, c: str, name: str, lo: float = 5, span: float = 30) -> DataFrame:

@@ -80,10 +80,13 @@ def fix_ids(df: DataFrame) -> DataFrame:
 
 
 def fix_young_positions(df: DataFrame) -> DataFrame:
-    """Seats that a small child cannot have become unknown."""
-    out = put(df, "position_in_vehicle", is_("person_type", OCCUPANT) & younger(3) & is_("position_in_vehicle", *UNLIKELY_INFANT), UNKNOWN)
-    out = put(out, "position_in_vehicle", is_("person_type", OCCUPANT) & younger(12) & is_("position_in_vehicle", DRIVER), UNKNOWN)
-    return put(out, "position_in_vehicle", is_("person_type", BICYCLIST) & younger(3) & is_("position_in_vehicle", DRIVER), UNKNOWN)
+    """Seats that a small child cannot have become unknown (which no later age rule changes)."""
+    misplaced = (
+        (is_("person_type", OCCUPANT) & younger(3) & is_("position_in_vehicle", *UNLIKELY_INFANT))
+        | (is_("person_type", OCCUPANT) & younger(12) & is_("position_in_vehicle", DRIVER))
+        | (is_("person_type", BICYCLIST) & younger(3) & is_("position_in_vehicle", DRIVER))
+    )
+    return put(df, "position_in_vehicle", misplaced, UNKNOWN)
 
 
 def fix_pedestrian(df: DataFrame, drop_details: bool = True) -> DataFrame:
@@ -95,11 +98,16 @@ def fix_pedestrian(df: DataFrame, drop_details: bool = True) -> DataFrame:
 
 
 def fix_type_positions(df: DataFrame) -> DataFrame:
-    """Seats that do not fit the person type."""
-    out = put(df, "position_in_vehicle", is_("person_type", PEDESTRIAN), NA)
-    out = put(out, "position_in_vehicle", is_("person_type", BICYCLIST) & is_("position_in_vehicle", *UNLIKELY_BICYCLIST), NA)
-    out = put(out, "position_in_vehicle", is_("person_type", OCCUPANT) & is_("position_in_vehicle", *UNLIKELY_OCCUPANT), UNKNOWN)
-    return put(out, "position_in_vehicle", is_("person_type", OTHER_MOTORIZED) & is_("position_in_vehicle", *UNLIKELY_MOTORIZED), UNKNOWN)
+    """Seats that do not fit the person type; a row has one type, so one rule at most applies."""
+    seat = F.col("position_in_vehicle")
+    fixed = (
+        F.when(is_("person_type", PEDESTRIAN), NA)
+        .when(is_("person_type", BICYCLIST) & seat.isin(*UNLIKELY_BICYCLIST), NA)
+        .when(is_("person_type", OCCUPANT) & seat.isin(*UNLIKELY_OCCUPANT), UNKNOWN)
+        .when(is_("person_type", OTHER_MOTORIZED) & seat.isin(*UNLIKELY_MOTORIZED), UNKNOWN)
+        .otherwise(seat)
+    )
+    return df.withColumn("position_in_vehicle", fixed)
 
 
 def fix_positions(df: DataFrame) -> DataFrame:
@@ -109,8 +117,13 @@ def fix_positions(df: DataFrame) -> DataFrame:
 
 def fix_ejection(df: DataFrame) -> DataFrame:
     """Ejection by person type, then injury and emotional status that follow from it."""
-    out = put(df, "ejection", is_("person_type", BICYCLIST, OTHER_MOTORIZED, PEDESTRIAN), NA)
-    out = put(out, "ejection", is_("person_type", OCCUPANT) & is_("ejection", NA), UNKNOWN)
+    ejection = F.col("ejection")
+    by_type = (
+        F.when(is_("person_type", BICYCLIST, OTHER_MOTORIZED, PEDESTRIAN), NA)
+        .when(is_("person_type", OCCUPANT) & (ejection == NA), UNKNOWN)
+        .otherwise(ejection)
+    )
+    out = df.withColumn("ejection", by_type)
     out = put(out, "person_injury", is_("ejection", "Ejected") & is_not("person_injury", "Killed"), "Injured")
     out = put(out, "emotional_status", is_("person_injury", "Killed"), "Apparent Death")
     fatal = is_("ejection", "Ejected") & is_("bodily_injury", "Head") & is_("emotional_status", "Unconscious")
@@ -120,8 +133,8 @@ def fix_ejection(df: DataFrame) -> DataFrame:
 def fix_equipment(df: DataFrame) -> DataFrame:
     """Equipment that does not fit the role. The last rule is kept although nothing matches it."""
     skater = is_("ped_role", "In-Line Skater")
-    out = put(df, "safety_equipment", is_("ped_role", PEDESTRIAN), UNKNOWN)
-    out = put(out, "safety_equipment", skater & is_("safety_equipment", *UNLIKELY_SKATER_EQUIPMENT), UNKNOWN)
+    unfit = is_("ped_role", PEDESTRIAN) | (skater & is_("safety_equipment", *UNLIKELY_SKATER_EQUIPMENT))
+    out = put(df, "safety_equipment", unfit, UNKNOWN)
     return put(out, "position_in_vehicle", skater & is_("safety_equipment", "In-Line Skater"), DRIVER)
 
 

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from importlib import import_module
 
-TOPICS = ("places", "people", "measures")
+TOPICS = ("places", "people", "measures", "cleaning", "derived")
 
 
 def all_queries() -> dict:

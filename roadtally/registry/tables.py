@@ -138,17 +138,24 @@ def _sql_form(expr: str, ts: str, key: str) -> str:
 
 
 def _view(cols, source, ts, key):
+    exprs = [f"{_spark_form(e, ts, key)} AS {n}" for n, e in cols]
+
     def read(spark: SparkSession, sf: str) -> DataFrame:
-        return table(spark, sf, source).selectExpr(*[f"{_spark_form(e, ts, key)} AS {n}" for n, e in cols])
+        return table(spark, sf, source).selectExpr(*exprs)
+
+    def stream(spark: SparkSession, sf: str) -> DataFrame:
+        schema = table(spark, sf, source).schema
+        files = spark.readStream.schema(schema).option("pathGlobFilter", f"{source}.parquet").parquet(sf)
+        return files.selectExpr(*exprs)
 
     sql = "SELECT " + ", ".join(f"{_sql_form(e, ts, key)} AS {n}" for n, e in cols) + f" FROM {source}"
-    return read, sql
+    return read, stream, sql
 
 
-incidents, INCIDENTS_SQL = _view(_INCIDENTS, "orders", "o_orderdate", "o_orderkey")
-persons, PERSONS_SQL = _view(_PERSONS, "events", "ts", "event_id")
-raw_crashes, RAW_CRASHES_SQL = _view(_RAW_CRASHES, "orders", "o_orderdate", "o_orderkey")
-raw_persons, RAW_PERSONS_SQL = _view(_RAW_PERSONS, "events", "ts", "event_id")
+incidents, incidents_stream, INCIDENTS_SQL = _view(_INCIDENTS, "orders", "o_orderdate", "o_orderkey")
+persons, persons_stream, PERSONS_SQL = _view(_PERSONS, "events", "ts", "event_id")
+raw_crashes, raw_crashes_stream, RAW_CRASHES_SQL = _view(_RAW_CRASHES, "orders", "o_orderdate", "o_orderkey")
+raw_persons, raw_persons_stream, RAW_PERSONS_SQL = _view(_RAW_PERSONS, "events", "ts", "event_id")
 
 
 def merged(spark: SparkSession, sf: str) -> DataFrame:

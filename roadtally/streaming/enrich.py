@@ -7,9 +7,9 @@ from pyspark.sql import DataFrame
 from roadtally.plans.crashes import fill_coordinates
 
 
-def enrich_batch(batch: DataFrame, batch_id: int, geocodes: DataFrame, folder: str, order: str = "batch") -> None:
+def enrich_batch(batch: DataFrame, batch_id: int, geocodes: DataFrame, folder: str, order: str = "batch", row_id: str | None = None) -> None:
     """Fill one batch's coordinates from the lookup; a repeated batch overwrites its own folder."""
-    filled = fill_coordinates(batch, geocodes, order)
+    filled = fill_coordinates(batch, geocodes, order, row_id=row_id)
     filled.write.mode("overwrite").parquet(f"{folder}/batch_id={batch_id}")
 
 
@@ -19,11 +19,12 @@ def enrich_stream(
     folder: str,
     checkpoint: str,
     order: str = "batch",
+    row_id: str | None = None,
     timeout_s: int | None = None,
 ) -> None:
     """Enrich the files that arrived since the last call; the checkpoint remembers the progress."""
     query = (
-        stream.writeStream.foreachBatch(lambda df, i: enrich_batch(df, i, geocodes, folder, order))
+        stream.writeStream.foreachBatch(lambda df, i: enrich_batch(df, i, geocodes, folder, order, row_id))
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
         .start()
