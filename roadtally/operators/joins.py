@@ -89,8 +89,8 @@ def lookup_join(
     The lookup is computed once. Up to `max_rows` rows it is broadcast as a
     local table; a larger one is joined by `spread_join`.
     """
-    rows = lookup.take(max_rows + 1)
-    if len(rows) > max_rows:
+    rows = lookup.limit(max_rows + 1).toArrow()
+    if rows.num_rows > max_rows:
         return spread_join(df, lookup, key, how)
     small = df.sparkSession.createDataFrame(rows, lookup.schema)
     return df.join(F.broadcast(small), key, how)

@@ -8,13 +8,18 @@ the edges of its own cell, by an equi-join on the cell's number.
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+from functools import cached_property
+
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.storagelevel import StorageLevel
 
 from roadtally.functions.geometry import inside, mercator_x, mercator_y, min_distance2, ring_edges
 from roadtally.functions.text import col_of
 from roadtally.operators.columns import quoted
-from roadtally.operators.joins import lookup_join
+from roadtally.operators.joins import MAX_BROADCAST_ROWS, spread_join
 
 # Largest number of indexed edges that is sent to every executor.
 MAX_BROADCAST_EDGES = 2_000_000
@@ -90,46 +95,92 @@ def _grid_size(edges: DataFrame, cells_across: int) -> float:
     return max(box["x1"] - box["x0"], box["y1"] - box["y0"], 1e-9) / cells_across
 
 
-def _with_shapes(points: DataFrame, index: DataFrame, x: Column, y: Column, size: float, max_edges: int, only: Column | None) -> DataFrame:
+@dataclass(frozen=True)
+class CellIndex:
+    """Shapes by cell. A small index is held as a local table, a large one stays a plan."""
+
+    table: DataFrame
+    size: float
+    small: bool
+
+
+def _settle(index: DataFrame, size: float, max_edges: int, max_cells: int) -> CellIndex:
+    """Check the index's size; fetch it if it is small enough to be broadcast."""
+    cell = F.concat(F.col("cx").cast("string"), F.lit(","), F.col("cy").cast("string"))
+    keyed = index.select(cell.alias("_cell"), "shapes")
+    kept = keyed.persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        edges = F.aggregate("shapes", F.lit(0), lambda n, s: n + F.size(s.edges))
+        total = kept.agg(F.coalesce(F.sum(edges), F.lit(0)).alias("edges"), F.count(F.lit(1)).alias("cells")).first()
+        if total["edges"] > max_edges or total["cells"] > max_cells:
+            return CellIndex(keyed, size, False)
+        return CellIndex(index.sparkSession.createDataFrame(kept.toArrow(), keyed.schema), size, True)
+    finally:
+        kept.unpersist()
+
+
+class Layer:
+    """A polygon layer with its cell indexes, each built once on first use."""
+
+    def __init__(self, polygons: DataFrame, cells_across: int = 64, max_edges: int = MAX_BROADCAST_EDGES, max_cells: int = MAX_BROADCAST_ROWS):
+        self.polygons = polygons
+        self.cells_across = cells_across
+        self.limits = (max_edges, max_cells)
+        self._near: dict[float, CellIndex] = {}
+
+    @cached_property
+    def within(self) -> CellIndex:
+        edges = polygon_edges(self.polygons)
+        size = _grid_size(edges, self.cells_across)
+        return _settle(cell_index(edges, size), size, *self.limits)
+
+    def near(self, reach: float) -> CellIndex:
+        if reach not in self._near:
+            edges = polygon_edges(self.polygons, projected=True)
+            size = max(reach, _grid_size(edges, 4096))
+            self._near[reach] = _settle(near_index(edges, size, reach), size, *self.limits)
+        return self._near[reach]
+
+
+def as_layer(polygons: DataFrame | Layer) -> Layer:
+    return polygons if isinstance(polygons, Layer) else Layer(polygons)
+
+
+def _with_shapes(points: DataFrame, index: CellIndex, x: Column, y: Column, only: Column | None) -> DataFrame:
     """Attach the shapes of each point's cell. The index has one row per cell, so rows stay as many.
 
     A point without coordinates, or outside `only`, has no cell and meets nothing.
     """
     placed = points.withColumns({"_x": x, "_y": y})
-    cell = F.concat(_cell("_x", size).cast("string"), F.lit(","), _cell("_y", size).cast("string"))
+    cell = F.concat(_cell("_x", index.size).cast("string"), F.lit(","), _cell("_y", index.size).cast("string"))
     placed = placed.withColumn("_cell", cell if only is None else F.when(only, cell))
-    keyed = index.select(F.concat_ws(",", "cx", "cy").alias("_cell"), "shapes")
-    edges = keyed.agg(F.coalesce(F.sum(F.aggregate("shapes", F.lit(0), lambda n, s: n + F.size(s.edges))), F.lit(0)).alias("n")).first()["n"]
-    return lookup_join(placed, keyed, "_cell") if edges <= max_edges else lookup_join(placed, keyed, "_cell", max_rows=0)
+    if index.small:
+        return placed.join(F.broadcast(index.table), "_cell", "left")
+    return spread_join(placed, index.table, "_cell", "left")
 
 
 def point_in_polygon(
     points: DataFrame,
-    polygons: DataFrame,
+    polygons: DataFrame | Layer,
     out: str = "polygon",
     lat: str = "latitude",
     lon: str = "longitude",
-    cells_across: int = 64,
-    max_edges: int = MAX_BROADCAST_EDGES,
     only: Column | None = None,
 ) -> DataFrame:
     """Add the first polygon (by `place`, else by name) that contains each point, else null."""
-    edges = polygon_edges(polygons)
-    size = _grid_size(edges, cells_across)
     x, y = F.col(quoted(lon)).cast("double"), F.col(quoted(lat)).cast("double")
-    joined = _with_shapes(points, cell_index(edges, size), x, y, size, max_edges, only)
+    joined = _with_shapes(points, as_layer(polygons).within, x, y, only)
     holding = F.filter("shapes", lambda s: inside(s.edges, F.col("_x"), F.col("_y")))
     return joined.withColumn(out, F.try_element_at(holding, F.lit(1))["name"]).select(*[quoted(c) for c in points.columns], out)
 
 
 def nearest_polygon(
     points: DataFrame,
-    polygons: DataFrame,
+    polygons: DataFrame | Layer,
     out: str = "polygon",
     max_m: float = 2000.0,
     lat: str = "latitude",
     lon: str = "longitude",
-    max_edges: int = MAX_BROADCAST_EDGES,
     distance: str | None = None,
     only: Column | None = None,
 ) -> DataFrame:
@@ -138,10 +189,8 @@ def nearest_polygon(
     The nearest edge decides, ties go to the first polygon. Points are expected
     to lie outside all polygons; `locate` takes those inside first.
     """
-    edges = polygon_edges(polygons, projected=True)
-    size = max(max_m, _grid_size(edges, 4096))
     x, y = mercator_x(quoted(lon)), mercator_y(quoted(lat))
-    joined = _with_shapes(points, near_index(edges, size, max_m), x, y, size, max_edges, only)
+    joined = _with_shapes(points, as_layer(polygons).near(max_m), x, y, only)
     ranked = F.transform(
         "shapes",
         lambda s: F.struct(min_distance2(s.edges, F.col("_x"), F.col("_y")).alias("d2"), s.place.alias("place"), s["name"].alias("name")),
@@ -152,17 +201,20 @@ def nearest_polygon(
     return joined.withColumns(cols).select(*[quoted(c) for c in points.columns], *cols)
 
 
-def locate(points: DataFrame, polygons: DataFrame, out: str, max_m: float = 2000.0, lat: str = "latitude", lon: str = "longitude") -> DataFrame:
+def locate(
+    points: DataFrame, polygons: DataFrame | Layer, out: str, max_m: float = 2000.0, lat: str = "latitude", lon: str = "longitude"
+) -> DataFrame:
     """Containing polygon, else the nearest one within `max_m`, else null.
 
     Only the points that no polygon contains go through the distance step.
     """
-    placed = point_in_polygon(points, polygons, "_within", lat, lon)
-    near = nearest_polygon(placed, polygons, "_near", max_m, lat, lon, only=F.col("_within").isNull())
+    layer = as_layer(polygons)
+    placed = point_in_polygon(points, layer, "_within", lat, lon)
+    near = nearest_polygon(placed, layer, "_near", max_m, lat, lon, only=F.col("_within").isNull())
     return near.withColumn(out, F.coalesce("_within", "_near")).drop("_within", "_near")
 
 
-def fill_place(points: DataFrame, polygons: DataFrame, c: str, lat: str = "latitude", lon: str = "longitude") -> DataFrame:
+def fill_place(points: DataFrame, polygons: DataFrame | Layer, c: str, lat: str = "latitude", lon: str = "longitude") -> DataFrame:
     """Fill a missing place name from the polygon that contains the point."""
     found = point_in_polygon(points, polygons, "_place_name", lat, lon, only=F.col(quoted(c)).isNull())
     return found.withColumn(c, F.coalesce(F.col(quoted(c)), F.col("_place_name"))).drop("_place_name")
@@ -175,5 +227,7 @@ def rectangle(name: str, west: float, south: float, east: float, north: float) -
 
 def polygon_table(spark, shapes: list[tuple]) -> DataFrame:
     """Layer from (name, [(x, y), ...]) pairs, in the order given."""
-    rows = [(i, n, [(float(x), float(y)) for x, y in ring]) for i, (n, ring) in enumerate(shapes)]
-    return spark.createDataFrame(rows, "place int, name string, ring array<struct<x:double,y:double>>")
+    rows = [
+        {"place": i, "name": n, "ring": [{"x": float(x), "y": float(y)} for x, y in ring]} for i, (n, ring) in enumerate(shapes)
+    ]
+    return spark.createDataFrame(pa.Table.from_pylist(rows), "place int, name string, ring array<struct<x:double,y:double>>")

@@ -13,7 +13,7 @@ from roadtally.functions.vehicles import classify_vehicle, vehicle_list
 from roadtally.operators.columns import quoted
 from roadtally.operators.filters import drop_uninformative, drop_zero_coords
 from roadtally.operators.joins import lookup_fill
-from roadtally.operators.spatial import fill_place, locate
+from roadtally.operators.spatial import Layer, as_layer, fill_place, locate
 from roadtally.operators.windows import dedupe_first
 
 FACTORS = [f"factor_{i}" for i in range(1, 6)]
@@ -96,12 +96,12 @@ def fill_coordinates(df: DataFrame, geocodes: DataFrame, order: str, row_id: str
     return lookup_fill(df, geocodes, keys, cols, order, later_wins)
 
 
-def fill_places(df: DataFrame, boroughs: DataFrame, zips: DataFrame) -> DataFrame:
+def fill_places(df: DataFrame, boroughs: DataFrame | Layer, zips: DataFrame | Layer) -> DataFrame:
     """Missing borough and ZIP from the polygon that contains the crash."""
     return fill_place(fill_place(df, boroughs, "borough"), zips, "zip_code")
 
 
-def finish_places(df: DataFrame, boroughs: DataFrame, zips: DataFrame, max_m: float = 2000.0) -> DataFrame:
+def finish_places(df: DataFrame, boroughs: DataFrame | Layer, zips: DataFrame | Layer, max_m: float = 2000.0) -> DataFrame:
     """Located rows only; borough and ZIP by containing or nearest polygon; rows without either go."""
     located = drop_zero_coords(df.dropna(how="any", subset=["latitude", "longitude"]))
     out = located.drop("borough", "zip_code")
@@ -111,13 +111,14 @@ def finish_places(df: DataFrame, boroughs: DataFrame, zips: DataFrame, max_m: fl
 
 def clean_crashes(
     raw: DataFrame,
-    boroughs: DataFrame,
-    zips: DataFrame,
+    boroughs: DataFrame | Layer,
+    zips: DataFrame | Layer,
     geocodes: DataFrame | None = None,
     geocode_order: str = "batch",
     order: list[str] | None = None,
 ) -> DataFrame:
     """The whole crash pipeline as one lazy plan (the polygon layers are indexed on the way)."""
+    boroughs, zips = as_layer(boroughs), as_layer(zips)
     out = fill_places(clean_basics(raw), boroughs, zips)
     if geocodes is not None:
         out = fill_places(fill_coordinates(out, geocodes, geocode_order), boroughs, zips)

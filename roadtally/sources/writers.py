@@ -15,7 +15,9 @@ def write_table(df: DataFrame, path: str, mode: str = "errorifexists", codec: st
 
 
 def write_csv(df: DataFrame, path: str, mode: str = "errorifexists") -> None:
-    df.write.mode(mode).option("header", True).option("escape", '"').csv(path)
+    """CSV with a header; white space at the ends of a value is kept."""
+    keep = {"ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False}
+    df.write.mode(mode).options(header=True, escape='"', **keep).csv(path)
 
 
 def export(df: DataFrame, path: str, single_file_rows: int = 1_000_000, mode: str = "errorifexists") -> None:
