@@ -103,6 +103,8 @@ def parse_list(c: Column | str) -> Column:
         .when(text.contains("|"), F.split(text, r"\|"))
         .otherwise(F.array(text))
     )
+    # A text of separators only has no part, so it stands for itself.
+    separated = F.when(text.rlike(r"[^,;|\s]"), separated).otherwise(F.array(text))
     items = (
         F.when(text.isNull() | is_other_literal, F.array().cast("array<string>"))
         .when(is_list, F.coalesce(literal, separated))

@@ -160,10 +160,10 @@ def prepare_dashboard(df: DataFrame) -> DataFrame:
             **text_defaults,
         },
     )
+    out = out.withColumn("borough", normalize_borough("borough"))
     out = ensure_columns(out, {"full_address": fallback_address("on_street_name", "borough")})
     out = out.withColumns(
         {
-            "borough": normalize_borough("borough"),
             "crash_datetime": try_ts("crash_datetime"),
             "latitude": F.col("latitude").try_cast("double"),
             "longitude": F.col("longitude").try_cast("double"),
