@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from roadtally.functions.streets import address_key
+from roadtally.functions.numbers import to_int
 from roadtally.operators.columns import quoted
 from roadtally.operators.sets import concat
 
@@ -30,7 +30,7 @@ GEOCODE_TYPES = {
 def read_csv(spark: SparkSession, path: str | list[str], infer: bool = False, schema: T.StructType | str | None = None) -> DataFrame:
     """CSV with a header. Columns are text unless a schema is given or types are inferred.
 
-    Inference reads the files once more, so give a schema for large ones.
+    An empty cell is null. Inference reads the files once more, so give a schema for large ones.
     """
     reader = spark.read.option("header", True).option("multiLine", False).option("quote", '"').option("escape", '"')
     if schema is not None:
@@ -38,9 +38,21 @@ def read_csv(spark: SparkSession, path: str | list[str], infer: bool = False, sc
     return reader.option("inferSchema", infer).csv(path)
 
 
-def read_parquet(spark: SparkSession, path: str | list[str], cols: list[str] | None = None, skip_corrupt: bool = False) -> DataFrame:
-    """Parquet, optionally some columns only and without the files that cannot be read."""
-    df = spark.read.option("ignoreCorruptFiles", skip_corrupt).parquet(*([path] if isinstance(path, str) else path))
+def read_parquet(
+    spark: SparkSession,
+    path: str | list[str],
+    cols: list[str] | None = None,
+    skip_corrupt: bool = False,
+    schema: T.StructType | str | None = None,
+) -> DataFrame:
+    """Parquet, optionally some columns only and without the files that cannot be read.
+
+    Spark takes the schema from one file; give it where that file may be corrupt.
+    """
+    reader = spark.read.option("ignoreCorruptFiles", skip_corrupt)
+    if schema is not None:
+        reader = reader.schema(schema)
+    df = reader.parquet(*([path] if isinstance(path, str) else path))
     return df.select(*[quoted(c) for c in cols]) if cols else df
 
 
@@ -84,7 +96,8 @@ def standard_geocodes(df: DataFrame, *extra: str) -> DataFrame:
     for name, candidates in GEOCODE_COLUMNS.items():
         hit = next((by_name[c] for c in candidates if c in by_name), None)
         if hit is not None:
-            out.append(F.col(quoted(hit)).try_cast(GEOCODE_TYPES[name]).alias(name))
+            value, kind = F.col(quoted(hit)), GEOCODE_TYPES[name]
+            out.append((to_int(value) if kind == "bigint" else value.try_cast(kind)).alias(name))
     return df.select(*out, *[quoted(e) for e in extra])
 
 
@@ -110,10 +123,6 @@ def read_batches(spark: SparkSession, folder: str, prefixes: tuple[str, ...] = (
     return concat(frames)
 
 
-def geocode_keys(df: DataFrame) -> DataFrame:
-    return df.withColumn("address_key", address_key("full_address"))
-
-
 POINT = T.ArrayType(T.DoubleType())
 RING = T.ArrayType(POINT)
 
