@@ -72,7 +72,8 @@ FACTOR_WORDS = {
 }
 FEMALE_WORDS = ("female", "woman", "women")
 MALE_WORDS = ("male", "man", "men")
-YEAR_PATTERN = r"(?U)\b(20\d{2})\b"
+# A stand-alone year 20xx. The literal comes first, so that the search can skip to it.
+YEAR_PATTERN = r"(?U)(20(?<=(?<!\w)20)\d{2})(?!\w)"
 
 
 def _has(text: Column, word: str, whole_words: bool) -> Column:
@@ -115,7 +116,8 @@ def tag_facets(df: DataFrame, text_col: str, whole_words: bool = False) -> DataF
     """
     low = "_low_text"
     text = F.col(low)
-    years = F.array_sort(F.transform(F.regexp_extract_all(text, F.lit(YEAR_PATTERN), F.lit(1)), lambda y: y.cast("int")))
+    found = F.when(text.contains("20"), F.regexp_extract_all(text, F.lit(YEAR_PATTERN), F.lit(1)))
+    years = F.array_sort(F.transform(F.coalesce(found, F.array().cast("array<string>")), lambda y: y.cast("int")))
     tagged = df.withColumn(low, F.lower(F.trim(F.coalesce(F.col(text_col), F.lit(""))))).withColumns(
         {
             "years": years,

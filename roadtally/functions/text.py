@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -15,9 +17,21 @@ def col_of(c: Column | str) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
+# The characters that count as white space.
+WHITE_SPACE = (
+    " \t\n\r\x0b\x0c\x1c\x1d\x1e\x1f\x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006"
+    "\u2007\u2008\u2009\u200a\u2028\u2029\u202f\u205f\u3000"
+)
+
+
 def strip(c: Column | str) -> Column:
-    """Drop white space of any kind at both ends (SQL `trim` drops blanks only)."""
-    return F.regexp_replace(col_of(c), r"(?U)^\s+|\s+$", "")
+    """Drop white space of any kind at both ends (plain `trim` drops blanks only)."""
+    return F.trim(col_of(c), F.lit(WHITE_SPACE))
+
+
+def let(value: Column, use: Callable[[Column], Column]) -> Column:
+    """`use(value)` with the value computed once, however often it is used."""
+    return F.transform(F.array(value), lambda v: use(v))[0]
 
 
 def clean_text(c: Column | str) -> Column:
@@ -84,11 +98,11 @@ def parse_list(c: Column | str) -> Column:
     boolean - gives an empty list. Other text is split on the first of
     `, ; |` that occurs in it, or is a single item.
     """
-    text = strip(c)
-    as_json = text
-    as_json = F.regexp_replace(as_json, r"(?s)^\((.*)\)$", "[$1]")
-    as_json = F.when(text.rlike(r"""^['"]"""), F.concat(F.lit("["), as_json, F.lit("]"))).otherwise(as_json)
-    as_json = F.regexp_replace(as_json, r",\s*\]$", "]")
+    items = let(strip(c), _list_items)
+    return F.filter(F.transform(items, strip), lambda v: v != "")
+
+
+def _list_items(text: Column) -> Column:
     quoted = r"""(?:'[^'\\]*'|"[^"\\]*")"""
     is_list = text.rlike(r"(?s)^\[.*\]$") | text.rlike(r"(?s)^\(.*,.*\)$") | text.rlike(
         rf"^{quoted}\s*,(?:\s*{quoted}\s*,)*(?:\s*{quoted})?$"
@@ -96,26 +110,28 @@ def parse_list(c: Column | str) -> Column:
     is_other_literal = text.rlike(
         rf"^(?:[-+]?[0-9]+(?:\.[0-9]*)?(?:[eE][-+]?[0-9]+)?|{quoted}|\({quoted}\)|\(\)|None|True|False)$"
     )
-    literal = F.from_json(as_json, "array<string>", {"allowSingleQuotes": "true"})
+    bracketed = F.when(text.rlike(r"""^['"]"""), F.concat(F.lit("["), text, F.lit("]"))).otherwise(
+        F.regexp_replace(text, r"(?s)^\((.*)\)$", "[$1]")
+    )
+    literal = F.from_json(F.regexp_replace(bracketed, r",\s*\]$", "]"), "array<string>", {"allowSingleQuotes": "true"})
+    # A text of separators only has no part, so it stands for itself.
     separated = (
-        F.when(text.contains(","), F.split(text, ","))
+        F.when(~text.rlike(r"[^,;|\s]"), F.array(text))
+        .when(text.contains(","), F.split(text, ","))
         .when(text.contains(";"), F.split(text, ";"))
         .when(text.contains("|"), F.split(text, r"\|"))
         .otherwise(F.array(text))
     )
-    # A text of separators only has no part, so it stands for itself.
-    separated = F.when(text.rlike(r"[^,;|\s]"), separated).otherwise(F.array(text))
-    items = (
+    return (
         F.when(text.isNull() | is_other_literal, F.array().cast("array<string>"))
-        .when(is_list, F.coalesce(literal, separated))
+        .when(is_list, let(literal, lambda v: F.coalesce(v, separated)))
         .otherwise(separated)
     )
-    return F.filter(F.transform(items, strip), lambda v: v != "")
 
 
 def or_unknown(values: Column) -> Column:
     """An empty or null list becomes ['Unknown']."""
-    return F.when(F.size(values) > 0, values).otherwise(F.array(F.lit(UNKNOWN)))
+    return let(values, lambda v: F.when(F.size(v) > 0, v).otherwise(F.array(F.lit(UNKNOWN))))
 
 
 def collect_labels(cols: list[str], drop: tuple[str, ...]) -> Column:

@@ -48,17 +48,23 @@ def fill_within(
     by_order = [F.col(quoted(o)) for o in order]
 
     def local(parts: list[str]):
+        """Last value up to the row, and the group's first value.
+
+        Only rows ahead of the group's first value need the second one, so its
+        frame is the whole group; a frame from the row onwards would be read
+        anew for every row.
+        """
         w = Window.partitionBy(*[quoted(p) for p in parts]).orderBy(*by_order)
         back = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-        ahead = w.rowsBetween(Window.currentRow, Window.unboundedFollowing)
+        whole = w.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
         return (
             {c: F.last(quoted(c), True).over(back) for c in cols},
-            {c: F.first(quoted(c), True).over(ahead) for c in cols},
+            {c: F.first(quoted(c), True).over(whole) for c in cols},
         )
 
     if not hot:
-        back, ahead = local([key])
-        return keyed.withColumns({c: F.coalesce(back[c], ahead[c]) for c in cols}).unionByName(free)
+        back, start = local([key])
+        return keyed.withColumns({c: F.coalesce(back[c], start[c]) for c in cols}).unionByName(free)
 
     few = keyed.where(is_one_of(key, hot))
     # One row per hot key, at most 1 / HOT_SHARE of them.
@@ -80,15 +86,15 @@ def fill_within(
         *[F.last(f"_end_{i}", True).over(before).alias(f"_before_{i}") for i in range(len(cols))],
         *[F.first(f"_start_{i}", True).over(after).alias(f"_after_{i}") for i in range(len(cols))],
     )
-    back, ahead = local([key, "_chunk"])
+    back, start = local([key, "_chunk"])
     filled = (
-        cut.withColumns({**{f"_b_{i}": back[c] for i, c in enumerate(cols)}, **{f"_a_{i}": ahead[c] for i, c in enumerate(cols)}})
+        cut.withColumns({**{f"_b_{i}": back[c] for i, c in enumerate(cols)}, **{f"_a_{i}": start[c] for i, c in enumerate(cols)}})
         .join(F.broadcast(carried), [key, "_chunk"])
         .withColumns({c: F.coalesce(f"_b_{i}", f"_before_{i}", f"_a_{i}", f"_after_{i}") for i, c in enumerate(cols)})
         .select(*[quoted(c) for c in df.columns])
     )
-    back, ahead = local([key])
-    rest = keyed.where(~is_one_of(key, hot)).withColumns({c: F.coalesce(back[c], ahead[c]) for c in cols})
+    back, start = local([key])
+    rest = keyed.where(~is_one_of(key, hot)).withColumns({c: F.coalesce(back[c], start[c]) for c in cols})
     return rest.unionByName(filled).unionByName(free)
 
 
