@@ -80,13 +80,22 @@ def _has(text: Column, word: str, whole_words: bool) -> Column:
     return text.rlike(rf"(?U)\b{re.escape(word)}\b") if whole_words else text.contains(word)
 
 
+def _needed(words: dict[str, str], whole: bool) -> dict[str, str]:
+    """The words without those that contain an earlier word of the same value."""
+    kept: dict[str, str] = {}
+    for w, v in words.items():
+        if whole or not any(o in w and kept[o] == v for o in kept):
+            kept[w] = v
+    return kept
+
+
 def _all_hits(text: Column, words: dict[str, str], whole: bool) -> Column:
-    hits = F.array(*[F.when(_has(text, w, whole), F.lit(v)) for w, v in words.items()])
+    hits = F.array(*[F.when(_has(text, w, whole), F.lit(v)) for w, v in _needed(words, whole).items()])
     return F.array_distinct(F.array_compact(hits))
 
 
 def _first_hit(text: Column, words: dict[str, str], whole: bool) -> Column:
-    return F.coalesce(*[F.when(_has(text, w, whole), F.lit(v)) for w, v in words.items()])
+    return F.coalesce(*[F.when(_has(text, w, whole), F.lit(v)) for w, v in _needed(words, whole).items()])
 
 
 def _gender(text: Column, whole: bool) -> Column:

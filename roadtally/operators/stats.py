@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import math
+from dataclasses import dataclass
 
 from pyspark.ml.clustering import KMeans
 from pyspark.ml.feature import VectorAssembler
@@ -13,7 +14,7 @@ from pyspark.storagelevel import StorageLevel
 from roadtally.operators.columns import quoted
 from roadtally.operators.joins import lookup_join
 
-BUCKETS = 4096
+BUCKETS = 1024
 
 
 def _pair_corr(x: Column, y: Column) -> Column:
@@ -44,60 +45,85 @@ def value_frequencies(df: DataFrame, c: str) -> DataFrame:
     return df.select(value).where("v is not null and not isnan(v)").groupBy("v").agg(F.count(F.lit(1)).alias("n"))
 
 
-def _kth(freq: DataFrame, k: int, lo: float, hi: float, buckets: int) -> float:
-    """k-th smallest value (from 0) between lo and hi, by narrowing a histogram.
+@dataclass
+class _Rank:
+    """The k-th smallest (from 0) of a column's values in lo..hi."""
 
-    Each pass is one aggregate with at most `buckets` result rows.
-    """
-    while lo < hi:
-        width = (hi - lo) / buckets
-        at = F.least(F.floor((F.col("v") - F.lit(lo)) / F.lit(width)), F.lit(buckets - 1))
-        rows = (
-            freq.where(F.col("v").between(lo, hi))
-            .groupBy(at.alias("b"))
-            .agg(F.sum("n").alias("n"), F.min("v").alias("lo"), F.max("v").alias("hi"))
-            .collect()
-        )
-        for row in sorted(rows, key=lambda r: r["b"]):
-            if k < row["n"]:
-                lo, hi = row["lo"], row["hi"]
-                break
-            k -= row["n"]
-    return lo
+    column: int
+    k: int
+    lo: float
+    hi: float
 
 
-def exact_quantiles(df: DataFrame, c: str, qs: list[float], buckets: int = BUCKETS) -> list[float | None]:
-    """Exact quantiles with linear interpolation between neighbours."""
-    freq = value_frequencies(df, c).persist(StorageLevel.MEMORY_AND_DISK)
-    try:
-        span = freq.agg(F.sum("n").alias("n"), F.min("v").alias("lo"), F.max("v").alias("hi"), F.count("v").alias("d")).first()
-        if not span["n"]:
-            return [None for _ in qs]
-        if span["d"] <= buckets:
-            values = sorted((r["v"], r["n"]) for r in freq.collect())
-
-            def kth(k: int) -> float:
-                for v, n in values:
-                    if k < n:
-                        return v
-                    k -= n
-                return values[-1][0]
+def _narrow(freq: DataFrame, ranks: list[_Rank], buckets: int) -> None:
+    """One pass: cut each rank's range into buckets and keep the bucket that holds it.
 
+    The result has at most ranks x buckets rows.
+    """
+    wanted = F.array().cast("array<struct<id:int,lo:double,hi:double>>")
+    for column in sorted({r.column for r in ranks}):
+        mine = F.array(
+            *[
+                F.struct(F.lit(i).alias("id"), F.lit(r.lo).alias("lo"), F.lit(r.hi).alias("hi"))
+                for i, r in enumerate(ranks)
+                if r.column == column
+            ]
+        )
+        wanted = F.when(F.col("c") == column, mine).otherwise(wanted)
+    hits = freq.select("v", "n", F.explode(F.filter(wanted, lambda t: F.col("v").between(t.lo, t.hi))).alias("t"))
+    width = (F.col("t.hi") - F.col("t.lo")) / F.lit(float(buckets))
+    at = F.least(F.floor((F.col("v") - F.col("t.lo")) / width), F.lit(buckets - 1))
+    rows = (
+        hits.groupBy(F.col("t.id").alias("id"), at.alias("b"))
+        .agg(F.sum("n").alias("n"), F.min("v").alias("lo"), F.max("v").alias("hi"))
+        .collect()
+    )
+    found: set[int] = set()
+    for row in sorted(rows, key=lambda r: (r["id"], r["b"])):
+        rank = ranks[row["id"]]
+        if row["id"] in found:
+            continue
+        if rank.k < row["n"]:
+            rank.lo, rank.hi = row["lo"], row["hi"]
+            found.add(row["id"])
         else:
+            rank.k -= row["n"]
+
 
-            def kth(k: int) -> float:
-                return _kth(freq, k, span["lo"], span["hi"], buckets)
-
-        ranks = {k for q in qs for k in (math.floor((span["n"] - 1) * q), math.ceil((span["n"] - 1) * q))}
-        found = {k: kth(k) for k in ranks}
-        out = []
-        for q in qs:
-            at = (span["n"] - 1) * q
-            low, high = found[math.floor(at)], found[math.ceil(at)]
-            out.append(low + (high - low) * (at - math.floor(at)))
-        return out
+def quantiles(df: DataFrame, cols: list[str], qs: list[float], buckets: int = BUCKETS) -> dict[str, list[float | None]]:
+    """Exact quantiles of several columns, with linear interpolation between neighbours.
+
+    All columns and ranks are narrowed down together: a pass is one aggregate
+    over the distinct values and sends a bounded number of rows to the driver.
+    Nulls and NaN are left out; values must be finite.
+    """
+    cells = F.array(*[F.struct(F.lit(i).alias("c"), F.col(quoted(c)).try_cast("double").alias("v")) for i, c in enumerate(cols)])
+    values = df.select(F.explode(cells).alias("p")).select("p.*").where("v is not null and not isnan(v)")
+    freq = values.groupBy("c", "v").agg(F.count(F.lit(1)).alias("n")).persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        spans = {r["c"]: r for r in freq.groupBy("c").agg(F.sum("n").alias("n"), F.min("v").alias("lo"), F.max("v").alias("hi")).collect()}
+        places = {c: [(s["n"] - 1) * q for q in qs] for c, s in spans.items()}
+        ranks = {
+            (c, k): _Rank(c, k, spans[c]["lo"], spans[c]["hi"])
+            for c, at in places.items()
+            for k in {f(x) for x in at for f in (math.floor, math.ceil)}
+        }
+        while open_ranks := [r for r in ranks.values() if r.lo < r.hi]:
+            _narrow(freq, open_ranks, buckets)
     finally:
         freq.unpersist()
+    out: dict[str, list[float | None]] = {}
+    for i, c in enumerate(cols):
+        if i not in spans:
+            out[c] = [None for _ in qs]
+            continue
+        ends = [(ranks[i, math.floor(x)].lo, ranks[i, math.ceil(x)].lo, x - math.floor(x)) for x in places[i]]
+        out[c] = [low + (high - low) * part for low, high, part in ends]
+    return out
+
+
+def exact_quantiles(df: DataFrame, c: str, qs: list[float], buckets: int = BUCKETS) -> list[float | None]:
+    return quantiles(df, [c], qs, buckets)[c]
 
 
 def iqr_bounds(df: DataFrame, c: str, k: float = 1.5) -> tuple[float | None, float | None]:
@@ -204,9 +230,10 @@ def describe(df: DataFrame, cols: list[str]) -> DataFrame:
             for i, v in enumerate(value.values())
         ]
     )
+    quartiles = quantiles(df, cols, [0.25, 0.5, 0.75])
     parts = []
     for i, c in enumerate(cols):
-        q = [F.lit(x).cast("double") for x in exact_quantiles(df, c, [0.25, 0.5, 0.75])]
+        q = [F.lit(x).cast("double") for x in quartiles[c]]
         s = F.col(f"s{i}")
         parts.append(
             F.struct(
