@@ -2,21 +2,23 @@
 
 from __future__ import annotations
 
+import math
 from functools import reduce
 from operator import or_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from roadtally.functions.temporal import try_ts
 from roadtally.operators.columns import quoted
 
-# A key is hot above this share of the rows; by pigeonhole at most 1 / share keys are.
-HOT_SHARE = 1 / 256
+# No task should get more than this share of the rows. A key above it is hot;
+# by pigeonhole at most 1 / SHARE keys are.
+SHARE = 1 / 4096
 # Share of the rows that is looked at to nominate hot keys, and the least hits for it.
 HOT_SAMPLE = 0.01
 HOT_MIN_HITS = 1000
-SALTS = 64
 # Largest lookup that is sent to every executor, in rows.
 MAX_BROADCAST_ROWS = 100_000
 
@@ -24,29 +26,30 @@ MAX_BROADCAST_ROWS = 100_000
 def hot_keys(
     df: DataFrame,
     key: str,
-    share: float = HOT_SHARE,
+    share: float = SHARE,
     sample: float = HOT_SAMPLE,
     min_hits: int = HOT_MIN_HITS,
-) -> list:
-    """Values of `key` (null included) that hold more than `share` of the rows.
+) -> dict:
+    """Values of `key` (null included) with more than `share` of the rows -> their share.
 
-    The list is at most 1 / share long. It only steers how rows are spread,
+    There are at most 1 / share of them. They only steer how rows are spread,
     never which rows a result holds, so a sample is enough to nominate keys.
     """
     picked = df.select(F.col(quoted(key)).alias("k"))
     if sample < 1.0:
         picked = picked.sample(fraction=sample, seed=7)
     counts = picked.groupBy("k").agg(F.count(F.lit(1)).alias("n"))
-    total = counts.agg(F.sum("n").alias("total"))
-    bar = F.greatest(F.coalesce(total.scalar(), F.lit(0)) * F.lit(share), F.lit(float(min_hits)))
-    return [r["k"] for r in counts.where(F.col("n") > bar).select("k").collect()]
+    total = F.coalesce(counts.agg(F.sum("n").alias("total")).scalar(), F.lit(0))
+    hot = counts.where(F.col("n") > F.greatest(total * F.lit(share), F.lit(float(min_hits))))
+    return {r["k"]: r["part"] for r in hot.select("k", F.try_divide(F.col("n").cast("double"), total).alias("part")).collect()}
 
 
-def is_one_of(key: str, values: list) -> Column:
-    """Is the key one of the (few) values? Null is a value like any other."""
-    named = [v for v in values if v is not None]
-    test = F.coalesce(F.col(quoted(key)).isin(*named), F.lit(False)) if named else F.lit(False)
-    return test | F.col(quoted(key)).isNull() if len(named) < len(values) else test
+def hot_table(df: DataFrame, key: str, values: dict, name: str) -> DataFrame:
+    """(key, value) rows of a small dictionary, with the key's type in df; null is left out."""
+    rows = [(k, v) for k, v in values.items() if k is not None]
+    kind = "int" if not rows or isinstance(rows[0][1], int) else "array<double>"
+    schema = T.StructType([T.StructField(key, df.schema[key].dataType), T.StructField(name, T._parse_datatype_string(kind))])
+    return df.sparkSession.createDataFrame(rows, schema)
 
 
 def spread_join(
@@ -54,26 +57,31 @@ def spread_join(
     right: DataFrame,
     key: str,
     how: str = "left",
-    hot: list | None = None,
-    salts: int = SALTS,
+    hot: dict | None = None,
+    share: float = SHARE,
     spread_by: list[str] | None = None,
 ) -> DataFrame:
     """Equi-join on one key whose hot values are spread over many tasks.
 
-    A left row with a hot key goes to one of `salts` places, chosen by a hash
-    of `spread_by` (default: all its columns); right rows with a hot key are
-    copied to all of them. Other rows are not copied. Without hot keys this is
-    a plain join, where AQE still splits partitions that turn out large.
+    A hot key gets as many places as its share asks for. A left row goes to one
+    of them, chosen by a hash of `spread_by` (default: all its columns); right
+    rows with the key are copied to all of them. Other rows are not copied, and
+    left rows without a key, which match nothing, are spread as well. Without
+    hot keys this is a plain join. AQE splits what still turns out large.
     """
     if hot is None:
         hot = hot_keys(left, key)
     if not hot:
         return left.join(right, key, how)
-    spread = [F.col(quoted(c)) for c in (spread_by or left.columns)]
-    place = F.pmod(F.xxhash64(*spread), F.lit(salts)).cast("int")
-    salted_left = left.withColumn("_salt", F.when(is_one_of(key, hot), place).otherwise(F.lit(0)))
-    places = F.when(is_one_of(key, hot), F.sequence(F.lit(0), F.lit(salts - 1))).otherwise(F.array(F.lit(0)))
-    salted_right = right.withColumn("_salt", F.explode(places))
+    places = {k: max(2, math.ceil(part / share)) for k, part in hot.items()}
+    # At most 1 / share rows.
+    table = F.broadcast(hot_table(left, key, places, "_places"))
+    no_key = F.when(F.col(quoted(key)).isNull(), F.lit(places.get(None, 1)))
+    number = F.coalesce(F.col("_places"), no_key, F.lit(1))
+    spread = F.xxhash64(*[F.col(quoted(c)) for c in (spread_by or left.columns)])
+    salted_left = left.join(table, key, "left").withColumn("_salt", F.pmod(spread, number).cast("int")).drop("_places")
+    copies = F.explode(F.sequence(F.lit(0), F.coalesce(F.col("_places"), F.lit(1)) - 1))
+    salted_right = right.join(table, key, "left").withColumn("_salt", copies).drop("_places")
     return salted_left.join(salted_right, [key, "_salt"], how).drop("_salt")
 
 
@@ -110,7 +118,7 @@ def integrate(
     key: str = "collision_id",
     ts: str = "crash_datetime",
     row_key: str | None = "unique_id",
-    hot: list | None = None,
+    hot: dict | None = None,
 ) -> DataFrame:
     """Persons LEFT JOIN crashes, one row per person.
 

@@ -2,28 +2,68 @@
 
 from __future__ import annotations
 
+import math
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from roadtally.functions.text import let
 from roadtally.operators.columns import quoted
-from roadtally.operators.joins import hot_keys, is_one_of
+from roadtally.operators.joins import SHARE, hot_keys, hot_table
 
-CHUNKS = 64
-ACCURACY = 10_000
+# Chunks of one table numbered as a whole.
+CHUNKS = 4096
+ACCURACY = 100_000
 
 
 def _cuts(df: DataFrame, order: str, chunks: int, by: str | None = None) -> DataFrame:
     """Values that cut `order` into chunks of about equal size, per `by`."""
-    points = F.array(*[F.lit(i / chunks) for i in range(1, chunks)])
+    points = F.expr("array(" + ", ".join(f"{i / chunks}D" for i in range(1, chunks)) + ")")
     cut = F.percentile_approx(quoted(order), points, ACCURACY).alias("_cuts")
     return df.groupBy(quoted(by)).agg(cut) if by else df.agg(cut)
 
 
-def _chunk_of(order: str, cuts: Column) -> Column:
+# Cuts are searched in two steps: first among every STEP-th one, then among the STEP behind it.
+STEP = 64
+
+
+def _with_coarse(cuts: DataFrame) -> DataFrame:
+    """Add every STEP-th cut. A local table: it has one row per key that is cut."""
+    rows = cuts.withColumn("_coarse", F.filter("_cuts", lambda _, i: i % STEP == 0))
+    return cuts.sparkSession.createDataFrame(rows.collect(), rows.schema)
+
+
+def _chunk_of(order: str) -> Column:
     """Number of cuts at or below the value: equal values share a chunk."""
     value = F.col(quoted(order))
-    return F.size(F.filter(F.array_distinct(cuts), lambda c: c <= value))
+
+    def behind(coarse: Column) -> Column:
+        first = (coarse - 1) * STEP
+        segment = F.slice(F.col("_cuts"), first + 1, F.lit(STEP))
+        return F.when(coarse > 0, first + F.size(F.filter(segment, lambda c: c <= value))).otherwise(F.lit(0))
+
+    return let(F.size(F.filter("_coarse", lambda c: c <= value)), behind)
+
+
+def _hot_cuts(df: DataFrame, key: str, order: str, hot: dict, share: float) -> DataFrame:
+    """(key, _cuts) for the hot keys, with chunks of at most about `share` of all rows.
+
+    Large and small hot keys are cut by two numbers of chunks, so that the
+    table stays small: few keys can be large.
+    """
+    large = math.sqrt(share)
+    tiers = [
+        ({k for k, p in hot.items() if p > large}, math.ceil(1 / share)),
+        ({k for k, p in hot.items() if p <= large}, math.ceil(large / share)),
+    ]
+    parts = []
+    for keys, chunks in tiers:
+        if keys:
+            table = F.broadcast(hot_table(df, key, dict.fromkeys(keys, 1), "_hot"))
+            parts.append(_cuts(df.join(table, key), order, max(2, chunks), key))
+    return _with_coarse(reduce(lambda a, b: a.unionByName(b), parts))
 
 
 def fill_within(
@@ -31,19 +71,19 @@ def fill_within(
     key: str,
     cols: list[str],
     order: list[str],
-    hot: list | None = None,
-    chunks: int = CHUNKS,
+    hot: dict | None = None,
+    share: float = SHARE,
 ) -> DataFrame:
     """Forward fill, then backward fill, within rows of the same key in `order`.
 
     Rows with a null key are groups of their own and stay as they are. The
     group of a hot key is cut into chunks along the first order column; each
     chunk is filled by itself and the values that must cross a chunk border
-    travel in a table of at most (hot keys x chunks) rows.
+    travel in a small table of one row per chunk.
     """
     if hot is None:
-        hot = hot_keys(df, key)
-    hot = [v for v in hot if v is not None]
+        hot = hot_keys(df, key, share)
+    hot = {k: part for k, part in hot.items() if k is not None}
     keyed, free = df.where(F.col(quoted(key)).isNotNull()), df.where(F.col(quoted(key)).isNull())
     by_order = [F.col(quoted(o)) for o in order]
 
@@ -66,12 +106,9 @@ def fill_within(
         back, start = local([key])
         return keyed.withColumns({c: F.coalesce(back[c], start[c]) for c in cols}).unionByName(free)
 
-    few = keyed.where(is_one_of(key, hot))
-    # One row per hot key, at most 1 / HOT_SHARE of them.
-    cuts = df.sparkSession.createDataFrame(
-        _cuts(few, order[0], chunks, key).collect(), _cuts(few, order[0], chunks, key).schema
-    )
-    cut = few.join(F.broadcast(cuts), key).withColumn("_chunk", _chunk_of(order[0], F.col("_cuts"))).drop("_cuts")
+    cuts = _hot_cuts(keyed, key, order[0], hot, share)
+    marked = keyed.join(F.broadcast(cuts), key, "left")
+    cut = marked.where("_cuts is not null").withColumn("_chunk", _chunk_of(order[0])).drop("_cuts", "_coarse")
     rank = F.struct(*by_order)
     ends = cut.groupBy(quoted(key), "_chunk").agg(
         *[F.max_by(quoted(c), F.when(F.col(quoted(c)).isNotNull(), rank)).alias(f"_end_{i}") for i, c in enumerate(cols)],
@@ -94,7 +131,7 @@ def fill_within(
         .select(*[quoted(c) for c in df.columns])
     )
     back, start = local([key])
-    rest = keyed.where(~is_one_of(key, hot)).withColumns({c: F.coalesce(back[c], start[c]) for c in cols})
+    rest = marked.where("_cuts is null").drop("_cuts", "_coarse").withColumns({c: F.coalesce(back[c], start[c]) for c in cols})
     return rest.unionByName(filled).unionByName(free)
 
 
@@ -114,15 +151,15 @@ def dense_row_number(df: DataFrame, order: list[str], name: str, chunks: int = C
     The rows are cut into chunks along that column; the numbers of a chunk
     start after the rows of the chunks before it.
     """
-    cuts = F.array(*[F.lit(v) for v in _cuts(df, order[0], chunks).first()["_cuts"] or []])
-    chunked = df.withColumn("_chunk", _chunk_of(order[0], cuts))
-    sizes = {r["_chunk"]: r["count"] for r in chunked.groupBy("_chunk").count().collect()}
+    cuts = _with_coarse(_cuts(df, order[0], chunks).where("_cuts is not null").withColumn("_all", F.lit(1)))
+    # One row of cuts and one offset per chunk.
+    chunked = df.withColumn("_all", F.lit(1)).join(F.broadcast(cuts), "_all", "left").withColumn("_chunk", _chunk_of(order[0]))
+    chunked = chunked.drop("_all", "_cuts", "_coarse")
     offsets, seen = [], 0
-    for chunk in sorted(sizes):
-        offsets += [F.lit(chunk), F.lit(seen)]
-        seen += sizes[chunk]
-    if not offsets:
-        return df.withColumn(name, F.lit(None).cast("bigint"))
+    for chunk, size in sorted(tuple(r) for r in chunked.groupBy("_chunk").count().collect()):
+        offsets.append((chunk, seen))
+        seen += size
+    starts = df.sparkSession.createDataFrame(offsets, "_chunk int, _start bigint")
     w = Window.partitionBy("_chunk").orderBy(*[F.col(quoted(o)) for o in order])
-    start = F.try_element_at(F.create_map(*offsets), F.col("_chunk"))
-    return chunked.withColumn(name, (F.row_number().over(w) + start).cast("bigint")).drop("_chunk")
+    numbered = chunked.withColumn("_place", F.row_number().over(w)).join(F.broadcast(starts), "_chunk")
+    return numbered.withColumn(name, F.col("_place") + F.col("_start")).drop("_chunk", "_place", "_start")

@@ -19,7 +19,7 @@ def fill_streets(df: DataFrame) -> DataFrame:
     return df.na.fill("Unknown Street", streets)
 
 
-def merge(persons: DataFrame, crashes: DataFrame, order: list[str] | None = None, hot: list | None = None) -> DataFrame:
+def merge(persons: DataFrame, crashes: DataFrame, order: list[str] | None = None, hot: dict | None = None) -> DataFrame:
     """Left join, seat labels, rows without any place dropped, gaps filled within a collision."""
     merged = integrate(persons, crashes, hot=hot)
     if "position_in_vehicle" in merged.columns:

@@ -120,21 +120,22 @@ def test_samples(spark, skewed):
 
 
 def test_hot_keys_are_found(spark, skewed):
-    assert set(jo.hot_keys(skewed, "k", share=0.1, sample=1.0, min_hits=1)) == {7, None}
-    assert jo.hot_keys(skewed, "k") == []
+    hot = jo.hot_keys(skewed, "k", share=0.1, sample=1.0, min_hits=1)
+    assert set(hot) == {7, None} and hot[7] > 0.33
+    assert jo.hot_keys(skewed, "k") == {}
 
 
 @pytest.mark.parametrize("how", ["left", "inner", "left_semi", "left_anti"])
 def test_spread_join_equals_plain_join(spark, skewed, how):
     right = spark.createDataFrame([(k, f"r{k}") for k in range(0, 100, 3)] + [(7, "r7"), (7, "second")], "k int, r string")
     plain = skewed.join(right, "k", how)
-    spread = jo.spread_join(skewed, right, "k", how, hot=[7, None, 3], salts=8)
+    spread = jo.spread_join(skewed, right, "k", how, hot={7: 0.33, None: 0.33, 3: 0.01}, share=0.04)
     assert rows(spread.select(*plain.columns)) == rows(plain)
 
 
 def test_spread_join_spreads_the_hot_key(spark, skewed):
     right = spark.createDataFrame([(7, "x")], "k int, r string")
-    joined = jo.spread_join(skewed, right, "k", "left", hot=[7, None], salts=16)
+    joined = jo.spread_join(skewed, right, "k", "left", hot={7: 0.33, None: 0.33}, share=0.02)
     plan = joined._jdf.queryExecution().optimizedPlan().toString()
     assert "_salt" in plan and joined.count() == 900
 
@@ -179,10 +180,10 @@ def brute_fill(data, cols):
     return out
 
 
-@pytest.mark.parametrize("hot", [[], [7], [7, 3, 50], [7, None]])
+@pytest.mark.parametrize("hot", [{}, {7: 0.33}, {7: 0.33, 3: 0.01, 50: 0.01}, {7: 0.33, None: 0.33}])
 def test_fill_within_equals_brute_force(spark, skewed, hot):
     want = brute_fill(skewed.collect(), ["v", "w"])
-    got = windows.fill_within(skewed, "k", ["v", "w"], ["id"], hot=hot, chunks=8)
+    got = windows.fill_within(skewed, "k", ["v", "w"], ["id"], hot=hot, share=1 / 50)
     assert {r["id"]: (r["v"], r["w"]) for r in got.collect()} == want
 
 

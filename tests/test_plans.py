@@ -119,8 +119,8 @@ def test_portal_names(spark):
 
 def test_merge_fills_hot_collisions_the_same(spark):
     people = t.persons(spark, SF).withColumnRenamed("person_datetime", "crash_datetime")
-    plain = integration.merge(people, t.incidents(spark, SF), hot=[])
-    hot = integration.merge(people, t.incidents(spark, SF), hot=[3, 4, None])
+    plain = integration.merge(people, t.incidents(spark, SF), hot={})
+    hot = integration.merge(people, t.incidents(spark, SF), hot={3: 0.4, 4: 0.01, None: 0.1})
     assert rows(plain) == rows(hot)
     filled = integration.fill_streets(people.withColumn("on_street_name", F.lit(None).cast("string")))
     assert filled.first()["on_street_name"] == "Unknown Street"
