@@ -55,63 +55,60 @@ class _Rank:
     hi: float
 
 
-def _narrow(freq: DataFrame, ranks: list[_Rank], buckets: int) -> None:
-    """One pass: cut each rank's range into buckets and keep the bucket that holds it.
+def _narrow(values: DataFrame, ranks: list[_Rank], buckets: int) -> None:
+    """One pass: cut the ranges into buckets and keep for each rank the bucket that holds it.
 
-    The result has at most ranks x buckets rows.
+    Buckets are counted per task before the shuffle; the result has at most
+    ranges x buckets rows.
     """
+    ranges = sorted({(r.column, r.lo, r.hi) for r in ranks})
     wanted = F.array().cast("array<struct<id:int,lo:double,hi:double>>")
-    for column in sorted({r.column for r in ranks}):
-        mine = F.array(
-            *[
-                F.struct(F.lit(i).alias("id"), F.lit(r.lo).alias("lo"), F.lit(r.hi).alias("hi"))
-                for i, r in enumerate(ranks)
-                if r.column == column
-            ]
-        )
-        wanted = F.when(F.col("c") == column, mine).otherwise(wanted)
-    hits = freq.select("v", "n", F.explode(F.filter(wanted, lambda t: F.col("v").between(t.lo, t.hi))).alias("t"))
+    for column in sorted({c for c, _, _ in ranges}):
+        mine = [
+            F.struct(F.lit(i).alias("id"), F.lit(lo).alias("lo"), F.lit(hi).alias("hi"))
+            for i, (c, lo, hi) in enumerate(ranges)
+            if c == column
+        ]
+        wanted = F.when(F.col("c") == column, F.array(*mine)).otherwise(wanted)
+    hits = values.select("v", F.explode(F.filter(wanted, lambda t: F.col("v").between(t.lo, t.hi))).alias("t"))
     width = (F.col("t.hi") - F.col("t.lo")) / F.lit(float(buckets))
     at = F.least(F.floor((F.col("v") - F.col("t.lo")) / width), F.lit(buckets - 1))
     rows = (
         hits.groupBy(F.col("t.id").alias("id"), at.alias("b"))
-        .agg(F.sum("n").alias("n"), F.min("v").alias("lo"), F.max("v").alias("hi"))
+        .agg(F.count(F.lit(1)).alias("n"), F.min("v").alias("lo"), F.max("v").alias("hi"))
         .collect()
     )
-    found: set[int] = set()
-    for row in sorted(rows, key=lambda r: (r["id"], r["b"])):
-        rank = ranks[row["id"]]
-        if row["id"] in found:
-            continue
-        if rank.k < row["n"]:
-            rank.lo, rank.hi = row["lo"], row["hi"]
-            found.add(row["id"])
-        else:
+    histograms: dict[int, list] = {}
+    for row in sorted(rows, key=lambda r: r["b"]):
+        histograms.setdefault(row["id"], []).append(row)
+    place = {r: i for i, r in enumerate(ranges)}
+    for rank in ranks:
+        for row in histograms[place[rank.column, rank.lo, rank.hi]]:
+            if rank.k < row["n"]:
+                rank.lo, rank.hi = row["lo"], row["hi"]
+                break
             rank.k -= row["n"]
 
 
 def quantiles(df: DataFrame, cols: list[str], qs: list[float], buckets: int = BUCKETS) -> dict[str, list[float | None]]:
     """Exact quantiles of several columns, with linear interpolation between neighbours.
 
-    All columns and ranks are narrowed down together: a pass is one aggregate
-    over the distinct values and sends a bounded number of rows to the driver.
-    Nulls and NaN are left out; values must be finite.
+    All columns and ranks are narrowed down together: a pass reads the columns
+    once, shuffles bucket counts only and sends a bounded number of rows to the
+    driver. Nulls and NaN are left out; values must be finite.
     """
     cells = F.array(*[F.struct(F.lit(i).alias("c"), F.col(quoted(c)).try_cast("double").alias("v")) for i, c in enumerate(cols)])
     values = df.select(F.explode(cells).alias("p")).select("p.*").where("v is not null and not isnan(v)")
-    freq = values.groupBy("c", "v").agg(F.count(F.lit(1)).alias("n")).persist(StorageLevel.MEMORY_AND_DISK)
-    try:
-        spans = {r["c"]: r for r in freq.groupBy("c").agg(F.sum("n").alias("n"), F.min("v").alias("lo"), F.max("v").alias("hi")).collect()}
-        places = {c: [(s["n"] - 1) * q for q in qs] for c, s in spans.items()}
-        ranks = {
-            (c, k): _Rank(c, k, spans[c]["lo"], spans[c]["hi"])
-            for c, at in places.items()
-            for k in {f(x) for x in at for f in (math.floor, math.ceil)}
-        }
-        while open_ranks := [r for r in ranks.values() if r.lo < r.hi]:
-            _narrow(freq, open_ranks, buckets)
-    finally:
-        freq.unpersist()
+    by_column = values.groupBy("c").agg(F.count(F.lit(1)).alias("n"), F.min("v").alias("lo"), F.max("v").alias("hi"))
+    spans = {r["c"]: r for r in by_column.collect()}
+    places = {c: [(s["n"] - 1) * q for q in qs] for c, s in spans.items()}
+    ranks = {
+        (c, k): _Rank(c, k, spans[c]["lo"], spans[c]["hi"])
+        for c, at in places.items()
+        for k in {f(x) for x in at for f in (math.floor, math.ceil)}
+    }
+    while open_ranks := [r for r in ranks.values() if r.lo < r.hi]:
+        _narrow(values, open_ranks, buckets)
     out: dict[str, list[float | None]] = {}
     for i, c in enumerate(cols):
         if i not in spans:

@@ -7,44 +7,71 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
-from roadtally.functions.text import let
 from roadtally.operators.columns import quoted
 from roadtally.operators.joins import SHARE, hot_keys, hot_table
 
+# A chunk's number has DIGITS digits to this base; a digit is found among BASE - 1 cuts.
+BASE, DIGITS = 8, 4
 # Chunks of one table numbered as a whole.
 CHUNKS = 4096
-ACCURACY = 100_000
+ACCURACY = 20_000
 
 
 def _cuts(df: DataFrame, order: str, chunks: int, by: str | None = None) -> DataFrame:
     """Values that cut `order` into chunks of about equal size, per `by`."""
+    chunks = min(chunks, BASE**DIGITS)
     points = F.expr("array(" + ", ".join(f"{i / chunks}D" for i in range(1, chunks)) + ")")
     cut = F.percentile_approx(quoted(order), points, ACCURACY).alias("_cuts")
     return df.groupBy(quoted(by)).agg(cut) if by else df.agg(cut)
 
 
-# Cuts are searched in two steps: first among every STEP-th one, then among the STEP behind it.
-STEP = 64
+def _digit_tables(cuts: DataFrame, keys: list[str]) -> list[DataFrame]:
+    """The cuts of each key as small tables, one per digit of the chunk number.
 
-
-def _with_coarse(cuts: DataFrame) -> DataFrame:
-    """Add every STEP-th cut. A local table: it has one row per key that is cut."""
-    rows = cuts.withColumn("_coarse", F.filter("_cuts", lambda _, i: i % STEP == 0))
-    return cuts.sparkSession.createDataFrame(rows.collect(), rows.schema)
-
-
-def _chunk_of(order: str) -> Column:
-    """Number of cuts at or below the value: equal values share a chunk."""
+    A row holds the cuts that decide its digit, given the key and the digits
+    before it. Cuts past the last one are null.
+    """
+    rows = cuts.collect()
+    width = BASE - 1
+    cut_type = cuts.schema["_cuts"].dataType.elementType
+    tables = []
+    for level in range(DIGITS):
+        digits = [f"_d{i}" for i in range(level)]
+        step = BASE ** (DIGITS - 1 - level)
+        out = []
+        for row in rows:
+            found = row["_cuts"]
+            for start in range(0, BASE**DIGITS, step * BASE):
+                mine = [found[i] if (i := start + step * j - 1) < len(found) else None for j in range(1, BASE)]
+                if start == 0 or mine[0] is not None:
+                    before = [start // BASE ** (DIGITS - 1 - i) % BASE for i in range(level)]
+                    out.append((*[row[k] for k in keys], *before, *mine))
+        fields = [cuts.schema[k] for k in keys] + [T.StructField(d, T.IntegerType()) for d in digits]
+        fields += [T.StructField(f"_c{j}", cut_type) for j in range(width)]
+        schema = T.StructType([T.StructField(f.name, f.dataType) for f in fields])
+        tables.append(cuts.sparkSession.createDataFrame(out, schema))
+    return tables
+
+
+def _with_chunk(df: DataFrame, cuts: DataFrame, keys: list[str], order: str) -> DataFrame:
+    """Add `_chunk`: the number of the key's cuts at or below the row's value, null for other keys.
+
+    Equal values share a chunk. The tables are small: fewer rows than there are
+    cuts.
+    """
     value = F.col(quoted(order))
-
-    def behind(coarse: Column) -> Column:
-        first = (coarse - 1) * STEP
-        segment = F.slice(F.col("_cuts"), first + 1, F.lit(STEP))
-        return F.when(coarse > 0, first + F.size(F.filter(segment, lambda c: c <= value))).otherwise(F.lit(0))
-
-    return let(F.size(F.filter("_coarse", lambda c: c <= value)), behind)
+    out = df
+    for level, table in enumerate(_digit_tables(cuts, keys)):
+        found = table.withColumn("_found", F.lit(True)) if level == 0 else table
+        out = out.join(F.broadcast(found), keys + [f"_d{i}" for i in range(level)], "left")
+        digit = sum((F.when(value >= F.col(f"_c{j}"), 1).otherwise(0) for j in range(1, BASE - 1)), F.when(value >= F.col("_c0"), 1).otherwise(0))
+        out = out.withColumn(f"_d{level}", digit).drop(*[f"_c{j}" for j in range(BASE - 1)])
+    digits = [F.col(f"_d{i}") for i in range(DIGITS)]
+    number = reduce(lambda left, right: left * BASE + right, digits)
+    return out.withColumn("_chunk", F.when(F.col("_found"), number)).drop(*[f"_d{i}" for i in range(DIGITS)], "_found")
 
 
 def _hot_cuts(df: DataFrame, key: str, order: str, hot: dict, share: float) -> DataFrame:
@@ -63,7 +90,7 @@ def _hot_cuts(df: DataFrame, key: str, order: str, hot: dict, share: float) -> D
         if keys:
             table = F.broadcast(hot_table(df, key, dict.fromkeys(keys, 1), "_hot"))
             parts.append(_cuts(df.join(table, key), order, max(2, chunks), key))
-    return _with_coarse(reduce(lambda a, b: a.unionByName(b), parts))
+    return reduce(lambda a, b: a.unionByName(b), parts)
 
 
 def fill_within(
@@ -107,8 +134,8 @@ def fill_within(
         return keyed.withColumns({c: F.coalesce(back[c], start[c]) for c in cols}).unionByName(free)
 
     cuts = _hot_cuts(keyed, key, order[0], hot, share)
-    marked = keyed.join(F.broadcast(cuts), key, "left")
-    cut = marked.where("_cuts is not null").withColumn("_chunk", _chunk_of(order[0])).drop("_cuts", "_coarse")
+    marked = _with_chunk(keyed, cuts, [key], order[0])
+    cut = marked.where("_chunk is not null")
     rank = F.struct(*by_order)
     ends = cut.groupBy(quoted(key), "_chunk").agg(
         *[F.max_by(quoted(c), F.when(F.col(quoted(c)).isNotNull(), rank)).alias(f"_end_{i}") for i, c in enumerate(cols)],
@@ -131,7 +158,7 @@ def fill_within(
         .select(*[quoted(c) for c in df.columns])
     )
     back, start = local([key])
-    rest = marked.where("_cuts is null").drop("_cuts", "_coarse").withColumns({c: F.coalesce(back[c], start[c]) for c in cols})
+    rest = marked.where("_chunk is null").drop("_chunk").withColumns({c: F.coalesce(back[c], start[c]) for c in cols})
     return rest.unionByName(filled).unionByName(free)
 
 
@@ -151,10 +178,9 @@ def dense_row_number(df: DataFrame, order: list[str], name: str, chunks: int = C
     The rows are cut into chunks along that column; the numbers of a chunk
     start after the rows of the chunks before it.
     """
-    cuts = _with_coarse(_cuts(df, order[0], chunks).where("_cuts is not null").withColumn("_all", F.lit(1)))
-    # One row of cuts and one offset per chunk.
-    chunked = df.withColumn("_all", F.lit(1)).join(F.broadcast(cuts), "_all", "left").withColumn("_chunk", _chunk_of(order[0]))
-    chunked = chunked.drop("_all", "_cuts", "_coarse")
+    cuts = _cuts(df, order[0], chunks).where("_cuts is not null").withColumn("_all", F.lit(1))
+    chunked = _with_chunk(df.withColumn("_all", F.lit(1)), cuts, ["_all"], order[0]).drop("_all")
+    # One offset per chunk.
     offsets, seen = [], 0
     for chunk, size in sorted(tuple(r) for r in chunked.groupBy("_chunk").count().collect()):
         offsets.append((chunk, seen))

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.storagelevel import StorageLevel
 
 from roadtally.functions.numbers import age_band, rate
 from roadtally.functions.temporal import day_type, try_ts
@@ -93,6 +94,11 @@ def shape_answer(cells: DataFrame, name: str) -> DataFrame:
     return mine.select(*dims, "cnt")
 
 
+def keep(df: DataFrame) -> DataFrame:
+    """Keep a frame that several questions read, in memory and on disk."""
+    return df.persist(StorageLevel.MEMORY_AND_DISK)
+
+
 def materialize(merged: DataFrame, folder: str, mode: str = "overwrite") -> None:
     """Write one table per question below `folder`.
 

@@ -66,13 +66,13 @@ def clean_factor_table(s, d):
     return cr.clean_factors(raw_crashes(s, d)).select("row_id", "factor_1", "factor_2", "factor_3", "all_contributing_factors_str")
 
 
-FACTORS_SQL = sql(
+FACTORS_BODY = (
     "SELECT row_id, COALESCE(f1, 'unspecified') AS factor_1, COALESCE(f2, 'unspecified') AS factor_2, COALESCE(f3, 'unspecified') AS factor_3, "
     "COALESCE(NULLIF(array_to_string(list_filter([f1, f2, f3], lambda f: f IS NOT NULL AND f <> 'unspecified'), ', '), ''), 'none') AS all_contributing_factors_str "
     "FROM (SELECT row_id, " + ", ".join(f"{factor_sql(f'factor_{i}')} AS f{i}" for i in (1, 2, 3)) + " FROM raw_crashes) "
-    "WHERE NOT (COALESCE(f1, 'unspecified') = 'unspecified' AND COALESCE(f2, 'unspecified') = 'unspecified' AND COALESCE(f3, 'unspecified') = 'unspecified')",
-    "raw_crashes",
+    "WHERE NOT (COALESCE(f1, 'unspecified') = 'unspecified' AND COALESCE(f2, 'unspecified') = 'unspecified' AND COALESCE(f3, 'unspecified') = 'unspecified')"
 )
+FACTORS_SQL = sql(FACTORS_BODY, "raw_crashes")
 
 # Person rules as a chain of SQL steps; each step reads the one before.
 OCC, PED, BIC, MOT = lit(pe.OCCUPANT), lit(pe.PEDESTRIAN), lit(pe.BICYCLIST), lit(pe.OTHER_MOTORIZED)
@@ -175,24 +175,36 @@ def coordinates_filled(s, d, later_wins=False):
     return filled.select("row_id", "latitude", "longitude")
 
 
-def coordinates_sql(later_wins: bool) -> str:
-    def firsts(key: str) -> str:
-        return (
-            f"SELECT {key} AS k, arg_min(latitude_geocode, batch) FILTER (WHERE latitude_geocode IS NOT NULL) AS lat, "
-            f"arg_min(longitude_geocode, batch) FILTER (WHERE longitude_geocode IS NOT NULL) AS lon FROM geocodes WHERE {key} IS NOT NULL GROUP BY 1"
-        )
-
-    order = "azi" if later_wins else "iza"
-    return sql(
-        "SELECT row_id, COALESCE(latitude, " + ", ".join(f"{t}.lat" for t in order) + ") AS latitude, COALESCE(longitude, " + ", ".join(f"{t}.lon" for t in order) + ") AS longitude "
-        "FROM addressed c LEFT JOIN by_row i ON c.row_id = i.k LEFT JOIN by_id z ON CAST(c.collision_id AS VARCHAR) = z.k LEFT JOIN by_address a ON upper(trim(c.full_address)) = a.k",
-        "raw_crashes",
-        geocodes=GEOCODES_SQL,
-        addressed=f"SELECT row_id, collision_id, latitude, longitude, {ADDRESS_SQL} AS full_address FROM (SELECT *, {street_sql('on_street_name')} AS a, {street_sql('cross_street_name')} AS b, {street_sql('off_street_name')} AS c FROM raw_crashes)",
-        by_row=firsts("orig_index"), by_id=firsts("collision_id"), by_address=firsts("upper(trim(full_address))"),
+def first_geocodes_sql(key: str) -> str:
+    return (
+        f"SELECT {key} AS k, arg_min(latitude_geocode, batch) FILTER (WHERE latitude_geocode IS NOT NULL) AS lat, "
+        f"arg_min(longitude_geocode, batch) FILTER (WHERE longitude_geocode IS NOT NULL) AS lon FROM geocodes WHERE {key} IS NOT NULL GROUP BY 1"
+    )
+
+
+GEOCODE_STEPS = {
+    "geocodes": GEOCODES_SQL,
+    "addressed": f"SELECT row_id, collision_id, latitude, longitude, {ADDRESS_SQL} AS full_address FROM (SELECT *, {street_sql('on_street_name')} AS a, "
+    f"{street_sql('cross_street_name')} AS b, {street_sql('off_street_name')} AS c FROM raw_crashes)",
+    "by_row": first_geocodes_sql("orig_index"),
+    "by_id": first_geocodes_sql("collision_id"),
+    "by_address": first_geocodes_sql("upper(trim(full_address))"),
+}
+
+
+def filled_sql(order: str) -> str:
+    """Coordinates by row (i), collision (z) and address (a), the first of `order` first."""
+    lat, lon = (", ".join(f"{t}.{c}" for t in order) for c in ("lat", "lon"))
+    return (
+        f"SELECT row_id, collision_id, full_address, COALESCE(latitude, {lat}) AS latitude, COALESCE(longitude, {lon}) AS longitude "
+        "FROM addressed c LEFT JOIN by_row i ON c.row_id = i.k LEFT JOIN by_id z ON CAST(c.collision_id AS VARCHAR) = z.k LEFT JOIN by_address a ON upper(trim(c.full_address)) = a.k"
     )
 
 
+def coordinates_sql(later_wins: bool) -> str:
+    return sql(f"SELECT row_id, latitude, longitude FROM ({filled_sql('azi' if later_wins else 'iza')})", "raw_crashes", **GEOCODE_STEPS)
+
+
 MERGED_SQL = sql(
     "SELECT unique_id, collision_id, "
     + ", ".join(

@@ -10,7 +10,7 @@ from roadtally.operators.spatial import fill_place, locate, nearest_polygon, poi
 from roadtally.plans import materialize as mat
 from roadtally.plans.crashes import clean_crashes, clean_streets, finish_places
 from roadtally.plans.derive import build_facets
-from roadtally.registry.cleaning import coordinates_sql, geocodes
+from roadtally.registry.cleaning import FACTORS_BODY, GEOCODE_STEPS, coordinates_sql, filled_sql, geocodes
 from roadtally.registry.people import BAND
 from roadtally.registry.places import SUMMARY_SQL, rounded
 from roadtally.registry.tables import (
@@ -172,7 +172,17 @@ QUERIES = {
             points="SELECT * FROM raw_crashes WHERE latitude IS NOT NULL AND longitude IS NOT NULL AND NOT (latitude = 0 AND longitude = 0)",
         ),
     ),
-    "crashes_cleaned": (whole_pipeline, None),
+    "crashes_cleaned": (
+        whole_pipeline,
+        sql(
+            "SELECT p.collision_id, row_id, b.name AS borough, z.name AS zip_code, full_address, all_contributing_factors_str FROM points p "
+            f"JOIN ({located_sql('points', 'boxes', 'row_id', 2000.0)}) b USING (row_id) JOIN ({located_sql('points', 'zips', 'row_id', 2000.0)}) z USING (row_id) "
+            "WHERE b.name IS NOT NULL AND z.name IS NOT NULL",
+            "raw_crashes", boxes=boxes_sql(), zips=ZIPS_SQL, named=FACTORS_BODY, **GEOCODE_STEPS,
+            firsts=f"SELECT * FROM ({filled_sql('za')}) JOIN named USING (row_id) QUALIFY row_number() OVER (PARTITION BY collision_id ORDER BY row_id) = 1",
+            points="SELECT * FROM firsts WHERE latitude IS NOT NULL AND longitude IS NOT NULL AND NOT (latitude = 0 AND longitude = 0)",
+        ),
+    ),
     "answers_materialised": (
         answer_sizes,
         sql(
