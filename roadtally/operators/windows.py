@@ -110,56 +110,55 @@ def fill_within(
     """
     if hot is None:
         hot = hot_keys(df, key, share)
-    hot = {k: part for k, part in hot.items() if k is not None}
-    keyed, free = df.where(F.col(quoted(key)).isNotNull()), df.where(F.col(quoted(key)).isNull())
+    hot = {k: p for k, p in hot.items() if k is not None}
     by_order = [F.col(quoted(o)) for o in order]
-
-    def local(parts: list[str]):
-        """Last value up to the row, and the group's first value.
-
-        Only rows ahead of the group's first value need the second one, so its
-        frame is the whole group; a frame from the row onwards would be read
-        anew for every row.
-        """
-        w = Window.partitionBy(*[quoted(p) for p in parts]).orderBy(*by_order)
-        back = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-        whole = w.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-        return (
-            {c: F.last(quoted(c), True).over(back) for c in cols},
-            {c: F.first(quoted(c), True).over(whole) for c in cols},
-        )
-
-    if not hot:
-        back, start = local([key])
-        return keyed.withColumns({c: F.coalesce(back[c], start[c]) for c in cols}).unionByName(free)
-
-    cuts = _hot_cuts(keyed, key, order[0], hot, share)
-    marked = _with_chunk(keyed, cuts, [key], order[0])
-    cut = marked.where("_chunk is not null")
+    no_key = F.col(quoted(key)).isNull()
+    # Rows without a key are spread anywhere, as nothing is filled there.
+    anywhere = F.pmod(F.xxhash64(*by_order), F.lit(CHUNKS)).cast("int")
+    if hot:
+        cuts = _hot_cuts(df, key, order[0], hot, share)
+        chunked = _with_chunk(df, cuts, [key], order[0])
+        parted = chunked.withColumn("_part", F.when(no_key, anywhere).otherwise(F.coalesce("_chunk", F.lit(0))))
+    else:
+        parted = df.withColumn("_part", F.when(no_key, anywhere).otherwise(F.lit(0)))
+
+    # Only rows ahead of the part's first value need that value, so its frame is
+    # the whole part; a frame from the row onwards would be read anew for every row.
+    w = Window.partitionBy(quoted(key), "_part").orderBy(*by_order)
+    back = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    whole = w.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    steps = {f"_back_{i}": F.last(quoted(c), True).over(back) for i, c in enumerate(cols)}
+    steps |= {f"_start_{i}": F.first(quoted(c), True).over(whole) for i, c in enumerate(cols)}
+    out = parted.withColumns(steps)
+    sources = ["_back", "_start"]
+    if hot:
+        # One row per chunk of a hot key.
+        out = out.join(F.broadcast(_carried(chunked, key, cols, by_order)), [key, "_part"], "left")
+        sources = ["_back", "_before", "_start", "_after"]
+    filled = {
+        c: F.when(no_key, F.col(quoted(c))).otherwise(F.coalesce(*[F.col(f"{s}_{i}") for s in sources]))
+        for i, c in enumerate(cols)
+    }
+    return out.withColumns(filled).select(*[quoted(c) for c in df.columns])
+
+
+def _carried(chunked: DataFrame, key: str, cols: list[str], by_order: list[Column]) -> DataFrame:
+    """Per chunk of a hot key the last value before it and the first value after it."""
     rank = F.struct(*by_order)
+    cut = chunked.where("_chunk is not null")
     ends = cut.groupBy(quoted(key), "_chunk").agg(
         *[F.max_by(quoted(c), F.when(F.col(quoted(c)).isNotNull(), rank)).alias(f"_end_{i}") for i, c in enumerate(cols)],
-        *[F.min_by(quoted(c), F.when(F.col(quoted(c)).isNotNull(), rank)).alias(f"_start_{i}") for i, c in enumerate(cols)],
+        *[F.min_by(quoted(c), F.when(F.col(quoted(c)).isNotNull(), rank)).alias(f"_first_{i}") for i, c in enumerate(cols)],
     )
     chain = Window.partitionBy(quoted(key)).orderBy("_chunk")
     before = chain.rowsBetween(Window.unboundedPreceding, -1)
-    after = chain.rowsBetween(1, Window.unboundedFollowing)
-    carried = ends.select(
+    after = Window.partitionBy(quoted(key)).orderBy(F.desc("_chunk")).rowsBetween(Window.unboundedPreceding, -1)
+    return ends.select(
         quoted(key),
-        "_chunk",
+        F.col("_chunk").alias("_part"),
         *[F.last(f"_end_{i}", True).over(before).alias(f"_before_{i}") for i in range(len(cols))],
-        *[F.first(f"_start_{i}", True).over(after).alias(f"_after_{i}") for i in range(len(cols))],
-    )
-    back, start = local([key, "_chunk"])
-    filled = (
-        cut.withColumns({**{f"_b_{i}": back[c] for i, c in enumerate(cols)}, **{f"_a_{i}": start[c] for i, c in enumerate(cols)}})
-        .join(F.broadcast(carried), [key, "_chunk"])
-        .withColumns({c: F.coalesce(f"_b_{i}", f"_before_{i}", f"_a_{i}", f"_after_{i}") for i, c in enumerate(cols)})
-        .select(*[quoted(c) for c in df.columns])
+        *[F.last(f"_first_{i}", True).over(after).alias(f"_after_{i}") for i in range(len(cols))],
     )
-    back, start = local([key])
-    rest = marked.where("_chunk is null").drop("_chunk").withColumns({c: F.coalesce(back[c], start[c]) for c in cols})
-    return rest.unionByName(filled).unionByName(free)
 
 
 def dedupe_first(df: DataFrame, key: list[str], order: list[Column | str]) -> DataFrame:
