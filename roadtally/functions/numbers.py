@@ -49,7 +49,9 @@ def rate(part: Column | str, total: Column | str) -> Column:
 
 
 def grid(c: Column | str, precision: int) -> Column:
-    return F.round(col_of(c).cast("double"), precision)
+    """Coordinate rounded to a grid: the scaled double is rounded, half away from zero."""
+    scale = F.lit(10.0**precision)
+    return F.round(col_of(c).cast("double") * scale) / scale
 
 
 def jitter(c: Column | str, scale: float = 0.0005, seed: int = 42) -> Column:
