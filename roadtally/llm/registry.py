@@ -2,17 +2,51 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from roadtally.llm.line_dedup import dedup_lines
+from roadtally.llm.near_dedup import near_duplicates
 from roadtally.llm.substring_dedup import dedup_substrings
 from roadtally.llm.suffix_dedup import dedup_suffixes
+from roadtally.llm.token_output import token_output
 
 
 def _docs(spark: SparkSession, sf: str) -> DataFrame:
     return spark.read.parquet(f"{sf}/documents.parquet")
 
 
+def near_dedup(spark: SparkSession, sf: str) -> DataFrame:
+    return near_duplicates(_docs(spark, sf))
+
+
+NEAR_DEDUP = r"""
+WITH RECURSIVE words AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                    '[^\x20\x09-\x0D]+') AS parts FROM documents
+), shingles AS (
+  SELECT DISTINCT doc_id, list_aggregate(parts[i:i + 4], 'string_agg', ' ') AS shingle
+  FROM words, unnest(range(1, greatest(len(parts) - 4, least(len(parts), 1)) + 1)) AS u(i)
+), sizes AS (
+  SELECT doc_id, count(*) AS n FROM shingles GROUP BY doc_id
+), pairs AS (
+  SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS shared FROM shingles a JOIN shingles b ON a.shingle = b.shingle AND a.doc_id < b.doc_id GROUP BY 1, 2
+), links AS (
+  SELECT a, b FROM pairs JOIN sizes x ON x.doc_id = a JOIN sizes y ON y.doc_id = b WHERE 100 * shared >= 75 * (x.n + y.n - shared)
+), ways AS (
+  SELECT a, b FROM links UNION ALL SELECT b, a FROM links
+), reach AS (
+  SELECT doc_id AS a, doc_id AS b FROM documents
+  UNION
+  SELECT r.a, w.b FROM reach r JOIN ways w ON r.b = w.a
+), smallest AS (
+  SELECT a AS doc_id, min(b) AS component_id FROM reach GROUP BY a
+)
+SELECT d.doc_id, coalesce(z.n, 0) AS n_shingles, s.component_id, d.doc_id = s.component_id AS kept
+FROM documents d JOIN smallest s ON d.doc_id = s.doc_id LEFT JOIN sizes z ON d.doc_id = z.doc_id
+"""
+
+
 def line_dedup(spark: SparkSession, sf: str) -> DataFrame:
     return dedup_lines(_docs(spark, sf)).drop("kept")
 
@@ -64,8 +98,20 @@ SELECT d.doc_id, coalesce(k.n_words, 0) AS n_words, coalesce(k.n_removed, 0) AS
 FROM documents d LEFT JOIN kept k ON d.doc_id = k.doc_id
 """
 
+def _tokenizer() -> str:
+    """The tokenizer's own file; its path belongs to the machine of the driver only."""
+    with open(public_tokenizers.path("byte_bpe_50k.json"), encoding="utf-8") as file:
+        return file.read()
+
+
+def token_ids(spark: SparkSession, sf: str) -> DataFrame:
+    return token_output(_docs(spark, sf), _tokenizer()).drop("ids")
+
+
 QUERIES = {
+    "op1_near_dedup": (near_dedup, NEAR_DEDUP),
     "op2_line_dedup": (line_dedup, LINE_DEDUP),
     "op4_suffix_dedup": (suffix_dedup, None),
     "op9_substring_dedup": (substring_dedup, SUBSTRING_DEDUP),
+    "op10_token_output": (token_ids, None),
 }
