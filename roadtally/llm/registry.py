@@ -5,11 +5,13 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
+from roadtally.llm.language_id import identify
 from roadtally.llm.line_dedup import dedup_lines
 from roadtally.llm.near_dedup import near_duplicates
 from roadtally.llm.substring_dedup import dedup_substrings
 from roadtally.llm.suffix_dedup import dedup_suffixes
 from roadtally.llm.token_output import token_output
+from roadtally.llm.vector_search import nearest
 
 
 def _docs(spark: SparkSession, sf: str) -> DataFrame:
@@ -74,6 +76,14 @@ def suffix_dedup(spark: SparkSession, sf: str) -> DataFrame:
     return dedup_suffixes(_docs(spark, sf)).drop("kept")
 
 
+def vector_search(spark: SparkSession, sf: str) -> DataFrame:
+    return nearest(spark.read.parquet(f"{sf}/embeddings.parquet"))
+
+
+def language_id(spark: SparkSession, sf: str) -> DataFrame:
+    return identify(_docs(spark, sf))
+
+
 def substring_dedup(spark: SparkSession, sf: str) -> DataFrame:
     return dedup_substrings(_docs(spark, sf)).drop("kept")
 
@@ -112,6 +122,8 @@ QUERIES = {
     "op1_near_dedup": (near_dedup, NEAR_DEDUP),
     "op2_line_dedup": (line_dedup, LINE_DEDUP),
     "op4_suffix_dedup": (suffix_dedup, None),
+    "op5_vector_search": (vector_search, None),
+    "op8_language_id": (language_id, None),
     "op9_substring_dedup": (substring_dedup, SUBSTRING_DEDUP),
     "op10_token_output": (token_ids, None),
 }
