@@ -5,9 +5,12 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
+from roadtally.llm.decontaminate import contamination
 from roadtally.llm.language_id import identify
 from roadtally.llm.line_dedup import dedup_lines
+from roadtally.llm.mixing import mixed_counts
 from roadtally.llm.near_dedup import near_duplicates
+from roadtally.llm.secret_scan import scan
 from roadtally.llm.substring_dedup import dedup_substrings
 from roadtally.llm.suffix_dedup import dedup_suffixes
 from roadtally.llm.token_output import token_output
@@ -72,6 +75,75 @@ FROM marked GROUP BY doc_id
 """
 
 
+def mixing(spark: SparkSession, sf: str) -> DataFrame:
+    return mixed_counts(_docs(spark, sf)).drop("position")
+
+
+MIXING = r"""
+WITH sized AS (
+  SELECT doc_id, source AS s, md5(CAST(doc_id AS VARCHAR)) AS m,
+         CAST(len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS BIGINT) AS size
+  FROM documents
+), sources AS (
+  SELECT s, CAST(sum(size) AS BIGINT) AS source_size, row_number() OVER (ORDER BY s IS NULL, s) - 1 AS place FROM sized GROUP BY s
+), weighed AS (
+  SELECT *, CAST([5, 2, 1][place % 3 + 1] AS DOUBLE) AS weight, CAST(source_size AS DOUBLE) * 2 AS cap FROM sources
+), steps AS (
+  SELECT *, (sum(source_size) OVER () * CAST(1.5 AS DOUBLE)
+             - coalesce(sum(cap) OVER (ORDER BY cap / weight, place ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0))
+            / (sum(weight) OVER () - coalesce(sum(weight) OVER (ORDER BY cap / weight, place ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)) AS level
+  FROM weighed
+), levels AS (
+  SELECT level AS final FROM steps WHERE level * weight <= cap ORDER BY cap / weight, place LIMIT 1
+), goals AS (
+  SELECT s, source_size, least(cap, (SELECT final FROM levels) * weight) AS target FROM steps
+), placed AS (
+  SELECT z.*, g.source_size, g.target,
+         coalesce(sum(z.size) OVER (PARTITION BY z.s ORDER BY z.m, z.doc_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS start
+  FROM sized z JOIN goals g ON z.s IS NOT DISTINCT FROM g.s
+)
+SELECT doc_id, size, source_size, target,
+       CAST(greatest(0, least(size, floor(target) - start)) + greatest(0, least(size, floor(target) - source_size - start)) AS BIGINT) AS taken
+FROM placed
+"""
+
+
+def decontamination(spark: SparkSession, sf: str) -> DataFrame:
+    return contamination(_docs(spark, sf), spark.read.parquet(f"{sf}/benchmark.parquet")).drop("items")
+
+
+DECONTAMINATION = r"""
+WITH parts AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                    '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS words FROM documents
+), items AS (
+  SELECT CAST(item_id AS VARCHAR) AS item, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                    '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS words FROM benchmark
+), windows AS (
+  SELECT DISTINCT item, least(len(words), 10) AS size, list_aggregate(words[i:i + least(len(words), 10) - 1], 'string_agg', ' ') AS run
+  FROM items, unnest(range(1, len(words) - least(len(words), 10) + 2)) AS u(i) WHERE len(words) > 0
+), sizes AS (
+  SELECT DISTINCT size FROM windows
+), runs AS (
+  SELECT doc_id, i, size, list_aggregate(words[i:i + size - 1], 'string_agg', ' ') AS run
+  FROM parts, sizes, unnest(range(1, len(words) - size + 2)) AS u(i)
+), hits AS (
+  SELECT r.doc_id, r.i, r.size, w.item FROM runs r JOIN windows w ON r.size = w.size AND r.run = w.run
+), covered AS (
+  SELECT doc_id, count(DISTINCT p) AS n FROM hits, unnest(range(i, i + size)) AS u(p) GROUP BY doc_id
+), held AS (
+  SELECT doc_id, count(DISTINCT item) AS n, string_agg(DISTINCT item, ',' ORDER BY item) AS items FROM hits GROUP BY doc_id
+)
+SELECT p.doc_id, CAST(len(p.words) AS BIGINT) AS n_words, coalesce(c.n, 0) AS n_hit, coalesce(h.n, 0) AS n_items,
+       sha256(coalesce(h.items, '')) AS items_sha256, coalesce(c.n, 0) > 0 AS contaminated
+FROM parts p LEFT JOIN covered c ON p.doc_id = c.doc_id LEFT JOIN held h ON p.doc_id = h.doc_id
+"""
+
+
+def secret_scan(spark: SparkSession, sf: str) -> DataFrame:
+    return scan(_docs(spark, sf))
+
+
 def suffix_dedup(spark: SparkSession, sf: str) -> DataFrame:
     return dedup_suffixes(_docs(spark, sf)).drop("kept")
 
@@ -121,8 +193,11 @@ def token_ids(spark: SparkSession, sf: str) -> DataFrame:
 QUERIES = {
     "op1_near_dedup": (near_dedup, NEAR_DEDUP),
     "op2_line_dedup": (line_dedup, LINE_DEDUP),
+    "op3_mixing": (mixing, MIXING),
     "op4_suffix_dedup": (suffix_dedup, None),
     "op5_vector_search": (vector_search, None),
+    "op6_decontamination": (decontamination, DECONTAMINATION),
+    "op7_secret_scan": (secret_scan, None),
     "op8_language_id": (language_id, None),
     "op9_substring_dedup": (substring_dedup, SUBSTRING_DEDUP),
     "op10_token_output": (token_ids, None),
