@@ -14,11 +14,9 @@ from pyspark.sql import functions as F
 from roadtally.llm.common import BASE, BYTE_CODES, Digests, mix, staged
 from roadtally.llm.components import components
 
-#: Members of a bucket that are compared at once, and members of a pivot whose texts are compared in one task.
-TILE = 256
+#: Members of a bucket's block, two of which are compared at once, and members of a pivot whose texts are compared in one task.
+TILE = 512
 CHUNK = 64
-#: Slices of the candidates of one text and component, best estimates first; each slice sees what the one before has linked.
-SLICES = ((0, 2), (2, 32), (32, 1 << 30))
 
 
 @dataclass(frozen=True)
@@ -101,7 +99,7 @@ def likely(more: np.ndarray, fewer: np.ndarray, n_a: np.ndarray, n_b: np.ndarray
 
     u = (n_a / (n_a + n_b))[:, None]
     most = np.minimum(u / (1 - u), (1 - u) / u)
-    grid = np.linspace(0, 1, 101)[None] * most
+    grid = np.linspace(0, 1, 61)[None] * most
 
     def log_likelihood(j: np.ndarray) -> np.ndarray:
         above, below = p(u - (1 - u) * j), p(1 - u - u * j)
@@ -207,60 +205,101 @@ class _NearDedup:
             .mapInArrow(work, "a long, b long")
         )
 
-    def tiles(self, open_: DataFrame, firsts: DataFrame, first: int, last: int) -> DataFrame:
-        """Pairs of different components within buckets, those of estimate rank first <= rank < last for a text and component.
+    def tiles(self, open_: DataFrame, firsts: DataFrame) -> DataFrame:
+        """key, x, y, block, id, component: members of a bucket's blocks x and y that a member of another component may be linked with.
 
         A bucket is cut into blocks; two blocks meet in a task and are compared
-        by their registers, so no task sees a whole bucket and only likely pairs
-        leave it.
+        by their registers, so no task sees a whole bucket and no pairs leave
+        it. A pair counts in the first band that it shares only.
         """
         sketch = self.sketch
         blocks = F.ceil(F.col("members") / TILE).cast("int")
         rows = open_.withColumn("block", F.pmod(F.xxhash64("id"), blocks).cast("int")).withColumn(
             "other", F.explode(F.sequence(F.lit(0), blocks - 1)))
-        rows = rows.select("key", "id", "component", "block", F.least("block", "other").alias("x"), F.greatest("block", "other").alias("y"))
-        rows = rows.join(firsts.select("id", "n", "regs"), "id")
-
-        def tile(ids: list, comps: list, blocks_: list, sizes: list, regs: list, x: int, y: int) -> list[tuple[int, int]]:
-            ids, comps, blocks_, sizes = map(np.array, (ids, comps, blocks_, sizes))
-            table = np.frombuffer(b"".join(regs), np.uint16).reshape(-1, sketch.size)
-            left, right = np.flatnonzero(blocks_ == x), np.flatnonzero(blocks_ == y)
-            out = []
-            for i in left:
+        rows = rows.select("key", F.least("block", "other").alias("x"), F.greatest("block", "other").alias("y"), "block", "id", "component")
+        rows = rows.join(firsts.select("id", "n", "regs"), "id").select("key", "x", "y", "block", "id", "component", "n", "regs")
+
+        def tile(key: int, x: int, y: int, members: list[tuple]) -> list[tuple]:
+            blocks_, ids, comps, sizes = (np.array(c) for c in list(zip(*members))[:4])
+            table = np.frombuffer(b"".join(m[4] for m in members), np.uint16).reshape(-1, sketch.size)
+            band = int(np.flatnonzero(band_keys(table[:1], sketch)[0].view(np.int64) == key)[0])
+            right, wanted = np.flatnonzero(blocks_ == y), np.zeros(len(ids), bool)
+            for i in np.flatnonzero(blocks_ == x):
                 j = right[(comps[right] != comps[i]) & ((ids[right] > ids[i]) if x == y else True)]
                 j = j[100 * np.minimum(sizes[j], sizes[i]) >= sketch.percent * np.maximum(sizes[j], sizes[i])]
+                shared = (table[j] == table[i]).reshape(len(j), sketch.bands, sketch.rows).all(axis=2)
+                j = j[shared.argmax(axis=1) == band] if len(j) else j
+                if len(j):
+                    more, fewer = (table[i] > table[j]).sum(axis=1), (table[i] < table[j]).sum(axis=1)
+                    j = j[likely(more, fewer, np.full(len(j), sizes[i]), sizes[j], sketch)[1]]
+                    wanted[j] = True
+                    wanted[i] |= len(j) > 0
+            return [(key, x, y, *members[i][:3]) for i in np.flatnonzero(wanted)]
+
+        return self._by_tile(rows, tile, ["key", "x", "y", "block", "id", "component"])
+
+    def linked(self, members: DataFrame, texts: DataFrame) -> DataFrame:
+        """Pairs (a, b) that join components: all members of different components of a tile are compared by their full sets.
+
+        What a link joins is one component for the rest of the tile, so a tile
+        gives fewer links than it has members.
+        """
+        k, percent = self.sketch.shingle, self.sketch.percent
+        rows = members.join(texts, "id").select("key", "x", "y", "block", "id", "component", "text")
+
+        def tile(_: int, x: int, y: int, members: list[tuple]) -> list[tuple]:
+            words = [(m[3] or "").encode().lower().split() for m in members]
+            sets = [shingle_digests(w, k) for w in words]
+            _, codes = np.unique(np.concatenate(sets), return_inverse=True)
+            sizes = np.array([len(s) for s in sets])
+            starts = np.cumsum(sizes) - sizes
+            blocks_, ids, comps = (np.array(c) for c in list(zip(*members))[:3])
+            present, out = np.zeros(codes.max() + 1, np.int64), []
+            for i in np.flatnonzero(blocks_ == x):
+                j = np.flatnonzero((blocks_ == y) & (comps != comps[i]) & ((ids > ids[i]) if x == y else True)
+                                   & (100 * np.minimum(sizes, sizes[i]) >= percent * np.maximum(sizes, sizes[i])))
                 if not len(j):
                     continue
-                more, fewer = (table[i] > table[j]).sum(axis=1), (table[i] < table[j]).sum(axis=1)
-                estimate, keep = likely(more, fewer, np.full(len(j), sizes[i]), sizes[j], sketch)
-                j, estimate = j[keep], estimate[keep]
-                by = np.lexsort((-estimate, comps[j]))
-                new = np.concatenate(([True], np.diff(comps[j][by]) != 0)) if len(j) else np.empty(0, bool)
-                rank = np.arange(len(j)) - np.maximum.accumulate(np.where(new, np.arange(len(j)), 0)) if len(j) else new
-                out += [(int(ids[i]), int(ids[t])) for t in j[by][(rank >= first) & (rank < last)]]
+                own = codes[starts[i] : starts[i] + sizes[i]]
+                present[own] = 1
+                before = np.cumsum(sizes[j]) - sizes[j]
+                at = np.repeat(starts[j] - before, sizes[j]) + np.arange(sizes[j].sum())
+                both = np.add.reduceat(present[codes[at]], before)
+                present[own] = 0
+                for t in j[100 * both >= percent * (sizes[i] + sizes[j] - both)]:
+                    if comps[t] != comps[i]:
+                        a, b = shingles(words[i], k), shingles(words[t], k)
+                        if 100 * len(a & b) >= percent * len(a | b):
+                            out.append((int(ids[i]), int(ids[t])))
+                            comps[comps == comps[t]] = comps[i]
             return out
 
+        return self._by_tile(rows, tile, ["a", "b"])
+
+    @staticmethod
+    def _by_tile(rows: DataFrame, tile, names: list[str]) -> DataFrame:
+        """What `tile(key, x, y, other columns of its rows)` gives for each tile; columns `names`, all long."""
+        def pack(found: list[tuple]) -> pa.RecordBatch:
+            columns = list(zip(*found)) or [()] * len(names)
+            return pa.RecordBatch.from_arrays([pa.array(map(int, c), pa.int64()) for c in columns], names)
+
         def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             at, members = None, []
 
-            def settle() -> list[tuple[int, int]]:
-                return tile(*map(list, zip(*members)), at[1], at[2]) if len(members) > 1 else []
-
-            def pack(found: list[tuple[int, int]]) -> pa.RecordBatch:
-                columns = list(zip(*((min(p), max(p)) for p in found))) or [(), ()]
-                return pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], ["a", "b"])
+            def settle() -> list[tuple]:
+                return tile(*at, members) if len(members) > 1 else []
 
             for batch in batches:
                 found = []
-                for key, x, y, *row in zip(*(batch.column(c).to_pylist() for c in ("key", "x", "y", "id", "component", "block", "n", "regs"))):
+                for key, x, y, *row in zip(*(c.to_pylist() for c in batch.columns)):
                     if at != (key, x, y):
                         found += settle()
                         at, members = (key, x, y), []
-                    members.append(row)
+                    members.append(tuple(row))
                 yield pack(found)
             yield pack(settle())
 
-        return rows.repartition("key", "x", "y").sortWithinPartitions("key", "x", "y").mapInArrow(work, "a long, b long").distinct()
+        return rows.repartition("key", "x", "y").sortWithinPartitions("key", "x", "y").mapInArrow(work, ", ".join(f"{n} long" for n in names))
 
     def run(self) -> DataFrame:
         spark = self.spark
@@ -277,23 +316,25 @@ class _NearDedup:
         texts = staged(spark, self.docs.join(buckets.select("id").distinct(), "id", "left_semi").dropDuplicates(), "candidate-texts")
         links = staged(spark, ties, "links")
 
-        def settle(pairs: DataFrame, seen: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
-            """Links with the pairs' confirmed ones, their components, and the buckets that still hold several."""
-            new = staged(spark, seen.unionByName(self.confirmed(pairs, texts)), "links")
-            labels = components(new)
+        def settle(new: DataFrame, seen: DataFrame) -> tuple[DataFrame, DataFrame]:
+            """All links so far, and the components they make."""
+            links = staged(spark, seen.unionByName(new), "links")
+            return links, components(links)
+
+        def torn(labels: DataFrame) -> DataFrame:
+            """The buckets that still hold several components."""
             now = buckets.join(labels, "id", "left").withColumn("component", F.coalesce("component", "id"))
-            torn = now.groupBy("key").agg(F.min("component").alias("c0"), F.max("component").alias("c1")).where("c0 < c1")
-            return new, labels, staged(spark, now.join(torn.select("key"), "key"), "open-buckets")
+            several = now.groupBy("key").agg(F.min("component").alias("c0"), F.max("component").alias("c1")).where("c0 < c1")
+            return staged(spark, now.join(several.select("key"), "key"), "open-buckets")
 
         star = buckets.where("id > low").select(F.col("low").alias("a"), F.col("id").alias("b")).distinct()
-        links, labels, open_ = settle(self.estimated(star, firsts), links)
-        ends = open_.join(open_.select(F.col("id").alias("high"), F.col("component").alias("end")).distinct(), "high")
-        star = ends.where("component <> end").select(F.col("high").alias("a"), F.col("id").alias("b")).distinct()
-        links, labels, open_ = settle(self.estimated(star, firsts), links)
-        for first, last in SLICES:
-            if open_.isEmpty():
-                break
-            links, labels, open_ = settle(self.tiles(open_, firsts, first, last), links)
+        links, labels = settle(self.confirmed(self.estimated(star, firsts), texts), links)
+        open_ = torn(labels)
+        ends = open_.where("id = high").select("key", F.col("component").alias("end"))
+        star = open_.join(ends, "key").where("component <> end").select(F.col("high").alias("a"), F.col("id").alias("b")).distinct()
+        links, labels = settle(self.confirmed(self.estimated(star, firsts), texts), links)
+        members = staged(spark, self.tiles(torn(labels), firsts), "tile-members")
+        links, labels = settle(self.linked(members, texts), links)
         known = placed.select("id", "kind", "first").distinct().join(labels.select(F.col("id").alias("first"), "component"), "first", "left")
         return rows.select("id", "n", "kind").join(
             known.select(F.col("id").alias("own"), F.col("kind").alias("own_kind"), F.coalesce("component", "first").alias("component")),
@@ -312,8 +353,8 @@ def near_duplicates(docs: DataFrame, sketch: Sketch = Sketch(), id_col: str = "d
     sequences are one text from the start. Registers of a SetSketch are
     banded; texts that share a band are compared: first with the smallest and
     the largest of the bucket, then, in buckets that still hold several
-    components, with all texts of other components, by registers in tiles of
-    bounded size. What the joint likelihood leaves possible is confirmed on
+    components, with all texts of other components, in tiles of bounded size.
+    What the joint likelihood of the registers leaves possible is confirmed on
     the full sets. Pairs within one component need no comparison.
 
     Null or empty texts: no shingles, linked with nothing. Rows that share a
