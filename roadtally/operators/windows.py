@@ -3,159 +3,84 @@
 from __future__ import annotations
 
 import math
-from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
 from roadtally.operators.columns import quoted
-from roadtally.operators.joins import SHARE, hot_keys, hot_table
+from roadtally.session import scratch_dir
 
-# A chunk's number has DIGITS digits to this base; a digit is found among BASE - 1 cuts.
-BASE, DIGITS = 8, 4
-# Chunks of one table numbered as a whole.
-CHUNKS = 4096
-ACCURACY = 20_000
+# Rows of a chunk that one task puts in order.
+CHUNK_ROWS = 1_000_000
 
 
-def _cuts(df: DataFrame, order: str, chunks: int, by: str | None = None) -> DataFrame:
-    """Values that cut `order` into chunks of about equal size, per `by`."""
-    chunks = min(chunks, BASE**DIGITS)
-    points = F.expr("array(" + ", ".join(f"{i / chunks}D" for i in range(1, chunks)) + ")")
-    cut = F.percentile_approx(quoted(order), points, ACCURACY).alias("_cuts")
-    return df.groupBy(quoted(by)).agg(cut) if by else df.agg(cut)
+def _in_chunks(df: DataFrame, order: list[Column], chunk_rows: int) -> DataFrame:
+    """The rows with `_chunk`: chunks follow each other in `order` and are about equally large.
 
+    The cuts are a range partitioning along all order columns, so a long run of
+    equal values in the first ones is cut as well. The rows are written to the
+    shared folder first, so that what makes them runs once, and again in their
+    chunks, which are then fixed however often they are read.
+    """
+    spark = df.sparkSession
 
-def _digit_tables(cuts: DataFrame, keys: list[str]) -> list[DataFrame]:
-    """The cuts of each key as small tables, one per digit of the chunk number.
+    def written(rows: DataFrame) -> DataFrame:
+        path = scratch_dir(spark, "chunks")
+        rows.write.parquet(path)
+        return spark.read.parquet(path)
 
-    A row holds the cuts that decide its digit, given the key and the digits
-    before it. Cuts past the last one are null.
-    """
-    rows = cuts.collect()
-    width = BASE - 1
-    cut_type = cuts.schema["_cuts"].dataType.elementType
-    tables = []
-    for level in range(DIGITS):
-        digits = [f"_d{i}" for i in range(level)]
-        step = BASE ** (DIGITS - 1 - level)
-        out = []
-        for row in rows:
-            found = row["_cuts"]
-            for start in range(0, BASE**DIGITS, step * BASE):
-                mine = [found[i] if (i := start + step * j - 1) < len(found) else None for j in range(1, BASE)]
-                if start == 0 or mine[0] is not None:
-                    before = [start // BASE ** (DIGITS - 1 - i) % BASE for i in range(level)]
-                    out.append((*[row[k] for k in keys], *before, *mine))
-        fields = [cuts.schema[k] for k in keys] + [T.StructField(d, T.IntegerType()) for d in digits]
-        fields += [T.StructField(f"_c{j}", cut_type) for j in range(width)]
-        schema = T.StructType([T.StructField(f.name, f.dataType) for f in fields])
-        tables.append(cuts.sparkSession.createDataFrame(out, schema))
-    return tables
-
-
-def _with_chunk(df: DataFrame, cuts: DataFrame, keys: list[str], order: str) -> DataFrame:
-    """Add `_chunk`: the number of the key's cuts at or below the row's value, null for other keys.
-
-    Equal values share a chunk. The tables are small: fewer rows than there are
-    cuts.
-    """
-    value = F.col(quoted(order))
-    out = df
-    for level, table in enumerate(_digit_tables(cuts, keys)):
-        found = table.withColumn("_found", F.lit(True)) if level == 0 else table
-        out = out.join(F.broadcast(found), keys + [f"_d{i}" for i in range(level)], "left")
-        digit = sum((F.when(value >= F.col(f"_c{j}"), 1).otherwise(0) for j in range(1, BASE - 1)), F.when(value >= F.col("_c0"), 1).otherwise(0))
-        out = out.withColumn(f"_d{level}", digit).drop(*[f"_c{j}" for j in range(BASE - 1)])
-    digits = [F.col(f"_d{i}") for i in range(DIGITS)]
-    number = reduce(lambda left, right: left * BASE + right, digits)
-    return out.withColumn("_chunk", F.when(F.col("_found"), number)).drop(*[f"_d{i}" for i in range(DIGITS)], "_found")
-
-
-def _hot_cuts(df: DataFrame, key: str, order: str, hot: dict, share: float) -> DataFrame:
-    """(key, _cuts) for the hot keys, with chunks of at most about `share` of all rows.
-
-    Large and small hot keys are cut by two numbers of chunks, so that the
-    table stays small: few keys can be large.
-    """
-    large = math.sqrt(share)
-    tiers = [
-        ({k for k, p in hot.items() if p > large}, math.ceil(1 / share)),
-        ({k for k, p in hot.items() if p <= large}, math.ceil(large / share)),
-    ]
-    parts = []
-    for keys, chunks in tiers:
-        if keys:
-            table = F.broadcast(hot_table(df, key, dict.fromkeys(keys, 1), "_hot"))
-            parts.append(_cuts(df.join(table, key), order, max(2, chunks), key))
-    return reduce(lambda a, b: a.unionByName(b), parts)
-
-
-def fill_within(
-    df: DataFrame,
-    key: str,
-    cols: list[str],
-    order: list[str],
-    hot: dict | None = None,
-    share: float = SHARE,
-) -> DataFrame:
+    rows = written(df)
+    n = math.ceil(rows.count() / chunk_rows)
+    if n <= 1:
+        return rows.withColumn("_chunk", F.lit(0))
+    return written(rows.repartitionByRange(n, *order).withColumn("_chunk", F.spark_partition_id()))
+
+
+def fill_within(df: DataFrame, key: str, cols: list[str], order: list[str], chunk_rows: int = CHUNK_ROWS) -> DataFrame:
     """Forward fill, then backward fill, within rows of the same key in `order`.
 
     Rows with a null key are groups of their own and stay as they are. The
-    group of a hot key is cut into chunks along the first order column; each
-    chunk is filled by itself and the values that must cross a chunk border
-    travel in a small table of one row per chunk.
+    table is cut into chunks along key and order, so a large group spans
+    several chunks; each is filled by itself. A chunk shares groups with its
+    neighbours through its first and its last key only, so the values that must
+    cross a border travel in a table of two rows per chunk at most.
     """
-    if hot is None:
-        hot = hot_keys(df, key, share)
-    hot = {k: p for k, p in hot.items() if k is not None}
     by_order = [F.col(quoted(o)) for o in order]
-    no_key = F.col(quoted(key)).isNull()
-    # Rows without a key are spread anywhere, as nothing is filled there.
-    anywhere = F.pmod(F.xxhash64(*by_order), F.lit(CHUNKS)).cast("int")
-    if hot:
-        cuts = _hot_cuts(df, key, order[0], hot, share)
-        chunked = _with_chunk(df, cuts, [key], order[0])
-        parted = chunked.withColumn("_part", F.when(no_key, anywhere).otherwise(F.coalesce("_chunk", F.lit(0))))
-    else:
-        parted = df.withColumn("_part", F.when(no_key, anywhere).otherwise(F.lit(0)))
+    own, no_key = F.col(quoted(key)), F.col(quoted(key)).isNull()
+    parted = _in_chunks(df, [own, *by_order], chunk_rows)
 
     # Only rows ahead of the part's first value need that value, so its frame is
     # the whole part; a frame from the row onwards would be read anew for every row.
-    w = Window.partitionBy(quoted(key), "_part").orderBy(*by_order)
+    w = Window.partitionBy("_chunk", quoted(key)).orderBy(*by_order)
     back = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     whole = w.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    # A window of rows without a key is a row's own: nothing is filled there, and they are no group.
+    keyed, lone = parted.where(~no_key), parted.where(no_key)
     steps = {f"_back_{i}": F.last(quoted(c), True).over(back) for i, c in enumerate(cols)}
     steps |= {f"_start_{i}": F.first(quoted(c), True).over(whole) for i, c in enumerate(cols)}
-    out = parted.withColumns(steps)
-    sources = ["_back", "_start"]
-    if hot:
-        # One row per chunk of a hot key.
-        out = out.join(F.broadcast(_carried(chunked, key, cols, by_order)), [key, "_part"], "left")
-        sources = ["_back", "_before", "_start", "_after"]
-    filled = {
-        c: F.when(no_key, F.col(quoted(c))).otherwise(F.coalesce(*[F.col(f"{s}_{i}") for s in sources]))
-        for i, c in enumerate(cols)
-    }
-    return out.withColumns(filled).select(*[quoted(c) for c in df.columns])
+    out = keyed.withColumns(steps).join(F.broadcast(_carried(keyed, key, cols, by_order)), ["_chunk", key], "left")
+    filled = {c: F.coalesce(*[F.col(f"{s}_{i}") for s in ("_back", "_before", "_start", "_after")]) for i, c in enumerate(cols)}
+    names = [quoted(c) for c in df.columns]
+    return out.withColumns(filled).select(*names).unionByName(lone.select(*names))
 
 
 def _carried(chunked: DataFrame, key: str, cols: list[str], by_order: list[Column]) -> DataFrame:
-    """Per chunk of a hot key the last value before it and the first value after it."""
+    """Of keys that lie at a chunk's border: the last value before each of their chunks and the first one after it."""
     rank = F.struct(*by_order)
-    cut = chunked.where("_chunk is not null")
+    edges = chunked.groupBy("_chunk").agg(F.min(quoted(key)).alias("_lo"), F.max(quoted(key)).alias("_hi"))
+    # At most two keys per chunk.
+    border = edges.select(F.explode(F.array("_lo", "_hi")).alias(key)).distinct()
+    cut = chunked.join(F.broadcast(border), key, "left_semi")
     ends = cut.groupBy(quoted(key), "_chunk").agg(
         *[F.max_by(quoted(c), F.when(F.col(quoted(c)).isNotNull(), rank)).alias(f"_end_{i}") for i, c in enumerate(cols)],
         *[F.min_by(quoted(c), F.when(F.col(quoted(c)).isNotNull(), rank)).alias(f"_first_{i}") for i, c in enumerate(cols)],
     )
-    chain = Window.partitionBy(quoted(key)).orderBy("_chunk")
-    before = chain.rowsBetween(Window.unboundedPreceding, -1)
+    before = Window.partitionBy(quoted(key)).orderBy("_chunk").rowsBetween(Window.unboundedPreceding, -1)
     after = Window.partitionBy(quoted(key)).orderBy(F.desc("_chunk")).rowsBetween(Window.unboundedPreceding, -1)
     return ends.select(
         quoted(key),
-        F.col("_chunk").alias("_part"),
+        "_chunk",
         *[F.last(f"_end_{i}", True).over(before).alias(f"_before_{i}") for i in range(len(cols))],
         *[F.last(f"_first_{i}", True).over(after).alias(f"_after_{i}") for i in range(len(cols))],
     )
@@ -171,20 +96,18 @@ def dedupe_first(df: DataFrame, key: list[str], order: list[Column | str]) -> Da
     return df.withColumn("_place", F.row_number().over(w)).where(F.col("_place") == 1).drop("_place")
 
 
-def dense_row_number(df: DataFrame, order: list[str], name: str, chunks: int = CHUNKS) -> DataFrame:
-    """1, 2, 3, ... in `order`, whose first column is a number, date or time without nulls.
+def dense_row_number(df: DataFrame, order: list[str], name: str, chunk_rows: int = CHUNK_ROWS) -> DataFrame:
+    """1, 2, 3, ... in `order`.
 
-    The rows are cut into chunks along that column; the numbers of a chunk
+    The rows are cut into chunks along the whole order; the numbers of a chunk
     start after the rows of the chunks before it.
     """
-    cuts = _cuts(df, order[0], chunks).where("_cuts is not null").withColumn("_all", F.lit(1))
-    chunked = _with_chunk(df.withColumn("_all", F.lit(1)), cuts, ["_all"], order[0]).drop("_all")
-    # One offset per chunk.
-    offsets, seen = [], 0
-    for chunk, size in sorted(tuple(r) for r in chunked.groupBy("_chunk").count().collect()):
-        offsets.append((chunk, seen))
-        seen += size
-    starts = df.sparkSession.createDataFrame(offsets, "_chunk int, _start bigint")
-    w = Window.partitionBy("_chunk").orderBy(*[F.col(quoted(o)) for o in order])
-    numbered = chunked.withColumn("_place", F.row_number().over(w)).join(F.broadcast(starts), "_chunk")
+    by = [F.col(quoted(o)) for o in order]
+    chunked = _in_chunks(df, by, chunk_rows)
+    sizes = chunked.groupBy("_chunk").agg(F.count(F.lit(1)).alias("_n"))
+    ahead = Window.orderBy("_chunk").rowsBetween(Window.unboundedPreceding, -1)
+    # One row per chunk.
+    starts = sizes.select("_chunk", F.coalesce(F.sum("_n").over(ahead), F.lit(0)).alias("_start"))
+    place = F.row_number().over(Window.partitionBy("_chunk").orderBy(*by))
+    numbered = chunked.withColumn("_place", place).join(F.broadcast(starts), "_chunk")
     return numbered.withColumn(name, F.col("_place") + F.col("_start")).drop("_chunk", "_place", "_start")

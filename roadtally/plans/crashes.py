@@ -117,11 +117,14 @@ def clean_crashes(
     geocode_order: str = "batch",
     order: list[str] | None = None,
 ) -> DataFrame:
-    """The whole crash pipeline as one lazy plan (the polygon layers are indexed on the way)."""
+    """The whole crash pipeline as one lazy plan (the polygon layers are indexed on the way).
+
+    Borough and ZIP come from the final location alone, so they are not filled before it.
+    """
     boroughs, zips = as_layer(boroughs), as_layer(zips)
-    out = fill_places(clean_basics(raw), boroughs, zips)
+    out = clean_basics(raw)
     if geocodes is not None:
-        out = fill_places(fill_coordinates(out, geocodes, geocode_order), boroughs, zips)
+        out = fill_coordinates(out, geocodes, geocode_order)
     out = dedupe_first(out, ["collision_id"], order or ["crash_datetime", "full_address"])
     return finish_places(out, boroughs, zips)
 

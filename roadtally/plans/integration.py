@@ -20,10 +20,14 @@ def fill_streets(df: DataFrame) -> DataFrame:
 
 
 def merge(persons: DataFrame, crashes: DataFrame, order: list[str] | None = None, hot: dict | None = None) -> DataFrame:
-    """Left join, seat labels, rows without any place dropped, gaps filled within a collision."""
+    """Left join, seat labels, rows without any place dropped, gaps filled within a collision, then unknown streets named.
+
+    `hot` are the persons' hot collisions, if the caller knows them; else they
+    are looked up in the persons table, once.
+    """
     merged = integrate(persons, crashes, hot=hot)
     if "position_in_vehicle" in merged.columns:
         merged = merged.withColumn("position_in_vehicle_clean", clean_position("position_in_vehicle")).drop("position_in_vehicle")
     there = [c for c in CRITICAL if c in merged.columns]
     placed = merged.where(F.coalesce(*[F.col(c).cast("string") for c in there]).isNotNull())
-    return fill_within(placed, "collision_id", there, order or ["unique_id"], hot=hot)
+    return fill_streets(fill_within(placed, "collision_id", there, order or ["unique_id"]))

@@ -180,13 +180,22 @@ def brute_fill(data, cols):
     return out
 
 
-@pytest.mark.parametrize("hot", [{}, {7: 0.33}, {7: 0.33, 3: 0.01, 50: 0.01}, {7: 0.33, None: 0.33}])
-def test_fill_within_equals_brute_force(spark, skewed, hot):
+@pytest.mark.parametrize("chunk_rows", [10**6, 200, 40, 7])
+@pytest.mark.parametrize("order", [["id"], ["half", "id"]])
+def test_fill_within_equals_brute_force(spark, skewed, chunk_rows, order):
+    """A group with a third of the rows, also in an order whose first column has two values."""
+    data = skewed.withColumn("half", (F.col("id") > 450).cast("int"))
     want = brute_fill(skewed.collect(), ["v", "w"])
-    got = windows.fill_within(skewed, "k", ["v", "w"], ["id"], hot=hot, share=1 / 50)
+    got = windows.fill_within(data, "k", ["v", "w"], order, chunk_rows=chunk_rows)
     assert {r["id"]: (r["v"], r["w"]) for r in got.collect()} == want
 
 
+def test_chunks_split_long_runs_of_equal_values(spark):
+    df = spark.range(4000).withColumn("half", F.col("id") % 2)
+    chunks = windows._in_chunks(df, [F.col("half"), F.col("id")], 200).groupBy("_chunk").count().collect()
+    assert len(chunks) == 20 and max(r["count"] for r in chunks) <= 400
+
+
 def test_dedupe_and_row_numbers(spark, skewed):
     first = windows.dedupe_first(skewed, ["k"], ["id"])
     want = {}
@@ -194,7 +203,7 @@ def test_dedupe_and_row_numbers(spark, skewed):
         want.setdefault(r["k"], r["id"])
     assert {r["k"]: r["id"] for r in first.collect()} == want
     assert "WindowGroupLimit" in first._jdf.queryExecution().executedPlan().toString()
-    numbered = windows.dense_row_number(skewed.where("id % 2 = 0"), ["id"], "n", chunks=7)
+    numbered = windows.dense_row_number(skewed.where("id % 2 = 0"), ["id"], "n", chunk_rows=70)
     assert [r["n"] for r in numbered.orderBy("id").collect()] == list(range(1, 451))
     assert co.with_row_id(skewed).select("unique_id").distinct().count() == 900
     assert co.with_row_id(skewed, "u", ["id"]).agg(F.max("u")).first()[0] == 900
@@ -261,6 +270,19 @@ def test_exact_quantiles_equal_numpy(spark, buckets):
     assert got == pytest.approx(np.quantile([v for v in data if v is not None], qs))
 
 
+def test_quantiles_and_histogram_with_infinities(spark):
+    inf = float("inf")
+    data = [-inf] * 3 + [float(i) for i in range(10)] + [1e308, -1e308] + [inf] * 5 + [float("nan"), None]
+    df = spark.createDataFrame([(v,) for v in data], "v double")
+    clean = sorted(v for v in data if v is not None and v == v)
+    got = stats.exact_quantiles(df, "v", [0.0, 0.1, 0.5, 0.9, 1.0], 2)
+    at = [q * (len(clean) - 1) for q in (0.0, 0.1, 0.5, 0.9, 1.0)]
+    want = [clean[int(x)] if clean[int(x)] == clean[min(int(x) + 1, len(clean) - 1)] else clean[int(x)] + (clean[int(x) + 1] - clean[int(x)]) * (x - int(x)) for x in at]
+    assert got == pytest.approx(want)
+    small = spark.createDataFrame([(v,) for v in [-inf, 0.0, 1.0, 10.0, inf, inf]], "v double")
+    assert [tuple(r) for r in stats.histogram(small, "v", 2).collect()] == [(-1, -inf, 0.0, 1), (0, 0.0, 5.0, 2), (1, 5.0, 10.0, 1), (2, 10.0, inf, 2)]
+
+
 def test_quantiles_of_one_value_and_none(spark):
     df = spark.createDataFrame([(2.0,), (2.0,)], "v double")
     assert stats.exact_quantiles(df, "v", [0.5], 2) == [2.0]
