@@ -9,10 +9,10 @@ from pyspark.ml.clustering import KMeans
 from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.storagelevel import StorageLevel
 
 from roadtally.operators.columns import quoted
 from roadtally.operators.joins import lookup_join
+from roadtally.session import scratch_dir
 
 BUCKETS = 1024
 
@@ -39,27 +39,26 @@ def correlation_matrix(df: DataFrame, cols: list[str], fill: float | None = None
     return out.withColumn("corr", F.coalesce("corr", F.lit(fill))) if fill is not None else out
 
 
-def value_frequencies(df: DataFrame, c: str) -> DataFrame:
-    """(v double, n) for the column's non-null values."""
-    value = F.col(quoted(c)).try_cast("double").alias("v")
-    return df.select(value).where("v is not null and not isnan(v)").groupBy("v").agg(F.count(F.lit(1)).alias("n"))
+# Accuracy of the sketch that brackets the ranks: a value's rank is off by at most 1 / ACCURACY of the rows.
+ACCURACY = 10_000
 
 
 @dataclass
 class _Rank:
-    """The k-th smallest (from 0) of a column's values in lo..hi."""
+    """The k-th smallest (from 0) of a column's finite values, known to lie in lo..hi; k counts from the least of lo..hi if `inside`."""
 
     column: int
     k: int
     lo: float
     hi: float
+    inside: bool = False
 
 
 def _narrow(values: DataFrame, ranks: list[_Rank], buckets: int) -> None:
     """One pass: cut the ranges into buckets and keep for each rank the bucket that holds it.
 
     Buckets are counted per task before the shuffle; the result has at most
-    ranges x buckets rows.
+    ranges x (buckets + 1) rows. Bucket -1 counts the values below a range.
     """
     ranges = sorted({(r.column, r.lo, r.hi) for r in ranks})
     wanted = F.array().cast("array<struct<id:int,lo:double,hi:double>>")
@@ -70,9 +69,11 @@ def _narrow(values: DataFrame, ranks: list[_Rank], buckets: int) -> None:
             if c == column
         ]
         wanted = F.when(F.col("c") == column, F.array(*mine)).otherwise(wanted)
-    hits = values.select("v", F.explode(F.filter(wanted, lambda t: F.col("v").between(t.lo, t.hi))).alias("t"))
-    width = (F.col("t.hi") - F.col("t.lo")) / F.lit(float(buckets))
-    at = F.least(F.floor((F.col("v") - F.col("t.lo")) / width), F.lit(buckets - 1))
+    hits = values.select("v", F.explode(F.filter(wanted, lambda t: F.col("v") <= t.hi)).alias("t"))
+    # Halves first: the span of two finite numbers may be infinite.
+    share = F.try_divide(F.col("v") / 2 - F.col("t.lo") / 2, F.col("t.hi") / 2 - F.col("t.lo") / 2)
+    inside = F.least(F.floor(F.coalesce(share, F.lit(0.0)) * buckets), F.lit(buckets - 1))
+    at = F.when(F.col("v") < F.col("t.lo"), -1).otherwise(inside)
     rows = (
         hits.groupBy(F.col("t.id").alias("id"), at.alias("b"))
         .agg(F.count(F.lit(1)).alias("n"), F.min("v").alias("lo"), F.max("v").alias("hi"))
@@ -83,30 +84,56 @@ def _narrow(values: DataFrame, ranks: list[_Rank], buckets: int) -> None:
         histograms.setdefault(row["id"], []).append(row)
     place = {r: i for i, r in enumerate(ranges)}
     for rank in ranks:
+        before = (rank.lo, rank.hi)
         for row in histograms[place[rank.column, rank.lo, rank.hi]]:
+            if row["b"] == -1 and rank.inside:
+                continue
             if rank.k < row["n"]:
                 rank.lo, rank.hi = row["lo"], row["hi"]
                 break
             rank.k -= row["n"]
+        rank.inside = True
+        if (rank.lo, rank.hi) == before and rank.lo < rank.hi:
+            raise ArithmeticError(f"no progress between {rank.lo} and {rank.hi}")
 
 
 def quantiles(df: DataFrame, cols: list[str], qs: list[float], buckets: int = BUCKETS) -> dict[str, list[float | None]]:
     """Exact quantiles of several columns, with linear interpolation between neighbours.
 
-    All columns and ranks are narrowed down together: a pass reads the columns
-    once, shuffles bucket counts only and sends a bounded number of rows to the
-    driver. Nulls and NaN are left out; values must be finite.
+    A sketch of all columns brackets every rank to about 1 / ACCURACY of the
+    rows on either side; one more pass counts what lies below and cuts the
+    brackets into buckets, which leaves few values each. A further pass is
+    needed only where a bucket still holds different values. A pass reads the
+    columns once, shuffles counts only and sends a bounded number of rows to
+    the driver. Nulls and NaN are left out; the infinities are the first and
+    the last ranks.
     """
     cells = F.array(*[F.struct(F.lit(i).alias("c"), F.col(quoted(c)).try_cast("double").alias("v")) for i, c in enumerate(cols)])
-    values = df.select(F.explode(cells).alias("p")).select("p.*").where("v is not null and not isnan(v)")
-    by_column = values.groupBy("c").agg(F.count(F.lit(1)).alias("n"), F.min("v").alias("lo"), F.max("v").alias("hi"))
+    every = df.select(F.explode(cells).alias("p")).select("p.*").where("v is not null and not isnan(v)")
+    size = F.abs(F.col("v"))
+    values = every.where(size < float("inf"))
+    finite = F.when(size < float("inf"), F.col("v"))
+    points = sorted({min(1.0, max(0.0, q + d)) for q in qs for d in (-2 / ACCURACY, 2 / ACCURACY)})
+    by_column = every.groupBy("c").agg(
+        F.count(finite).alias("n"), F.count(F.when(F.col("v") == float("-inf"), 1)).alias("low"), F.count(F.when(F.col("v") == float("inf"), 1)).alias("high"),
+        F.min(finite).alias("lo"), F.max(finite).alias("hi"), F.percentile_approx(finite, points, ACCURACY).alias("near"),
+    )
     spans = {r["c"]: r for r in by_column.collect()}
-    places = {c: [(s["n"] - 1) * q for q in qs] for c, s in spans.items()}
-    ranks = {
-        (c, k): _Rank(c, k, spans[c]["lo"], spans[c]["hi"])
-        for c, at in places.items()
-        for k in {f(x) for x in at for f in (math.floor, math.ceil)}
-    }
+    places = {c: [(s["low"] + s["n"] + s["high"] - 1) * q for q in qs] for c, s in spans.items()}
+    ranks: dict[tuple[int, int], _Rank] = {}
+    for c, at in places.items():
+        s = spans[c]
+        for k in {f(x) for x in at for f in (math.floor, math.ceil)}:
+            own = k - s["low"]
+            if own < 0 or own >= s["n"]:
+                end = float("-inf") if own < 0 else float("inf")
+                ranks[c, k] = _Rank(c, own, end, end)
+                continue
+            # the sketch's values below and above the rank, with the allowance for its error
+            part = own / max(1, s["n"] - 1)
+            below = [v for p, v in zip(points, s["near"]) if p <= part - 1 / ACCURACY]
+            above = [v for p, v in zip(points, s["near"]) if p >= part + 1 / ACCURACY]
+            ranks[c, k] = _Rank(c, own, max(below, default=s["lo"]), min(above, default=s["hi"]))
     while open_ranks := [r for r in ranks.values() if r.lo < r.hi]:
         _narrow(values, open_ranks, buckets)
     out: dict[str, list[float | None]] = {}
@@ -115,7 +142,7 @@ def quantiles(df: DataFrame, cols: list[str], qs: list[float], buckets: int = BU
             out[c] = [None for _ in qs]
             continue
         ends = [(ranks[i, math.floor(x)].lo, ranks[i, math.ceil(x)].lo, x - math.floor(x)) for x in places[i]]
-        out[c] = [low + (high - low) * part for low, high, part in ends]
+        out[c] = [low if low == high or not part else low + (high - low) * part for low, high, part in ends]
     return out
 
 
@@ -153,15 +180,25 @@ def box_stats(df: DataFrame, c: str, k: float = 1.5) -> DataFrame:
 
 
 def histogram(df: DataFrame, c: str, nbins: int = 30) -> DataFrame:
-    """Equal-width bins from min to max; the maximum belongs to the last bin. Empty bins are left out."""
-    freq = value_frequencies(df, c)
-    lo = freq.agg(F.min("v")).scalar()
-    hi = freq.agg(F.max("v")).scalar()
-    spans = freq.withColumns({"_lo": lo, "_w": (hi - lo) / F.lit(float(nbins))})
-    at = F.least(F.coalesce(F.floor(F.try_divide(F.col("v") - F.col("_lo"), F.col("_w"))), F.lit(0)), F.lit(nbins - 1))
-    out = spans.groupBy(at.cast("int").alias("bin"), "_lo", "_w").agg(F.sum("n").alias("cnt"))
+    """Equal-width bins from the least to the largest finite value; the largest belongs to the last bin. Empty bins are left out.
+
+    Infinite values have bins of their own, -1 and `nbins`. The values are
+    read twice, for the ends and for the counts; counts alone are shuffled.
+    """
+    value = F.col(quoted(c)).try_cast("double")
+    values = df.select(value.alias("v")).where("v is not null and not isnan(v)")
+    finite = F.when(F.abs(F.col("v")) < float("inf"), F.col("v"))
+    ends = values.agg(F.struct(F.min(finite).alias("lo"), F.max(finite).alias("hi"))).scalar()
+    spans = values.withColumn("_ends", ends).withColumns({"_lo": F.col("_ends.lo"), "_w": (F.col("_ends.hi") - F.col("_ends.lo")) / F.lit(float(nbins))})
+    inside = F.least(F.coalesce(F.floor(F.try_divide(finite - F.col("_lo"), F.col("_w"))), F.lit(0)), F.lit(nbins - 1))
+    at = F.when(F.col("v") == float("-inf"), -1).when(F.col("v") == float("inf"), nbins).otherwise(inside)
+    out = spans.groupBy(at.cast("int").alias("bin"), "_lo", "_w").agg(F.count(F.lit(1)).alias("cnt"))
     start = F.col("_lo") + F.col("bin") * F.col("_w")
-    return out.select("bin", start.alias("bin_start"), (start + F.col("_w")).alias("bin_end"), "cnt").orderBy("bin")
+    first, last = F.col("bin") < 0, F.col("bin") >= nbins
+    return out.select(
+        "bin", F.when(first, F.lit(float("-inf"))).otherwise(start).alias("bin_start"),
+        F.when(last, F.lit(float("inf"))).otherwise(start + F.col("_w")).alias("bin_end"), "cnt",
+    ).orderBy("bin")
 
 
 def impute_mean(df: DataFrame, c: str, lo: float, hi: float) -> DataFrame:
@@ -246,6 +283,7 @@ def hotspots(df: DataFrame, k: int = 10, seed: int = 42, lat: str = "latitude",
 
     Rows at the same place are merged and weighted by their number, which
     leaves the objective unchanged and shrinks the data the iterations read.
+    The merged points are a table in the shared folder.
     With `min_rows` rows or fewer there are no clusters.
     """
     points = (
@@ -253,10 +291,12 @@ def hotspots(df: DataFrame, k: int = 10, seed: int = 42, lat: str = "latitude",
         .groupBy(F.col(lat).cast("double").alias(lat), F.col(lon).cast("double").alias(lon))
         .agg(F.count(F.lit(1)).cast("double").alias("points"))
     )
-    vectors = VectorAssembler(inputCols=[lat, lon], outputCol="_xy").transform(points).persist(StorageLevel.MEMORY_AND_DISK)
+    path = scratch_dir(df.sparkSession, "points")
+    points.write.parquet(path)
+    points = df.sparkSession.read.parquet(path)
+    vectors = VectorAssembler(inputCols=[lat, lon], outputCol="_xy").transform(points)
     size = vectors.agg(F.sum("points").alias("n"), F.count(F.lit(1)).alias("d")).first()
     if (size["n"] or 0) <= min_rows:
-        vectors.unpersist()
         return points.where("false").select(lat, lon, F.col("points").cast("bigint"), F.lit(0).alias("cluster"), F.lit(0).cast("bigint").alias("cluster_size"))
     model = KMeans(k=min(k, size["d"]), seed=seed, featuresCol="_xy", predictionCol="cluster", weightCol="points").fit(vectors)
     placed = model.transform(vectors).drop("_xy")
