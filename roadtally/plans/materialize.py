@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.storagelevel import StorageLevel
 
 from roadtally.functions.numbers import age_band, rate
 from roadtally.functions.temporal import day_type, try_ts
@@ -28,6 +27,19 @@ DIMENSIONS = {
     "motorcycle_vs_car_fatalities": ("vtype",),
     "borough_vs_injury": ("borough_label", "injury"),
 }
+# Order of each question's rows: columns, falling ones with a minus.
+ORDER = {
+    "safety_vs_injury": ("-cnt", "safety", "injury"),
+    "injuries_by_hour": ("hour", "injury"),
+    "age_group_counts": ("-cnt", "age_group"),
+    "severity_by_gender": ("-cnt", "sex", "injury"),
+    "person_type_injury_rates": ("-injured", "person_type_label"),
+    "ejection_vs_severity": ("-cnt", "ejection_label", "injury"),
+    "position_vs_severity": ("-cnt", "position", "injury"),
+    "weekday_weekend_injuries": ("day_type",),
+    "motorcycle_vs_car_fatalities": ("vtype",),
+    "borough_vs_injury": ("borough_label", "injury"),
+}
 LIVE = {name: getattr(q, name) for name in DIMENSIONS}
 
 
@@ -94,11 +106,6 @@ def shape_answer(cells: DataFrame, name: str) -> DataFrame:
     return mine.select(*dims, "cnt")
 
 
-def keep(df: DataFrame) -> DataFrame:
-    """Keep a frame that several questions read, in memory and on disk."""
-    return df.persist(StorageLevel.MEMORY_AND_DISK)
-
-
 def materialize(merged: DataFrame, folder: str, mode: str = "overwrite") -> None:
     """Write one table per question below `folder`.
 
@@ -115,8 +122,7 @@ def materialize(merged: DataFrame, folder: str, mode: str = "overwrite") -> None
 def answer(spark: SparkSession, name: str, merged: DataFrame, folder: str, filters: Filters = Filters()) -> DataFrame:
     """The materialised table if it exists and nothing is filtered, else the live question."""
     if filters.empty and path_exists(spark, f"{folder}/{name}"):
-        stored = spark.read.parquet(f"{folder}/{name}")
-        if name == "safety_vs_injury":
-            return stored.orderBy(F.desc("cnt"), "safety", "injury").limit(1000)
-        return stored
+        by = [F.desc(c[1:]) if c.startswith("-") else F.col(c) for c in ORDER[name]]
+        stored = spark.read.parquet(f"{folder}/{name}").orderBy(*by)
+        return stored.limit(1000) if name == "safety_vs_injury" else stored
     return LIVE[name](merged, filters)

@@ -11,18 +11,14 @@ from roadtally.sources.readers import path_exists
 FACETS = ("boroughs", "years", "vehicle_types", "factors")
 # Summary column behind each facet.
 SUMMARY_COLUMNS = {"boroughs": "borough", "years": "year", "vehicle_types": "vehicle_type", "factors": "factor"}
-# A facet list is a choice on a screen; above this it stays a table.
-MAX_VALUES = 100_000
 
 
-def facet_document(facets: DataFrame, max_values: int = MAX_VALUES, columns_count: int | None = None) -> DataFrame:
-    """(facet, value) rows -> one row with a sorted array per facet.
+def facet_document(facets: DataFrame, columns_count: int | None = None) -> DataFrame:
+    """(facet, value) rows -> one row with a sorted array per facet, for small tables.
 
-    The size is checked first: a facet table that is larger than a document
-    should be is refused, as the table itself already is the whole result.
+    A list of a whole facet is one cell; a facet of very many values is better
+    kept as the (facet, value) table, which `write_facets` writes as well.
     """
-    if facets.limit(max_values + 1).count() > max_values:
-        raise ValueError(f"more than {max_values} facet values: keep the (facet, value) table")
     arrays = []
     for name in FACETS:
         mine = F.collect_list(F.when(F.col("facet") == name, F.col("value")))
@@ -43,8 +39,9 @@ def key_value(doc: DataFrame) -> DataFrame:
 
 
 def write_facets(facets: DataFrame, folder: str, columns_count: int | None = None, mode: str = "overwrite") -> None:
-    """Write the document as JSON and the key-value table as Parquet."""
-    doc = facet_document(facets, columns_count=columns_count)
+    """Write the document as JSON, the key-value table and the (facet, value) table as Parquet."""
+    facets.write.mode(mode).parquet(f"{folder}/facet_values")
+    doc = facet_document(facets.sparkSession.read.schema(facets.schema).parquet(f"{folder}/facet_values"), columns_count=columns_count)
     doc.write.mode(mode).json(f"{folder}/metadata_json")
     key_value(doc).write.mode(mode).parquet(f"{folder}/metadata_parquet")
 
@@ -67,7 +64,7 @@ def clean_facets(facets: DataFrame) -> DataFrame:
 
 
 def load_facets(spark: SparkSession, folder: str, summary: DataFrame | None = None) -> DataFrame:
-    """(facet, value) rows from the JSON document, else the Parquet table, else a summary."""
+    """(facet, value) rows from the JSON document, else the key-value table, else a summary."""
     as_json, as_table = f"{folder}/metadata_json", f"{folder}/metadata_parquet"
     if path_exists(spark, as_json):
         schema = "boroughs array<string>, years array<string>, vehicle_types array<string>, factors array<string>"

@@ -2,7 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+import csv
+import warnings
+from urllib.parse import unquote, urlparse
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -27,15 +31,47 @@ GEOCODE_TYPES = {
 }
 
 
-def read_csv(spark: SparkSession, path: str | list[str], infer: bool = False, schema: T.StructType | str | None = None) -> DataFrame:
+# How lossless CSV writes a null; texts cannot look like it, as their backslashes are escaped.
+NULL = "\\N"
+
+
+def escape_breaks(text: Column) -> Column:
+    """Backslash, line feed and carriage return of a text as backslash and a letter."""
+    for char, code in (("\\", "\\\\"), ("\n", "\\n"), ("\r", "\\r")):
+        text = F.replace(text, F.lit(char), F.lit(code))
+    return text
+
+
+def unescape_breaks(text: Column) -> Column:
+    """The reverse of `escape_breaks`; the pieces between doubled backslashes are undone apart."""
+    pieces = F.split(text, r"\\\\", -1)
+    plain = F.transform(pieces, lambda p: F.replace(F.replace(p, F.lit("\\n"), F.lit("\n")), F.lit("\\r"), F.lit("\r")))
+    return F.array_join(plain, "\\")
+
+
+def read_csv(
+    spark: SparkSession,
+    path: str | list[str],
+    infer: bool = False,
+    schema: T.StructType | str | None = None,
+    multi_line: bool = False,
+    lossless: bool = False,
+) -> DataFrame:
     """CSV with a header. Columns are text unless a schema is given or types are inferred.
 
-    An empty cell is null. Inference reads the files once more, so give a schema for large ones.
+    An empty cell is null. Inference reads the files once more, so give a
+    schema for large ones. `multi_line` reads files whose quoted values hold
+    line breaks; each file is then one task. `lossless` reads what
+    `write_csv(..., lossless=True)` wrote: nulls, empty texts and line breaks
+    come back as they were.
     """
-    reader = spark.read.option("header", True).option("multiLine", False).option("quote", '"').option("escape", '"')
-    if schema is not None:
-        return reader.schema(schema).csv(path)
-    return reader.option("inferSchema", infer).csv(path)
+    reader = spark.read.option("header", True).option("multiLine", multi_line).option("quote", '"').option("escape", '"')
+    if lossless:
+        reader = reader.option("nullValue", NULL).option("emptyValue", "")
+    df = reader.schema(schema).csv(path) if schema is not None else reader.option("inferSchema", infer).csv(path)
+    if lossless:
+        df = df.withColumns({c: unescape_breaks(F.col(quoted(c))) for c, kind in df.dtypes if kind == "string"})
+    return df
 
 
 def read_parquet(
@@ -68,11 +104,15 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(target)
 
 
-def first_source(spark: SparkSession, paths: list[str]) -> DataFrame | None:
-    """The first of several CSV or Parquet paths that exists, else None."""
+def first_source(spark: SparkSession, paths: list[str], infer: bool = False) -> DataFrame | None:
+    """The first of several CSV or Parquet paths (files or folders) that exists, else None.
+
+    A folder is CSV if a file in it has that ending.
+    """
     for path in paths:
         if path_exists(spark, path):
-            return read_csv(spark, path) if path.lower().endswith(".csv") else read_parquet(spark, path)
+            is_csv = any(name.lower().endswith((".csv", ".csv.gz")) for name in [path, *list_files(spark, path, ("",))])
+            return read_csv(spark, path, infer=infer) if is_csv else read_parquet(spark, path)
     return None
 
 
@@ -85,10 +125,6 @@ def list_files(spark: SparkSession, folder: str, prefixes: tuple[str, ...]) -> l
     return sorted(str(p) for p in names if p.getName().startswith(prefixes))
 
 
-def _header(spark: SparkSession, path: str) -> tuple[str, ...]:
-    return tuple(read_csv(spark, path).columns)
-
-
 def standard_geocodes(df: DataFrame, *extra: str) -> DataFrame:
     """Geocode batch under its standard column names and types, with `extra` columns as they are."""
     by_name = {c.strip(): c for c in df.columns}
@@ -101,24 +137,42 @@ def standard_geocodes(df: DataFrame, *extra: str) -> DataFrame:
     return df.select(*out, *[quoted(e) for e in extra])
 
 
+def _headers(spark: SparkSession, paths: list[str]) -> tuple[dict[tuple[str, ...], list[str]], list[str]]:
+    """Files by header, and files without one, from the first line of every file, found in one pass over them.
+
+    Unnamed and repeated columns are named by their position, as Spark does.
+    """
+    line = F.struct(F.col("_metadata.file_block_start").alias("block"), F.monotonically_increasing_id().alias("line"))
+    lines = spark.read.text(paths).select(F.col("_metadata.file_path").alias("path"), line.alias("at"), "value")
+    # One line per file.
+    first = lines.groupBy("path").agg(F.min_by("value", "at").alias("value")).collect()
+    kinds: dict[tuple[str, ...], list[str]] = {}
+    for row in sorted(first):
+        names = next(csv.reader([row["value"]]), [])
+        if any(names):
+            unique = [n if n and names.count(n) == 1 else f"{n or '_c'}{i}" for i, n in enumerate(names)]
+            kinds.setdefault(tuple(unique), []).append(row["path"])
+    named = {unquote(urlparse(p).path) for files in kinds.values() for p in files}
+    return kinds, [p for p in paths if unquote(urlparse(p).path) not in named]
+
+
 def read_batches(spark: SparkSession, folder: str, prefixes: tuple[str, ...] = ("geocoded_batch_", "batch_")) -> DataFrame:
     """All geocode batches of a folder as one table, with the file name as `batch`.
 
     Files with the same header are read together, so the plan has one branch
-    per kind of header and not one per file. Files without a header row are
-    left out.
+    per kind of header and not one per file. Files without a header row cannot
+    be read and are named in a warning.
     """
-    kinds: dict[tuple[str, ...], list[str]] = {}
-    for path in list_files(spark, folder, prefixes):
-        header = _header(spark, path)
-        if header:
-            kinds.setdefault(header, []).append(path)
+    paths = list_files(spark, folder, prefixes)
+    kinds, left_out = _headers(spark, paths) if paths else ({}, [])
     if not kinds:
         raise FileNotFoundError(f"no readable batch file in {folder}")
+    if left_out:
+        warnings.warn(f"batch files without a header: {', '.join(left_out)}", stacklevel=2)
     frames = []
-    for header, paths in kinds.items():
+    for header, files in kinds.items():
         schema = T.StructType([T.StructField(h, T.StringType()) for h in header])
-        raw = read_csv(spark, paths, schema=schema).withColumn("batch", F.input_file_name())
+        raw = read_csv(spark, files, schema=schema).withColumn("batch", F.input_file_name())
         frames.append(standard_geocodes(raw, "batch"))
     return concat(frames)
 

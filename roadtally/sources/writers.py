@@ -7,23 +7,33 @@ from pyspark.sql import functions as F
 
 from roadtally.functions.temporal import try_ts
 from roadtally.operators.columns import has_role, quoted, role_col
-from roadtally.sources.readers import path_exists
+from roadtally.sources.readers import NULL, escape_breaks, path_exists
 
 
 def write_table(df: DataFrame, path: str, mode: str = "errorifexists", codec: str = "snappy") -> None:
     df.write.mode(mode).option("compression", codec).parquet(path)
 
 
-def write_csv(df: DataFrame, path: str, mode: str = "errorifexists") -> None:
-    """CSV with a header; white space at the ends of a value is kept."""
+def write_csv(df: DataFrame, path: str, mode: str = "errorifexists", lossless: bool = False) -> None:
+    """CSV with a header; white space at the ends of a value is kept.
+
+    A line break within a value is written inside quotes, which needs a reader
+    that takes each file as a whole. `lossless` keeps the files splittable and
+    every value apart: backslashes and line breaks are escaped by a backslash
+    and null is written as \\N, so that it differs from an empty text;
+    `read_csv(..., lossless=True)` undoes both.
+    """
     keep = {"ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False}
+    if lossless:
+        texts = [c for c, kind in df.dtypes if kind == "string"]
+        df = df.withColumns({c: escape_breaks(F.col(quoted(c))) for c in texts})
+        keep |= {"nullValue": NULL}
     df.write.mode(mode).options(header=True, escape='"', **keep).csv(path)
 
 
-def export(df: DataFrame, path: str, single_file_rows: int = 1_000_000, mode: str = "errorifexists") -> None:
-    """CSV export: one file for a small result, several for one above `single_file_rows`."""
-    small = df.limit(single_file_rows + 1).count() <= single_file_rows
-    write_csv(df.coalesce(1) if small else df, path, mode)
+def export(df: DataFrame, path: str, single_file: bool = False, mode: str = "errorifexists") -> None:
+    """CSV export, as one file if the caller asks for it, else one per task."""
+    write_csv(df.coalesce(1) if single_file else df, path, mode)
 
 
 def folder_bytes(df_path: str, spark) -> int:

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 
 from roadtally.plans.crashes import fill_coordinates
+from roadtally.streaming.summary import finish
 
 
 def enrich_batch(batch: DataFrame, batch_id: int, geocodes: DataFrame, folder: str, order: str = "batch", row_id: str | None = None) -> None:
@@ -29,4 +30,4 @@ def enrich_stream(
         .trigger(availableNow=True)
         .start()
     )
-    query.awaitTermination(timeout_s)
+    finish(query, timeout_s)

@@ -4,11 +4,21 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.streaming import StreamingQuery
 
 from roadtally.plans.derive import add_up, as_summary, explode_cells, summary_cells, with_basics
 from roadtally.sources.readers import path_exists
 
 
+def finish(query: StreamingQuery, timeout_s: int | None = None) -> None:
+    """Wait until the query has read everything; past the timeout it is stopped and an error is raised, as its output is not whole."""
+    if timeout_s is None:
+        query.awaitTermination()
+    elif not query.awaitTermination(timeout_s):
+        query.stop()
+        raise TimeoutError(f"the stream was not done after {timeout_s} s; call again to go on from its checkpoint")
+
+
 def live_summary(stream: DataFrame, style: str = "known", mode: str = "sum4") -> DataFrame:
     """The summary as one streaming aggregate, for `update` or `complete` output.
 
@@ -47,7 +57,7 @@ def stream_summary(
         .trigger(availableNow=True)
         .start()
     )
-    query.awaitTermination(timeout_s)
+    finish(query, timeout_s)
 
 
 def read_summary(spark: SparkSession, folder: str) -> DataFrame:

@@ -189,8 +189,14 @@ def test_tables_and_sources(spark, tmp_path):
     assert readers.read_parquet(spark, pq, ["c"]).columns == ["c"] and readers.columns(spark, pq) == ["a", "b", "c"]
     assert readers.first_source(spark, [str(tmp_path / "no"), csv, pq]).count() == 2
     assert readers.first_source(spark, [str(tmp_path / "no")]) is None
-    writers.export(df, str(tmp_path / "one"))
-    writers.export(df.repartition(2, "a"), str(tmp_path / "many"), single_file_rows=1)
+    writers.export(df.repartition(2, "a"), str(tmp_path / "one"), single_file=True)
+    writers.export(df.repartition(2, "a"), str(tmp_path / "many"))
+    assert readers.first_source(spark, [str(tmp_path / "many")], infer=True).schema["b"].dataType.typeName() == "integer"
+    odd = spark.createDataFrame([("a\nb", ""), (None, "x\\ny\r\n\\"), ('"q",\\N', "\\N"), (" ", None)], "a string, b string")
+    writers.write_csv(odd, str(tmp_path / "odd"), lossless=True)
+    assert rows(readers.read_csv(spark, str(tmp_path / "odd"), lossless=True)) == rows(odd)
+    writers.write_csv(odd.where("a = 'a\\nb'"), str(tmp_path / "breaks"))
+    assert readers.read_csv(spark, str(tmp_path / "breaks"), multi_line=True).first()["a"] == "a\nb"
     assert len(readers.list_files(spark, str(tmp_path / "one"), ("part-",))) == 1
     assert rows(readers.read_csv(spark, str(tmp_path / "many"))) == rows(df)
     (tmp_path / "t.parquet" / "bad.parquet").write_bytes(b"nothing")
@@ -243,8 +249,10 @@ def test_facets(spark, tmp_path):
     only_table = str(tmp_path / "g")
     table.write.parquet(f"{only_table}/metadata_parquet")
     assert rows(fc.load_facets(spark, only_table)) == as_json
-    with pytest.raises(ValueError):
-        fc.facet_document(facets, max_values=3)
+    many = spark.range(100_001).select(F.lit("factors").alias("facet"), F.col("id").cast("string").alias("value"))
+    assert len(fc.facet_document(many).first()["factors"]) == 100_001
+    fc.write_facets(many, str(tmp_path / "many"))
+    assert fc.load_facets(spark, str(tmp_path / "many")).count() == 100_001
 
 
 def test_scratch_needs_a_shared_folder(spark):
