@@ -11,6 +11,7 @@ from roadtally.functions.temporal import trunc_to
 from roadtally.functions.text import or_unknown, parse_list, split_clean, strip
 from roadtally.operators.columns import quoted
 from roadtally.operators.joins import keep_top
+from roadtally.session import written
 
 
 def _dims(dims: str | list[str]) -> list[str]:
@@ -97,7 +98,8 @@ def count_labels(
     """Occurrences of each label in a list-text column, per `keys`.
 
     Equal texts are counted before they are parsed, so parsing and exploding
-    work on the distinct texts only.
+    work on the distinct texts only. Where most texts are distinct, this first
+    count is one more shuffle of them.
     """
     keys = keys or []
     texts = df.groupBy(*[quoted(k) for k in keys], quoted(text)).agg(F.count(F.lit(1)).alias("_n"))
@@ -122,10 +124,11 @@ def pair_matrix(df: DataFrame, first: str, second: str, style: str = "list", nam
 def pivot_top(df: DataFrame, index: str, c: str, value: str | None, k: int) -> DataFrame:
     """Wide table index x the k largest values of `c`, summed, 0 where nothing is.
 
-    The k column names are read first, so that the pivot knows its columns.
+    The k column names are read first, so that the pivot knows its columns;
+    the summed cells are a table of their own for that.
     """
     weight = F.col(quoted(value)) if value else F.lit(1)
-    cells = df.where(F.col(quoted(c)).isNotNull()).groupBy(quoted(index), quoted(c)).agg(F.sum(weight).alias("_v"))
+    cells = written(df.where(F.col(quoted(c)).isNotNull()).groupBy(quoted(index), quoted(c)).agg(F.sum(weight).alias("_v")), "cells")
     ranked = cells.groupBy(quoted(c)).agg(F.sum("_v").alias("_v")).orderBy(F.desc("_v"), quoted(c)).limit(k)
     names = [r[0] for r in ranked.collect()]
     wide = cells.groupBy(quoted(index)).pivot(c, names).agg(F.sum("_v")) if names else cells.select(quoted(index)).distinct()

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from roadtally.operators.columns import quoted
 from roadtally.operators.joins import lookup_join
-from roadtally.session import scratch_dir
+from roadtally.session import written
 
 BUCKETS = 1024
 
@@ -244,7 +244,7 @@ def null_profile(df: DataFrame, cols: list[str] | None = None, k: int | None = N
 def distinct_profile(df: DataFrame, cols: list[str], limit: int = 50) -> DataFrame:
     """(column, distinct_values, values): the sorted values where there are at most `limit`, else null."""
     cells = F.array(*[F.struct(F.lit(c).alias("column"), F.col(quoted(c)).cast("string").alias("value")) for c in cols])
-    pairs = df.select(F.explode(cells).alias("p")).select("p.*").where("value is not null").distinct()
+    pairs = written(df.select(F.explode(cells).alias("p")).select("p.*").where("value is not null").distinct(), "values")
     sizes = pairs.groupBy("column").agg(F.count(F.lit(1)).alias("distinct_values"))
     # One row per column name, so both sides of this join are as small as the schema.
     few = pairs.join(F.broadcast(sizes.where(F.col("distinct_values") <= limit)), "column", "left_semi")
@@ -291,9 +291,7 @@ def hotspots(df: DataFrame, k: int = 10, seed: int = 42, lat: str = "latitude",
         .groupBy(F.col(lat).cast("double").alias(lat), F.col(lon).cast("double").alias(lon))
         .agg(F.count(F.lit(1)).cast("double").alias("points"))
     )
-    path = scratch_dir(df.sparkSession, "points")
-    points.write.parquet(path)
-    points = df.sparkSession.read.parquet(path)
+    points = written(points, "points")
     vectors = VectorAssembler(inputCols=[lat, lon], outputCol="_xy").transform(points)
     size = vectors.agg(F.sum("points").alias("n"), F.count(F.lit(1)).alias("d")).first()
     if (size["n"] or 0) <= min_rows:

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from roadtally.operators.columns import quoted
-from roadtally.session import scratch_dir
+from roadtally.session import written
 
 # Rows of a chunk that one task puts in order.
 CHUNK_ROWS = 1_000_000
@@ -23,18 +23,11 @@ def _in_chunks(df: DataFrame, order: list[Column], chunk_rows: int) -> DataFrame
     shared folder first, so that what makes them runs once, and again in their
     chunks, which are then fixed however often they are read.
     """
-    spark = df.sparkSession
-
-    def written(rows: DataFrame) -> DataFrame:
-        path = scratch_dir(spark, "chunks")
-        rows.write.parquet(path)
-        return spark.read.parquet(path)
-
-    rows = written(df)
+    rows = written(df, "rows")
     n = math.ceil(rows.count() / chunk_rows)
     if n <= 1:
         return rows.withColumn("_chunk", F.lit(0))
-    return written(rows.repartitionByRange(n, *order).withColumn("_chunk", F.spark_partition_id()))
+    return written(rows.repartitionByRange(n, *order).withColumn("_chunk", F.spark_partition_id()), "chunks")
 
 
 def fill_within(df: DataFrame, key: str, cols: list[str], order: list[str], chunk_rows: int = CHUNK_ROWS) -> DataFrame:

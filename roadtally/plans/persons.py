@@ -14,6 +14,7 @@ from roadtally.functions.temporal import combine_datetime
 from roadtally.functions.text import clean_text, lookup_label
 from roadtally.operators.filters import not_future
 from roadtally.operators.stats import fill_mode_by_group, impute_mean
+from roadtally.session import written
 
 # Person types, statuses and seat positions as the records spell them.
 OCCUPANT, PEDESTRIAN, BICYCLIST, OTHER_MOTORIZED = "Occupant", "Pedestrian", "Bicyclist", "Other Motorized"
@@ -167,11 +168,15 @@ def with_datetime(df: DataFrame, as_of: str | None = None) -> DataFrame:
 
 
 def clean_persons(raw: DataFrame, as_of: str | None = None) -> DataFrame:
-    """The whole person pipeline."""
+    """The whole person pipeline.
+
+    The rows with their imputed ages are a table of their own: the mean is
+    taken once, and the modes of the complaints do not run the reading again.
+    """
     out = fix_ids(with_datetime(raw, as_of))
     out = impute_mean(out, "person_age", 0, 120)
     out = out.drop("contributing_factor_1", "contributing_factor_2")
-    out = out.withColumn("person_sex", F.coalesce("person_sex", F.lit("U")))
+    out = written(out.withColumn("person_sex", F.coalesce("person_sex", F.lit("U"))), "persons")
     out = fix_type_positions(fix_pedestrian(fix_young_positions(out)))
     out = out.dropna(how="all", subset=DETAIL_COLUMNS)
     out = fix_equipment(fix_ejection(fill_complaint(out)))

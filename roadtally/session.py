@@ -6,7 +6,7 @@ import os
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 CHECKPOINT_DIR = "spark.checkpoint.dir"
 
@@ -44,3 +44,10 @@ def scratch_dir(spark: SparkSession, purpose: str) -> str:
             raise ValueError(f"set {CHECKPOINT_DIR} to a folder that all executors share")
         root = tempfile.mkdtemp(prefix="roadtally-")
     return f"{root.rstrip('/')}/{purpose}-{uuid.uuid4().hex}"
+
+
+def written(df: DataFrame, purpose: str) -> DataFrame:
+    """`df` as a table in the shared folder: what makes it runs once, however often its rows are read, and survives lost executors."""
+    path = scratch_dir(df.sparkSession, purpose)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
