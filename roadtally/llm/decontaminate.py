@@ -20,18 +20,17 @@ def words_of(text: Column) -> Column:
 
 
 def _shingle(words: Column, at: Column, length: int) -> Column:
-    """Digest of `length` words from the zero-based place `at`."""
-    return F.xxhash64(F.slice(words, at + 1, F.lit(length)))
+    """Digest of `length` words from the zero-based place `at`; single words are read in constant time, slices are not."""
+    return F.xxhash64(*(F.get(words, at + j) for j in range(length)))
 
 
 def _windows(benchmark: DataFrame, window: int, id_col: str, text_col: str) -> DataFrame:
-    """wid, run (its words in one string), words, size, items: each distinct window of the items, and the items that hold it."""
+    """wid, words, size, items: each distinct window of the items, and the items that hold it."""
     items = benchmark.where(F.col(id_col).isNotNull()).select(F.col(id_col).cast("string").alias("item"), words_of(F.col(text_col)).alias("all"))
     items = items.where(F.size("all") > 0).withColumn("size", F.least(F.size("all"), F.lit(window)))
-    each = items.select("item", "size", F.explode(F.transform(
+    each = items.select("item", "size", F.explode_outer(F.transform(
         F.sequence(F.lit(0), F.size("all") - F.col("size")), lambda i: F.slice("all", i + 1, F.col("size")))).alias("words"))
-    return each.groupBy("words", "size").agg(F.collect_set("item").alias("items")).withColumn("run", F.array_join("words", " ")).withColumn(
-        "wid", F.xxhash64("words", "size"))
+    return each.groupBy("words", "size").agg(F.collect_set("item").alias("items")).withColumn("wid", F.xxhash64("words", "size"))
 
 
 def _sides(rows: DataFrame, lengths: list[int]) -> Column:
@@ -81,26 +80,28 @@ def contamination(
             asked = F.broadcast(asked)
         met = rows.where(F.length("text") > 0).select("doc_id", "rx", words_of(F.col("text")).alias("words"))
         met = met.select("doc_id", "rx", F.size("words").alias("n"), _sides(met, lengths).alias("all"))
-        met = met.select("doc_id", "rx", "n", F.inline("all")).join(asked, ["k", "digest"])
+        # the outer form, as the plain one makes Spark test the array's size below the projection that splits the text
+        met = met.select("doc_id", "rx", "n", F.inline_outer("all")).join(asked, ["k", "digest"])
         met = staged(spark, met, "shingles-met")
         # rarity over all documents; a shingle that never occurs rules its window out
         counts = met.groupBy("k", "digest").agg(F.count(F.lit(1)).alias("times"))
         rarity = known.join(counts, ["k", "digest"], "left")
         prefix = rarity.groupBy("wid", "size", "k").agg(
             F.min(F.struct(F.coalesce("times", F.lit(0)).alias("times"), "offset", "digest")).alias("rarest")).where("rarest.times > 0")
-        prefix = prefix.join(windows.select("wid", "run", "items"), "wid").select(
-            "k", "size", F.col("rarest.digest").alias("digest"), F.col("rarest.offset").alias("offset"), "run", "items")
+        prefix = prefix.join(windows.select("wid", "words", "items"), "wid").select(
+            "k", "size", F.col("rarest.digest").alias("digest"), F.col("rarest.offset").alias("offset"), "words", "items")
         prefix = staged(spark, prefix, "prefixes")
         found = met.join(prefix, ["k", "digest"]).withColumn("start", F.col("place") - F.col("offset"))
         found = found.where((F.col("start") >= 0) & (F.col("start") + F.col("size") <= F.col("n")))
         candidates = found.groupBy(F.col("doc_id").alias("own_id"), F.col("rx").alias("own_rx")).agg(
-            F.collect_set(F.struct("start", "size", "run", "items")).alias("maybe"))
+            F.collect_set(F.struct("start", "size", F.col("words").alias("run"), "items")).alias("maybe"))
     else:
         candidates = rows.limit(0).select(F.col("doc_id").alias("own_id"), F.col("rx").alias("own_rx"), F.lit(None).cast(
-            "array<struct<start:int,size:int,run:string,items:array<string>>>").alias("maybe"))
+            "array<struct<start:int,size:int,run:array<string>,items:array<string>>>").alias("maybe"))
     judged = rows.join(candidates, F.col("doc_id").eqNullSafe(F.col("own_id")) & (F.col("rx") == F.col("own_rx")), "left").select(
         "doc_id", words_of(F.col("text")).alias("words"), F.coalesce("maybe", F.array().cast(candidates.schema["maybe"].dataType)).alias("maybe"))
-    judged = judged.withColumn("true", F.filter("maybe", lambda c: F.array_join(F.slice("words", c["start"] + 1, c["size"]), " ") == c["run"]))
+    judged = judged.withColumn("true", F.filter("maybe", lambda c: F.forall(
+        F.sequence(F.lit(0), c["size"] - 1), lambda j: F.get("words", c["start"] + j) == F.get(c["run"], j))))
     hit = F.size(F.array_distinct(F.flatten(F.transform("true", lambda c: F.sequence(c["start"], c["start"] + c["size"] - 1)))))
     items = F.array_sort(F.array_distinct(F.flatten(F.transform("true", lambda c: c["items"]))))
     judged = judged.select("doc_id", F.size("words").cast("long").alias("n_words"), hit.cast("long").alias("n_hit"), items.alias("items"))

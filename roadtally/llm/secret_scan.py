@@ -88,7 +88,8 @@ def candidates(docs: DataFrame) -> DataFrame:
     spans = found(text, TOKEN, 20, text.rlike(TOKEN))
     tokens = F.transform(spans, lambda s: F.struct(
         s["start"].alias("start"), s["end"].alias("end"), F.rtrim(text.substr(s["start"] + 1, s["end"] - s["start"]), F.lit("=")).alias("token")))
-    rows = docs.where(F.length("text") >= 20).select("doc_id", "rx", F.inline(tokens))
+    # the outer form, as the plain one makes Spark search the text twice
+    rows = docs.where(F.length("text") >= 20).select("doc_id", "rx", F.inline_outer(tokens)).where("start is not null")
     encoding, k, alphabet = F.lit(ENCODINGS[-1][0]), F.lit(len(ENCODINGS[-1][2])), F.lit(ENCODINGS[-1][2])
     for name, pattern, letters in reversed(ENCODINGS[:-1]):
         fits = F.col("token").rlike(pattern)
@@ -114,8 +115,9 @@ def battery(tokens: DataFrame) -> DataFrame:
     randomness. p_random is three times the least of their chances, two-sided
     for runs and serial correlation.
     """
-    code = lambda i: F.instr(F.col("alphabet"), F.substr(F.col("token"), i, F.lit(1))).cast("double")
-    rows = tokens.withColumn("n", F.length("token")).where("n > 2").withColumn("codes", F.transform(F.sequence(F.lit(1), F.col("n")), code))
+    letters = F.filter(F.split("token", ""), lambda c: c != "")
+    rows = tokens.withColumn("n", F.length("token")).where("n > 2").withColumn(
+        "codes", F.transform(letters, lambda c: F.instr(F.col("alphabet"), c).cast("double")))
     n, k = F.col("n").cast("double"), F.col("k").cast("double")
     codes = F.col("codes")
     squares = _sum(F.array_distinct(codes), lambda c: F.pow(F.size(F.filter(codes, lambda x: x == c)).cast("double"), F.lit(2)))
