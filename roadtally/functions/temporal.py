@@ -26,10 +26,6 @@ def combine_datetime(date: Column | str, time: Column | str) -> Column:
     return F.coalesce(*parsed).cast("timestamp_ntz")
 
 
-def day_name(ts: Column | str) -> Column:
-    return F.date_format(try_ts(ts), "EEEE")
-
-
 def day_number(ts: Column | str) -> Column:
     """0 = Monday ... 6 = Sunday."""
     return F.weekday(try_ts(ts))

@@ -12,6 +12,7 @@ from pyspark.sql import types as T
 
 from roadtally.functions.temporal import try_ts
 from roadtally.operators.columns import quoted
+from roadtally.session import written
 
 # No task should get more than this share of the rows. A key above it is hot;
 # by pigeonhole at most 1 / SHARE keys are.
@@ -19,8 +20,9 @@ SHARE = 1 / 4096
 # Share of the rows that is looked at to nominate hot keys, and the least hits for it.
 HOT_SAMPLE = 0.01
 HOT_MIN_HITS = 1000
-# Largest lookup that is sent to every executor, in rows.
+# Largest lookup that is sent to every executor, in rows and in bytes.
 MAX_BROADCAST_ROWS = 100_000
+MAX_BROADCAST_BYTES = 64 << 20
 
 
 def hot_keys(
@@ -94,11 +96,11 @@ def lookup_join(
 ) -> DataFrame:
     """Join to a lookup with one row per key.
 
-    The lookup is computed once. Up to `max_rows` rows it is broadcast as a
-    local table; a larger one is joined by `spread_join`.
+    The lookup is computed once. Up to `max_rows` rows and MAX_BROADCAST_BYTES
+    it is broadcast as a local table; a larger one is joined by `spread_join`.
     """
     rows = lookup.limit(max_rows + 1).toArrow()
-    if rows.num_rows > max_rows:
+    if rows.num_rows > max_rows or rows.nbytes > MAX_BROADCAST_BYTES:
         return spread_join(df, lookup, key, how)
     small = df.sparkSession.createDataFrame(rows, lookup.schema)
     return df.join(F.broadcast(small), key, how)
@@ -158,18 +160,22 @@ def lookup_fill(
     `keys` holds (name, key of df, key of lookup); `cols` maps a column of df
     to the lookup column it is filled from. Per key the first value in
     `order` counts. Rows that lack nothing take no part in any shuffle. The
-    earlier key has priority; with `later_wins` the later one has.
+    earlier key has priority; with `later_wins` the later one has. The rows
+    that lack something are written once with their keys, so that neither the
+    look at their hot keys nor the join runs what makes them again.
     """
     lacking = reduce(or_, [F.col(quoted(c)).isNull() for c in cols])
-    whole, part = df.where(~lacking), df.where(lacking)
+    whole = df.where(~lacking)
+    part = written(df.where(lacking).withColumns({f"_key_{i}": own for i, (_, own, _) in enumerate(keys)}), "lacking")
+    hot = [hot_keys(part, f"_key_{i}") for i in range(len(keys))]
     found: dict[str, list[Column]] = {c: [] for c in cols}
     temporary = []
-    for i, (name, own_key, lookup_key) in enumerate(keys):
+    for i, (_, _, lookup_key) in enumerate(keys):
         k = f"_key_{i}"
         keyed = lookup.withColumn(k, lookup_key)
         firsts = first_per_key(keyed, k, list(cols.values()), order)
         firsts = firsts.withColumnsRenamed({v: f"_found_{i}_{v}" for v in cols.values()})
-        part = spread_join(part.withColumn(k, own_key), firsts, k, "left")
+        part = spread_join(part, firsts, k, "left", hot=hot[i])
         temporary += [k, *[f"_found_{i}_{v}" for v in cols.values()]]
         for c, v in cols.items():
             found[c].append(F.col(quoted(f"_found_{i}_{v}")))
@@ -179,16 +185,6 @@ def lookup_fill(
     return whole.unionByName(part.drop(*temporary).select(*[quoted(c) for c in df.columns]))
 
 
-def explode_lateral(df: DataFrame, values: Column | str, name: str) -> DataFrame:
-    """One row per item of an array."""
-    return df.withColumn(name, F.explode(values))
-
-
-def explode_pairs(df: DataFrame, first: str, second: str, names: tuple[str, str]) -> DataFrame:
-    """One row per (item of first, item of second) of the same row."""
-    return df.withColumn(names[0], F.explode(first)).withColumn(names[1], F.explode(second))
-
-
 def keep_top(df: DataFrame, c: str, k: int) -> DataFrame:
     """Rows whose value is among the k most frequent (ties by value)."""
     top = (

@@ -21,7 +21,7 @@ def enrich_stream(
     checkpoint: str,
     order: str = "batch",
     row_id: str | None = None,
-    timeout_s: int | None = None,
+    timeout_s: float | None = None,
 ) -> None:
     """Enrich the files that arrived since the last call; the checkpoint remembers the progress."""
     query = (

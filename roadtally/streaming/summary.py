@@ -10,7 +10,7 @@ from roadtally.plans.derive import add_up, as_summary, explode_cells, summary_ce
 from roadtally.sources.readers import path_exists
 
 
-def finish(query: StreamingQuery, timeout_s: int | None = None) -> None:
+def finish(query: StreamingQuery, timeout_s: float | None = None) -> None:
     """Wait until the query has read everything; past the timeout it is stopped and an error is raised, as its output is not whole."""
     if timeout_s is None:
         query.awaitTermination()
@@ -48,7 +48,7 @@ def stream_summary(
     checkpoint: str,
     style: str = "known",
     mode: str = "sum4",
-    timeout_s: int | None = None,
+    timeout_s: float | None = None,
 ) -> None:
     """Add all files that have arrived since the last call to the partial sums in `folder`."""
     query = (

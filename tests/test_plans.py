@@ -278,6 +278,16 @@ def test_streamed_summary_in_waves_equals_batch(spark, tmp_path):
         summary.read_summary(spark, str(tmp_path / "none"))
 
 
+def test_a_stream_that_times_out_raises(spark, tmp_path):
+    crashes = t.incidents(spark, SF)
+    crashes.repartition(8).write.parquet(str(tmp_path / "in"))
+    stream = spark.readStream.schema(crashes.schema).option("maxFilesPerTrigger", 1).parquet(str(tmp_path / "in"))
+    with pytest.raises(TimeoutError):
+        summary.stream_summary(stream, str(tmp_path / "sums"), str(tmp_path / "progress"), timeout_s=0.01)
+    summary.stream_summary(stream, str(tmp_path / "sums"), str(tmp_path / "progress"))
+    assert rows(summary.read_summary(spark, str(tmp_path / "sums"))) == rows(derive.build_summary(crashes))
+
+
 def test_live_summary(spark, tmp_path):
     crashes = t.incidents(spark, SF)
     source = str(tmp_path / "in")
