@@ -28,6 +28,8 @@ ENCODINGS = (
 )
 #: Encodings in which case does not count.
 FOLDED = ("hex", "base36")
+#: How often two characters of ordinary words in an encoding agree, where its alphabet is a part of the letters' only.
+ORDINARY = {"digits": 0.13, "hex": 0.2}
 
 
 @dataclass(frozen=True)
@@ -167,7 +169,10 @@ def discoveries(tested: DataFrame, settings: Battery) -> DataFrame:
     ordinary = tested.where(F.col("p_random") < settings.reject).groupBy(F.col("encoding").alias("e")).agg(
         F.sum("same").alias("equal"), F.sum(F.col("n").cast("double") * (F.col("n") - 1)).alias("pairs"))
     rows = tested.join(F.broadcast(ordinary), F.col("encoding") == F.col("e"), "left")
-    prior = F.greatest(F.lit(settings.prior), 1.5 / k) * settings.prior_pairs
+    usual = F.lit(settings.prior)
+    for name, value in ORDINARY.items():
+        usual = F.when(F.col("encoding") == name, F.lit(value)).otherwise(usual)
+    prior = F.greatest(usual, 1.5 / k) * settings.prior_pairs
     share = F.greatest(1.5 / k, (F.coalesce("equal", F.lit(0.0)) + prior) / (F.coalesce("pairs", F.lit(0.0)) + settings.prior_pairs))
     rows = rows.withColumn("share", share)
     expected = k + k * (n - 1) * F.col("share") - n
