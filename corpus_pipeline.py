@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from roadtally.llm.common import staged
 from roadtally.llm.decontaminate import contamination
-from roadtally.llm.language_id import UNKNOWN, predict, train
+from roadtally.llm.language_id import keep_known, train
 from roadtally.llm.mixing import mix
 from roadtally.llm.near_dedup import near_duplicates
 from roadtally.llm.token_output import token_output
@@ -43,9 +43,7 @@ def _without(named: DataFrame, rejected: DataFrame) -> DataFrame:
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without a letter, or whose language is found with less than LEAST_SCORE, go."""
-    rows = _named(docs)
-    found = predict(rows, train(docs), id_col=_ROW)
-    return _without(rows, found.where((F.col("lang_pred") == UNKNOWN) | (F.col("score") < LEAST_SCORE)))
+    return keep_known(docs, train(docs), LEAST_SCORE)
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

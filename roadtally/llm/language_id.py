@@ -142,30 +142,33 @@ def train(docs: DataFrame, settings: Settings = Settings(), id_col: str = "doc_i
     return ByteCnn(settings, classes).fit(x, np.array([classes.index(lang) for lang, _ in found]))
 
 
+def labels(network: ByteCnn | None, texts: list[str | None]) -> list[tuple[str, float]]:
+    """Language and score of each text."""
+    out = []
+    for text in texts:
+        if network is None or not text or not any(map(str.isalpha, text)):
+            out.append((UNKNOWN, 0.0))
+            continue
+        raw, size = text.encode(), network.s.window
+        bytes_, mean = 0.0, np.zeros(len(network.classes))
+        for at in range(0, len(raw), size << 12):
+            part = raw[at : at + (size << 12)]
+            x = cut(part, size)
+            weight = np.full(len(x), size, np.float64)
+            weight[-1] = len(part) - size * (len(x) - 1)
+            mean += weight @ network.probabilities(x)
+            bytes_ += weight.sum()
+        best = int(mean.argmax())
+        out.append((network.classes[best], float(min(1.0, mean[best] / bytes_))))
+    return out
+
+
 def predict(docs: DataFrame, network: ByteCnn | None, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """doc_id, held_out, lang_pred, score; only the text is an input of the prediction."""
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            langs: list[str] = []
-            scores: list[float] = []
-            for text in batch.column("text").to_pylist():
-                if network is None or not text or not any(map(str.isalpha, text)):
-                    langs.append(UNKNOWN)
-                    scores.append(0.0)
-                    continue
-                raw = text.encode()
-                size = network.s.window
-                sizes, mean = 0, np.zeros(len(network.classes))
-                for at in range(0, len(raw), size << 12):
-                    x = cut(raw[at : at + (size << 12)], size)
-                    weight = np.full(len(x), size, np.float64)
-                    weight[-1] = len(raw[at : at + (size << 12)]) - size * (len(x) - 1)
-                    mean += weight @ network.probabilities(x)
-                    sizes += weight.sum()
-                best = int(mean.argmax())
-                langs.append(network.classes[best])
-                scores.append(float(min(1.0, mean[best] / sizes)))
+            langs, scores = list(zip(*labels(network, batch.column("text").to_pylist()))) or ((), ())
             yield pa.RecordBatch.from_arrays(
                 [batch.column("doc_id"), batch.column("held_out"), pa.array(langs, pa.string()), pa.array(scores, pa.float64())],
                 ["doc_id", "held_out", "lang_pred", "score"])
@@ -175,6 +178,18 @@ def predict(docs: DataFrame, network: ByteCnn | None, id_col: str = "doc_id", te
         work, f"doc_id {own}, held_out boolean, lang_pred string, score double")
 
 
+def keep_known(docs: DataFrame, network: ByteCnn | None, least_score: float, text_col: str = "text") -> DataFrame:
+    """The rows of `docs` whose text has a language of at least `least_score`, with all columns, in the pass that predicts."""
+    place = docs.columns.index(text_col)
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            found = labels(network, batch.column(place).to_pylist())
+            yield batch.filter(pa.array([lang != UNKNOWN and score >= least_score for lang, score in found], pa.bool_()))
+
+    return docs.mapInArrow(work, docs.schema)
+
+
 def identify(docs: DataFrame, settings: Settings = Settings(), id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> DataFrame:
     """doc_id, held_out, lang_pred, score of every document by a network trained on those that are not held out.
 
