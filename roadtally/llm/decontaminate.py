@@ -105,6 +105,8 @@ def contamination(
     hit = F.size(F.array_distinct(F.flatten(F.transform("true", lambda c: F.sequence(c["start"], c["start"] + c["size"] - 1)))))
     items = F.array_sort(F.array_distinct(F.flatten(F.transform("true", lambda c: c["items"]))))
     judged = judged.select("doc_id", F.size("words").cast("long").alias("n_words"), hit.cast("long").alias("n_hit"), items.alias("items"))
+    # written, as a caller's filter would be pushed below and split the text anew for each word it looks at
+    judged = staged(spark, judged, "judged")
     return judged.select(
         "doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"), F.sha2(F.array_join("items", ",").cast("binary"), 256).alias("items_sha256"),
         "items", (F.col("n_hit") > 0).alias("contaminated"))
