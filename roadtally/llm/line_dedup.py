@@ -67,6 +67,8 @@ def dedup_lines(docs: DataFrame, min_chars: int = 10, id_col: str = "doc_id", te
 
     maybe = staged(spark, rows.select(F.col("own_id").cast("long"), "text").mapInArrow(suspects, "id long, key binary"), "suspected-lines")
     repeated = maybe.groupBy("key").agg(F.min("id").alias("first"), F.max("id").alias("last")).where("first < last").select("key", "first")
+    # as a table of its own it is shuffled like the other side, so that a line of very many documents can be split in the join
+    repeated = staged(spark, repeated, "repeated-lines")
     lost = maybe.join(repeated, "key").where("id > first").groupBy("id").agg(F.collect_set("key").alias("lost"))
 
     def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
