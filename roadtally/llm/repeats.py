@@ -131,7 +131,8 @@ def repeated_windows(rows: DataFrame, units: Units, match: Matcher) -> DataFrame
         kinds.groupBy("akey").agg(F.count(F.lit(1)).alias("kinds"), F.min("n").alias("least"))
         .where("kinds > 1 and least = 1").select("akey", "kinds")
     )
-    known = kinds.join(mixed, "akey", "left").where("n > 1 or kinds is not null")
+    # a table of its own, like every small side here: both sides of its join are then shuffled and a hot anchor can be split
+    known = staged(spark, kinds.join(mixed, "akey", "left").where("n > 1 or kinds is not null"), "known-anchors")
     met = found.join(known, ["akey", "kind"])
     settled = met.where("n > 1").select("id", "rx", "lo", "hi")
     open_ = met.where((F.col("kinds") > 1) & ((F.col("n") == 1) | (F.col("one") == me))).select(
@@ -195,7 +196,8 @@ def _by_digests(hot: DataFrame, units: Units) -> DataFrame:
             yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(c)) for c in columns], ["akey", "wkey", "id", "rx", "lo", "n"])
 
     rows = hot.mapInArrow(windows, "akey long, wkey long, id long, rx long, lo long, n long")
-    twice = rows.groupBy("akey", "wkey").agg(F.count(F.lit(1)).alias("times")).where("times > 1")
+    twice = rows.groupBy("akey", "wkey").agg(F.count(F.lit(1)).alias("times")).where("times > 1").select("akey", "wkey")
+    twice = staged(hot.sparkSession, twice, "repeated-windows")
     return rows.where("n = 1").join(twice, ["akey", "wkey"], "left_semi").select("id", "rx", "lo", F.col("lo").alias("hi"))
 
 
