@@ -159,7 +159,9 @@ class _NearDedup:
 
         rows = firsts.select("id", "regs").mapInArrow(work, "key long, id long")
         shared = rows.groupBy("key").agg(F.min("id").alias("low"), F.max("id").alias("high"), F.count(F.lit(1)).alias("members"))
-        return staged(self.spark, rows.join(shared.where("low < high"), "key"), "buckets")
+        # a table of its own, so that Spark shuffles both sides of the join and can split a bucket of very many members
+        shared = staged(self.spark, shared.where("low < high"), "shared-buckets")
+        return staged(self.spark, rows.join(shared, "key"), "buckets")
 
     def estimated(self, pairs: DataFrame, firsts: DataFrame) -> DataFrame:
         """The pairs whose sketches leave the similarity likely."""
@@ -180,8 +182,10 @@ class _NearDedup:
         """The pairs (a, b) whose full sets reach the similarity: b's texts come to a's, in chunks of a bounded number."""
         k, percent = self.sketch.shingle, self.sketch.percent
         pairs = staged(self.spark, pairs, "likely-pairs")
-        sizes = pairs.groupBy("a").agg(F.count(F.lit(1)).alias("partners"))
-        placed = pairs.join(sizes, "a").select("a", "b", F.pmod(F.xxhash64("b"), F.ceil(F.col("partners") / CHUNK)).alias("chunk"))
+        large = pairs.groupBy("a").agg(F.ceil(F.count(F.lit(1)) / CHUNK).alias("chunks")).where("chunks > 1")
+        large = staged(self.spark, large, "large-pivots")
+        chunk = F.pmod(F.xxhash64("b"), F.coalesce("chunks", F.lit(1).cast("long")))
+        placed = pairs.join(large, "a", "left").select("a", "b", chunk.alias("chunk"))
         wanted = placed.select(F.col("b").alias("id"), "a", "chunk", F.lit(1).alias("role")).unionByName(
             placed.select(F.col("a").alias("id"), "a", "chunk", F.lit(0).alias("role")).distinct())
 
@@ -325,7 +329,7 @@ class _NearDedup:
             """The buckets that still hold several components."""
             now = buckets.join(labels, "id", "left").withColumn("component", F.coalesce("component", "id"))
             several = now.groupBy("key").agg(F.min("component").alias("c0"), F.max("component").alias("c1")).where("c0 < c1")
-            return staged(spark, now.join(several.select("key"), "key"), "open-buckets")
+            return staged(spark, now.join(staged(spark, several.select("key"), "torn-keys"), "key"), "open-buckets")
 
         star = buckets.where("id > low").select(F.col("low").alias("a"), F.col("id").alias("b")).distinct()
         links, labels = settle(self.confirmed(self.estimated(star, firsts), texts), links)
