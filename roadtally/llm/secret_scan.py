@@ -28,20 +28,26 @@ ENCODINGS = (
 )
 #: Encodings in which case does not count.
 FOLDED = ("hex", "base36")
-#: How often two characters of ordinary words in an encoding agree, where its alphabet is a part of the letters' only.
-ORDINARY = {"digits": 0.13, "hex": 0.2}
+#: Shares of letters and digits within words and within numbers; other characters are alike.
+USUAL = dict(zip(_LOW, (
+    0.082, 0.015, 0.028, 0.043, 0.127, 0.022, 0.020, 0.061, 0.070, 0.0015, 0.0077, 0.040, 0.024, 0.067, 0.075, 0.019, 0.00095, 0.060, 0.063, 0.091,
+    0.028, 0.0098, 0.024, 0.0015, 0.020, 0.00074))) | dict(zip(_DIGITS, (0.22, 0.17, 0.13, 0.1, 0.08, 0.07, 0.06, 0.06, 0.055, 0.055)))
+#: How often a small letter, capital, digit or sign is followed by each of these in names, paths and words.
+FOLLOWS = ((0.90, 0.04, 0.02, 0.04), (0.32, 0.60, 0.04, 0.04), (0.08, 0.07, 0.75, 0.10), (0.50, 0.20, 0.25, 0.05))
+#: Share of random tokens that the battery rejects, rounded up: 0.3 to 0.8 % for all encodings and for 20 to 64 characters.
+REJECTED = 0.01
+LN10 = 2.302585092994046
 
 
 @dataclass(frozen=True)
 class Battery:
     """`reject`: chance under randomness below which a token is no secret. `discovery`: the false-discovery rate.
 
-    `prior`, `prior_pairs`: how often two characters of ordinary text agree before any is seen, counted as so many pairs.
+    `prior_pairs`: as how many pairs of neighbours the habits of ordinary text count before any is seen.
     """
 
     reject: float = 1e-3
     discovery: float = 0.01
-    prior: float = 0.065
     prior_pairs: float = 50_000.0
     bins: int = 400
 
@@ -108,7 +114,7 @@ def _sum(values: Column, of=lambda x: x) -> Column:
 
 
 def battery(tokens: DataFrame) -> DataFrame:
-    """Adds n, same (ordered pairs of equal characters), chi2, p_random to tokens.
+    """Adds n, codes (one-based places in the alphabet), p_random to tokens.
 
     Chi-squared tests whether the encoding's characters are equally frequent;
     runs counts the changes between the lower and the upper half of its
@@ -129,7 +135,7 @@ def battery(tokens: DataFrame) -> DataFrame:
     later, earlier = F.slice("high", F.lit(2), F.col("n") - 1), F.slice("high", F.lit(1), F.col("n") - 1)
     away = F.transform(codes, lambda c: c - F.col("mean"))
     rows = rows.withColumns({
-        "same": F.col("squares") - n, "chi2": k / n * F.col("squares") - n,
+        "chi2": k / n * F.col("squares") - n,
         "changes": _sum(F.zip_with(later, earlier, lambda a, b: F.abs(a - b))), "away": away,
     })
     spread = _sum(F.col("away"), lambda x: x * x)
@@ -141,7 +147,8 @@ def battery(tokens: DataFrame) -> DataFrame:
     z_serial = (F.try_divide(F.col("lagged"), "spread") + 1 / n) * F.sqrt(n)
     far = F.lit(9.0)
     chance = F.least(tail(z_chi), 2 * tail(F.abs(F.coalesce(z_runs, far))), 2 * tail(F.abs(F.coalesce(z_serial, far))))
-    return rows.withColumn("p_random", F.least(F.lit(1.0), 3 * chance)).select(*tokens.columns, "n", "same", "chi2", "p_random")
+    return rows.withColumn("p_random", F.least(F.lit(1.0), 3 * chance)).select(
+        *tokens.columns, "n", F.transform("codes", lambda c: c.cast("int")).alias("codes"), "p_random")
 
 
 def tail(z: Column) -> Column:
@@ -153,34 +160,79 @@ def tail(z: Column) -> Column:
     return F.when(z >= 0, upper).otherwise(1 - upper)
 
 
+def _habits() -> Column:
+    """Array of (e, m, kinds, usual, steps): each encoding's characters by kind, their usual shares, and which kind follows which.
+
+    `m` is how many characters tokens of the encoding are made of; in base 64
+    the underscore and the dash have become the slash and the plus.
+    """
+    out = []
+    for name, _, letters in ENCODINGS:
+        letters = letters[:64]
+        kinds = [0 if c in _LOW else 1 if c in _UP else 2 if c in _DIGITS else 3 for c in letters]
+        shares = [USUAL.get(c.lower(), 1.0) for c in letters]
+        total = [sum(s for s, kind in zip(shares, kinds) if kind == of) for of in range(4)]
+        present = [sum(step for step, t in zip(steps, total) if t) for steps in FOLLOWS]
+        steps = [step / at if t else 0.0 for steps, at in zip(FOLLOWS, present) for step, t in zip(steps, total)]
+        out.append(F.struct(
+            F.lit(name).alias("e"), F.lit(len(letters)).alias("m"), F.array(*map(F.lit, kinds)).alias("kinds"),
+            F.array(*(F.lit(s / total[kind]) for s, kind in zip(shares, kinds))).alias("usual"), F.array(*map(F.lit, steps)).alias("steps")))
+    return F.array(*out)
+
+
+def _pair(codes: Column, m: Column) -> Column:
+    """Numbers of the pairs of neighbours of an array of one-based codes."""
+    n = F.size(codes)
+    return F.zip_with(F.slice(codes, F.lit(1), n - 1), F.slice(codes, F.lit(2), n - 1), lambda a, b: ((a - 1) * m + b - 1).cast("int"))
+
+
+def likeness(tested: DataFrame, settings: Battery) -> DataFrame:
+    """e, m, seen, usual: for each pair of neighbours of an encoding, the logarithm of how much likelier random tokens make its second character.
+
+    `usual` compares with the fixed habits of words, `seen` with the pairs
+    of the tokens that the battery rejects, to which the habits are added with
+    the weight of `prior_pairs`. Random tokens that were rejected too are taken
+    off first: the share REJECTED of what was left, alike from all pairs.
+    """
+    habits = tested.sparkSession.range(1).select(F.inline(_habits()))
+    rejected = F.col("p_random") < settings.reject
+    counts = tested.where(rejected).join(F.broadcast(habits.select("e", "m")), F.col("encoding") == F.col("e")).select(
+        "encoding", F.explode(_pair(F.col("codes"), F.col("m"))).alias("own")).groupBy("encoding", "own").agg(F.count(F.lit(1)).alias("c"))
+    left = tested.where(~rejected).groupBy(F.col("encoding").alias("l")).agg(F.sum(F.col("n") - 1).alias("pairs"))
+    cells = habits.select("*", F.explode(F.sequence(F.lit(0), F.col("m") * F.col("m") - 1)).alias("pair"))
+    first, second = F.floor(F.col("pair") / F.col("m")).cast("int"), F.col("pair") % F.col("m")
+    habit = F.get("steps", F.get("kinds", first) * 4 + F.get("kinds", second)) * F.get("usual", second)
+    # a few thousand cells of each encoding, whatever the input
+    cells = cells.select("e", "m", "pair", first.alias("first"), habit.alias("habit")).join(
+        counts, (F.col("e") == F.col("encoding")) & (F.col("pair") == F.col("own")), "left").join(F.broadcast(left), F.col("e") == F.col("l"), "left")
+    random = REJECTED * F.coalesce("pairs", F.lit(0)) / (F.col("m") * F.col("m"))
+    cells = cells.withColumn("c", F.greatest(F.coalesce("c", F.lit(0)) - random, F.lit(0.0)))
+    weight = settings.prior_pairs / F.col("m")
+    seen = (F.col("c") + weight * F.col("habit")) / (F.sum("c").over(Window.partitionBy("e", "first")) + weight)
+    cells = cells.withColumn("seen", seen).groupBy("e", "m").agg(F.array_sort(F.collect_list(F.struct(
+        "pair", (-F.log(F.col("seen") * F.col("m"))).alias("seen"), (-F.log(F.col("habit") * F.col("m"))).alias("usual")))).alias("cells"))
+    return cells.select("e", "m", *(F.transform("cells", lambda c: c[name]).alias(name) for name in ("seen", "usual")))
+
+
 def discoveries(tested: DataFrame, settings: Battery) -> DataFrame:
     """The tokens that the battery leaves random and that ordinary text is unlikely to make.
 
-    How ordinary text looks is read off the tokens of the same encoding that
-    the battery rejects: the share of equal pairs among their characters. With
-    it a token of n characters should have a chi2 far above a random one's; the
-    chance of one as low as measured falls with n. These chances undergo
-    Benjamini and Hochberg's control, apart for each encoding and each doubling
-    of the length, so that many short words cannot drown few long keys. The
-    ranks come from counts in bins of the chances' logarithm, a table of fixed
-    size.
+    A token is ranked by how much likelier its characters are at random than
+    as ordinary text, where each depends on the one before (`likeness`). As a
+    likelihood ratio is 1 in the mean over ordinary text, the chance of one of
+    r or more is at most 1 / r; of the chances by habits and by what was seen the
+    larger counts. These chances undergo Benjamini and Hochberg's control over
+    the tokens that the battery leaves, apart for each encoding and each
+    doubling of the length, so that many short words cannot drown few long
+    keys. The ranks come from counts in bins of the chances' logarithm, a table
+    of fixed size.
     """
-    n, k = F.col("n").cast("double"), F.col("k").cast("double")
-    ordinary = tested.where(F.col("p_random") < settings.reject).groupBy(F.col("encoding").alias("e")).agg(
-        F.sum("same").alias("equal"), F.sum(F.col("n").cast("double") * (F.col("n") - 1)).alias("pairs"))
-    rows = tested.join(F.broadcast(ordinary), F.col("encoding") == F.col("e"), "left")
-    usual = F.lit(settings.prior)
-    for name, value in ORDINARY.items():
-        usual = F.when(F.col("encoding") == name, F.lit(value)).otherwise(usual)
-    prior = F.greatest(usual, 1.5 / k) * settings.prior_pairs
-    share = F.greatest(1.5 / k, (F.coalesce("equal", F.lit(0.0)) + prior) / (F.coalesce("pairs", F.lit(0.0)) + settings.prior_pairs))
-    rows = rows.withColumn("share", share)
-    expected = k + k * (n - 1) * F.col("share") - n
-    # the variance of squared counts of unequal characters, whose third moment is about 1.38 share ** 2
-    deviation = F.sqrt(2 * (k - 1) + 4 * k * k * n * 0.38 * F.col("share") * F.col("share"))
-    p = F.greatest(tail((expected - F.col("chi2")) / deviation), F.lit(1e-39))
-    rows = rows.withColumn("bin", F.least(F.floor(-10 * F.log10(F.least(p, F.lit(1.0)))), F.lit(settings.bins - 1)).cast("int")).withColumn(
-        "lengths", F.floor(F.log2(n)).cast("int")).drop("e", "equal", "pairs", "share")
+    like = staged(tested.sparkSession, likeness(tested, settings), "likeness")
+    rows = tested.where(F.col("p_random") >= settings.reject).join(F.broadcast(like), F.col("encoding") == F.col("e"))
+    pairs = _pair(F.col("codes"), F.col("m"))
+    ratio = F.least(_sum(pairs, lambda i: F.get("seen", i)), _sum(pairs, lambda i: F.get("usual", i)))
+    rows = rows.select(*tested.columns, F.least(F.greatest(F.floor(10 / LN10 * ratio), F.lit(0)), F.lit(settings.bins - 1)).cast("int").alias("bin"))
+    rows = rows.withColumn("lengths", F.floor(F.log2("n")).cast("int"))
     group = ["encoding", "lengths"]
     down = Window.partitionBy(*group).orderBy(F.desc("bin"))
     counts = rows.groupBy(*group, "bin").agg(F.count(F.lit(1)).alias("c"))
@@ -188,8 +240,7 @@ def discoveries(tested: DataFrame, settings: Battery) -> DataFrame:
     limits = counts.where(F.pow(F.lit(10.0), -F.col("bin") / 10) <= settings.discovery * F.col("found") / F.col("of")).groupBy(
         F.col("encoding").alias("e"), F.col("lengths").alias("l")).agg(F.min("bin").alias("from"))
     # a row for each encoding and doubling of the length: a few hundred at most
-    return rows.join(F.broadcast(limits), (F.col("encoding") == F.col("e")) & (F.col("lengths") == F.col("l"))).where(
-        (F.col("bin") >= F.col("from")) & (F.col("p_random") >= settings.reject))
+    return rows.join(F.broadcast(limits), (F.col("encoding") == F.col("e")) & (F.col("lengths") == F.col("l"))).where(F.col("bin") >= F.col("from"))
 
 
 def scan(docs: DataFrame, settings: Battery = Battery(), id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
