@@ -25,8 +25,8 @@ def _shingle(words: Column, at: Column, length: int) -> Column:
 
 
 def _windows(benchmark: DataFrame, window: int, id_col: str, text_col: str) -> DataFrame:
-    """wid, words, size, items: each distinct window of the items, and the items that hold it."""
-    items = benchmark.where(F.col(id_col).isNotNull()).select(F.col(id_col).cast("string").alias("item"), words_of(F.col(text_col)).alias("all"))
+    """wid, words, size, items: each distinct window of the items, and the ids of the items that hold it; none for items without id."""
+    items = benchmark.select(F.col(id_col).cast("string").alias("item"), words_of(F.col(text_col)).alias("all"))
     items = items.where(F.size("all") > 0).withColumn("size", F.least(F.size("all"), F.lit(window)))
     each = items.select("item", "size", F.explode_outer(F.transform(
         F.sequence(F.lit(0), F.size("all") - F.col("size")), lambda i: F.slice("all", i + 1, F.col("size")))).alias("words"))
@@ -61,7 +61,8 @@ def contamination(
     never all shuffled in the first case; candidates meet their document again
     by its id and the digest of its text.
 
-    Null or empty text: no words. Items without id or words take no part.
+    Null or empty text: no words. Items without words take no part. Windows of
+    items without id are hits, but the item is neither counted nor listed.
     Repeated rows come back repeated; rows of one doc_id are judged by their
     own texts. Without items nothing is hit. Empty table: no rows.
     """
