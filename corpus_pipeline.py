@@ -61,12 +61,12 @@ def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents in training order, as often as their source's target takes them."""
+    """Documents as often as their source's target takes them; in training order, which the next stage does not keep."""
     return mix(docs)
 
 
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Token files, and what they hold of each document: doc_id, start, n_tokens, ids_crc32."""
+    """Token files in doc_id order, not in training order, and what they hold of each document: doc_id, start, n_tokens, ids_crc32."""
     with open(public_tokenizers.path("byte_bpe_50k.json"), encoding="utf-8") as file:
         return token_output(docs, file.read()).drop("ids")
 
