@@ -33,7 +33,7 @@ def common_prefix(a: bytes, b: bytes) -> int:
 
 
 def multikey(suffixes: list[bytes], depth: int) -> list[list[int]]:
-    """Groups of suffixes that agree on `depth` bytes, in order: multikey quicksort, eight bytes a symbol, all groups a step."""
+    """Groups of suffixes that agree on `depth` bytes, in order: a stable sort by one column of 8-byte symbols after the other, all groups a step."""
     padded = b"".join(s[:depth].ljust(depth, b"\0") for s in suffixes)
     symbols = np.frombuffer(padded, ">u8").reshape(len(suffixes), depth // 8)
     order, group = np.arange(len(suffixes)), np.zeros(len(suffixes), np.int64)
