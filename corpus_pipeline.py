@@ -47,10 +47,16 @@ def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of near duplicates the document of the smallest id stays; of rows of one id, one. Rows without id stay."""
+    """Of each group of near duplicates the document of the smallest id stays. Rows without id stay.
+
+    Of rows of one id the row with the smallest SHA-256 of its text stays, whatever the texts; a null text counts as empty.
+    """
     gone = near_duplicates(docs).where("not kept").select(F.col("doc_id").alias("gone")).distinct()
     left = docs.join(gone, docs["doc_id"] == gone["gone"], "left_anti")
-    return left.where("doc_id is not null").dropDuplicates(["doc_id"]).unionByName(left.where("doc_id is null"))
+    # equal texts are told apart by all columns
+    rule = F.struct(F.sha2(F.coalesce("text", F.lit("")).cast("binary"), 256), F.xxhash64(*docs.columns))
+    one = left.where("doc_id is not null").groupBy("doc_id").agg(F.min_by(F.struct(*docs.columns), rule).alias("row")).select("row.*")
+    return one.unionByName(left.where("doc_id is null"))
 
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
