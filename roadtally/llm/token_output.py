@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import hashlib
 import os
 import re
 import zlib
@@ -17,14 +16,16 @@ from pyspark.sql import functions as F
 from roadtally.llm.common import keyed, staged
 from roadtally.session import scratch_dir
 
-#: Longest code in bits; the decoding table has 2**LIMIT entries.
+#: Longest code in bits, unless so many ids are in use that they need more; the decoding table has 2**bits entries.
 LIMIT = 18
 #: Ids of a block, whose bit offset is kept, and ids of a row of the file.
 BLOCK, SEGMENT = 512, 1 << 20
 #: Ids of a file of the output.
 SHARD = 16 << 20
-#: Characters of the texts whose ids a worker remembers.
-REMEMBERED = 48 << 20
+#: Bytes that a worker may spend on cuts whose ids it remembers, and what an entry takes besides its characters and ids.
+REMEMBERED, ENTRY = 32 << 20, 190
+#: Longest cut that is remembered, and characters of text that are encoded at once.
+LONG, PIECE = 48, 1 << 20
 _SPLIT = re.compile(r" (?=\s|\Z)")
 
 
@@ -35,11 +36,11 @@ class Encoder:
     character, so a text may be cut there; ids of the cuts are remembered,
     since most are words that come again. Everything else of the tokenizer is
     the library's: new cuts go to it, joined to long texts, and its ids are
-    told apart by the bytes they stand for.
+    told apart by the bytes they stand for. What is remembered stays within
+    REMEMBERED bytes: above that, long cuts go and the half of the others that
+    came most often stays. An encoder belongs to a task and ends with it.
     """
 
-    _made: dict[str, "Encoder"] = {}
-
     def __init__(self, tokenizer_json: str):
         from tokenizers import Tokenizer
 
@@ -51,25 +52,35 @@ class Encoder:
             self.id_bytes[id_] = len(token)
         self.forget()
 
-    @classmethod
-    def of(cls, tokenizer_json: str) -> "Encoder":
-        """One encoder for each tokenizer and worker."""
-        name = hashlib.sha256(tokenizer_json.encode()).hexdigest()
-        if name not in cls._made:
-            cls._made[name] = cls(tokenizer_json)
-        return cls._made[name]
-
     def forget(self) -> None:
         self.place: dict[str, int] = {}
-        self.ids, self.ends = np.empty(1 << 16, np.uint32), np.zeros(1 << 16, np.int64)
+        self.ids, self.ends, self.times = np.empty(1 << 16, np.uint32), np.zeros(1 << 16, np.int64), np.zeros(1 << 16, np.int64)
         self.used, self.chars = 0, 0
 
+    def held(self) -> int:
+        """Bytes of what is remembered, about."""
+        return ENTRY * len(self.place) + self.chars + 4 * self.used
+
+    def trim(self) -> None:
+        """Keep the most frequent short cuts, within half the bound."""
+        cuts, n = list(self.place), len(self.place)
+        sizes = np.diff(self.ends[: n + 1])
+        bytes_ = ENTRY + np.fromiter(map(len, cuts), np.int64, n) + 4 * sizes
+        order = np.argsort(-self.times[:n], kind="stable")
+        order = order[bytes_[order] <= ENTRY + 5 * LONG]
+        order = np.sort(order[np.cumsum(bytes_[order]) <= REMEMBERED // 2])
+        starts, sizes, times = self.ends[order], sizes[order], self.times[order]
+        ids = np.concatenate([np.empty(0, np.uint32), *(self.ids[a : a + k] for a, k in zip(starts, sizes))])
+        self.forget()
+        self._add([cuts[i] for i in order], ids, sizes)
+        self.times[: len(order)] = times // 2
+
     def _add(self, cuts: list[str], ids: np.ndarray, lengths: np.ndarray) -> None:
         n = len(self.place)
         while self.used + len(ids) > len(self.ids):
             self.ids = np.concatenate([self.ids, np.empty_like(self.ids)])
         while n + len(cuts) + 1 > len(self.ends):
-            self.ends = np.concatenate([self.ends, np.zeros_like(self.ends)])
+            self.ends, self.times = np.concatenate([self.ends, np.zeros_like(self.ends)]), np.concatenate([self.times, np.zeros_like(self.times)])
         self.ids[self.used : self.used + len(ids)] = ids
         self.ends[n + 1 : n + 1 + len(cuts)] = self.used + np.cumsum(lengths)
         self.used += len(ids)
@@ -114,20 +125,55 @@ class Encoder:
             parts = joined
         return parts if parts[0] else parts[1:]
 
+    @staticmethod
+    def pieces(text: str) -> Iterator[str]:
+        """The text in pieces of about PIECE characters, cut where cuts() cuts."""
+        at = 0
+        while len(text) - at > PIECE:
+            end = text.find(" ", at + PIECE)
+            while end >= 0 and (end + 1 == len(text) or text[end + 1].isspace()):
+                end = text.find(" ", end + 1)
+            if end < 0:
+                break
+            yield text[at:end]
+            at = end
+        yield text[at:]
+
     def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        """Ids of all texts one after the other, and the number of each text."""
-        if self.chars > REMEMBERED:
-            self.forget()
+        """Ids of all texts one after the other, and the number of each text; PIECE characters are in work at once."""
+        found, counts = [np.empty(0, np.uint32)], np.zeros(len(texts), np.int64)
+        held: list[tuple[int, str]] = []
+        size = 0
+
+        def settle() -> None:
+            ids, n = self._encode([p for _, p in held])
+            found.append(ids)
+            np.add.at(counts, [i for i, _ in held], n)
+            held.clear()
+
+        for i, text in enumerate(texts):
+            for piece in self.pieces(text):
+                held.append((i, piece))
+                size += len(piece)
+                if size > PIECE:
+                    settle()
+                    size = 0
+        settle()
+        return np.concatenate(found), counts
+
+    def _encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         cut = [self.cuts(t) for t in texts]
         flat = [c for part in cut for c in part]
         self.learn([c for c in dict.fromkeys(flat) if c not in self.place])
         at = np.fromiter(map(self.place.__getitem__, flat), np.int64, len(flat))
+        self.times += np.bincount(at, minlength=len(self.times))
         starts, lengths = self.ends[at], self.ends[at + 1] - self.ends[at]
         before = np.cumsum(lengths) - lengths
-        total = int(lengths.sum())
-        ids = self.ids[np.repeat(starts - before, lengths) + np.arange(total)]
+        ids = self.ids[np.repeat(starts - before, lengths) + np.arange(int(lengths.sum()))]
         sums = np.concatenate(([0], np.cumsum(lengths)))
         text_ends = np.cumsum([len(part) for part in cut], dtype=np.int64)
+        if self.held() > REMEMBERED:
+            self.trim()
         return ids, np.diff(sums[text_ends], prepend=0)
 
 
@@ -138,8 +184,7 @@ def code_lengths(counts: np.ndarray, limit: int = LIMIT) -> np.ndarray:
     if len(used) < 2:
         lengths[used] = 1
         return lengths
-    if len(used) > 1 << limit:
-        raise ValueError(f"{len(used)} ids need codes of more than {limit} bits")
+    limit = max(limit, len(used).bit_length())
     order = used[np.argsort(counts[used], kind="stable")]
     leaves = counts[order].astype(np.float64)
     # each row: what a package is made of, a leaf (its rank) or the next pair of the row below
@@ -163,26 +208,27 @@ def code_lengths(counts: np.ndarray, limit: int = LIMIT) -> np.ndarray:
 
 @dataclass
 class Code:
-    """A canonical code from its lengths alone; codes are stored with their first bit lowest."""
+    """A canonical code from its lengths alone; codes are stored with their first bit lowest. A code has at most 25 bits."""
 
     lengths: np.ndarray
 
     def __post_init__(self) -> None:
         used = np.flatnonzero(self.lengths)
+        self.bits = limit = max(1, int(self.lengths.max(initial=0)))
         order = used[np.lexsort((used, self.lengths[used]))]
         bits = self.lengths[order].astype(np.int64)
-        first = np.concatenate(([0], np.cumsum(1 << (LIMIT - bits))[:-1])) if len(order) else bits
-        words = (first >> (LIMIT - bits)).astype(np.uint64)
+        first = np.concatenate(([0], np.cumsum(1 << (limit - bits))[:-1])) if len(order) else bits
+        words = (first >> (limit - bits)).astype(np.uint64)
         flipped = np.zeros(len(order), np.uint64)
-        for i in range(LIMIT):
+        for i in range(limit):
             up = i < bits
             flipped[up] |= ((words[up] >> (bits[up] - 1 - i).astype(np.uint64)) & np.uint64(1)) << np.uint64(i)
         self.words = np.zeros(len(self.lengths), np.uint64)
         self.words[order] = flipped
-        self.table = np.zeros(1 << LIMIT, np.uint32)
+        self.table = np.zeros(1 << limit, np.uint32)
         for n in np.unique(bits):
             some = bits == n
-            at = flipped[some].astype(np.int64)[:, None] + (np.arange(1 << (LIMIT - int(n)), dtype=np.int64) << int(n))[None]
+            at = flipped[some].astype(np.int64)[:, None] + (np.arange(1 << (limit - int(n)), dtype=np.int64) << int(n))[None]
             self.table[at] = (order[some].astype(np.uint32) << np.uint32(5) | np.uint32(n))[:, None]
 
     def encode(self, ids: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -215,7 +261,7 @@ class Code:
         at, size = offsets[order].copy(), lengths[order]
         begin = (np.cumsum(lengths) - lengths)[order]
         out = np.empty(int(lengths.sum()), np.uint32)
-        mask = np.uint32((1 << LIMIT) - 1)
+        mask = np.uint32((1 << self.bits) - 1)
         for step in range(int(size[0]) if len(size) else 0):
             live = int(np.searchsorted(-size, -step, side="left"))
             p = at[:live]
@@ -225,7 +271,7 @@ class Code:
         return out
 
 
-SEGMENT_SCHEMA = "part int, seq long, docs binary, nulls binary, counts binary, sizes binary, offsets binary, payload binary"
+SEGMENT_SCHEMA = "part int, seq long, before long, docs binary, nulls binary, counts binary, sizes binary, offsets binary, payload binary"
 
 
 def _lists(batch: pa.RecordBatch, *names: str) -> Iterator[tuple]:
@@ -238,15 +284,16 @@ def write_ids(docs: DataFrame, tokenizer_json: str, end_id: int = 0, id_col: str
     One pass encodes and keeps the ids, one counts them; the code comes from
     these global counts (one number per id of the vocabulary reaches the
     driver). A third pass writes the code: documents go to files of about
-    SHARD ids by ranges of their id. A file's rows are segments of whole
-    documents in order: their ids, counts and bytes, the coded bits, and the
-    bit offset of each block of BLOCK ids, from which it can be decoded alone.
+    SHARD ids by ranges of their id, those of one id by ranges of their text's
+    digest where one id alone fills files. A file's rows are segments of whole
+    documents in order: the number of ids of the file before it, the documents'
+    ids, counts and bytes, the coded bits, and the bit offset of each block of BLOCK ids, from which it can be decoded alone.
     """
     spark = docs.sparkSession
     shared = spark.sparkContext.broadcast(tokenizer_json)
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = Encoder.of(shared.value)
+        encoder = Encoder(shared.value)
         for batch in batches:
             for part in (batch.slice(i, 1000) for i in range(0, len(batch), 1000)):
                 ids, counts = encoder.encode([t or "" for t in part.column("text").to_pylist()])
@@ -279,7 +326,12 @@ def write_ids(docs: DataFrame, tokenizer_json: str, end_id: int = 0, id_col: str
     lengths = spark.sparkContext.broadcast(code.lengths)
     parts = max(1, int(-(-counts.sum() // SHARD)))
     cuts = rows.agg(F.percentile_approx("id", [i / parts for i in range(1, parts)], 100 * parts)).first()[0] if parts > 1 else []
-    cuts = np.unique(np.array(cuts, np.int64))
+    cuts = np.sort(np.array(cuts or [], np.int64))
+
+    def part_of(id_: np.ndarray, rx: np.ndarray) -> np.ndarray:
+        first, last = np.searchsorted(cuts, id_, side="left"), np.searchsorted(cuts, id_, side="right")
+        share = np.minimum((rx.astype(np.float64) + 2.0**63) / 2.0**64, 1 - 2.0**-53)
+        return (first + (share * (last - first)).astype(np.int64)).astype(np.int32)
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = Code(lengths.value)
@@ -291,14 +343,14 @@ def write_ids(docs: DataFrame, tokenizer_json: str, end_id: int = 0, id_col: str
                 blocks = np.cumsum(-(-n // BLOCK))[:-1]
                 yield pa.RecordBatch.from_arrays(
                     [part.column("own_id"), part.column("id"), part.column("rx"), part.column("n"),
-                     pa.array(np.searchsorted(cuts, part.column("id").to_numpy(), side="left").astype(np.int32)),
+                     pa.array(part_of(part.column("id").to_numpy(), part.column("rx").to_numpy())),
                      pa.array([x.tobytes() for x in np.split(raw, np.cumsum(size)[:-1])], pa.binary()),
                      pa.array([x.astype(np.int64).tobytes() for x in np.split(offsets, blocks)], pa.binary())],
                     ["own_id", "id", "rx", "n", "part", "payload", "offsets"])
 
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[tuple] = []
-        total, seq, at = 0, 0, None
+        total, seq, before, at = 0, 0, 0, None
 
         def segment() -> pa.RecordBatch:
             own, n, payload, offsets = zip(*held)
@@ -307,14 +359,14 @@ def write_ids(docs: DataFrame, tokenizer_json: str, end_id: int = 0, id_col: str
             marks = [np.frombuffer(o, np.int64) + b for o, b in zip(offsets, base)]
             row = [np.array([o or 0 for o in own], np.int64), np.array([o is None for o in own], np.uint8), np.array(n, np.int64), sizes, np.concatenate(marks)]
             return pa.RecordBatch.from_arrays(
-                [pa.array([at], pa.int32()), pa.array([seq], pa.int64()), *(pa.array([x.tobytes()], pa.binary()) for x in row), pa.array([b"".join(payload)], pa.binary())],
+                [pa.array([at], pa.int32()), pa.array([seq], pa.int64()), pa.array([before], pa.int64()), *(pa.array([x.tobytes()], pa.binary()) for x in row), pa.array([b"".join(payload)], pa.binary())],
                 [f.split()[0] for f in SEGMENT_SCHEMA.split(", ")])
 
         for batch in batches:
             for part, *row in _lists(batch, "part", "own_id", "n", "payload", "offsets"):
                 if held and (part != at or total + row[1] > SEGMENT):
                     yield segment()
-                    held, total, seq = [], 0, seq + 1 if part == at else 0
+                    held, total, seq, before = [], 0, seq + 1 if part == at else 0, before + total if part == at else 0
                 at, total = part, total + row[1]
                 held.append(tuple(row))
         if held:
@@ -325,7 +377,7 @@ def write_ids(docs: DataFrame, tokenizer_json: str, end_id: int = 0, id_col: str
     coded = coded.repartitionById(parts, "part").sortWithinPartitions("part", "id", "rx")
     # the payload is coded already
     coded.mapInArrow(pack, SEGMENT_SCHEMA).write.option("compression", "uncompressed").parquet(f"{path}/segments")
-    spark.createDataFrame([(LIMIT, code.lengths.tobytes())], "bits int, lengths binary").write.parquet(f"{path}/code")
+    spark.createDataFrame([(code.bits, code.lengths.tobytes())], "bits int, lengths binary").write.parquet(f"{path}/code")
     return path
 
 
@@ -347,17 +399,18 @@ def read_ids(spark: SparkSession, path: str) -> DataFrame:
     def sizes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             totals = [int(np.frombuffer(c, np.int64).sum()) for c in batch.column("counts").to_pylist()]
-            yield pa.RecordBatch.from_arrays([batch.column("part"), batch.column("seq"), pa.array(totals, pa.int64())], ["part", "seq", "n"])
+            yield pa.RecordBatch.from_arrays([batch.column("part"), pa.array(totals, pa.int64())], ["part", "n"])
 
-    # one number for each segment of a million ids
-    found = segments.select("part", "seq", "counts").mapInArrow(sizes, "part int, seq long, n long").orderBy("part", "seq").collect()
-    ends = np.cumsum([r["n"] for r in found], dtype=np.int64)
-    before = spark.sparkContext.broadcast({(r["part"], r["seq"]): int(e) - r["n"] for r, e in zip(found, ends)})
+    # one number for each file of SHARD ids
+    found = segments.select("part", "counts").mapInArrow(sizes, "part int, n long").groupBy("part").agg(F.sum("n").alias("n")).orderBy("part").collect()
+    parts, totals = np.array([r["part"] for r in found], np.int64), np.array([r["n"] for r in found], np.int64)
+    starts = spark.sparkContext.broadcast((parts, np.cumsum(totals) - totals))
 
     def decode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         code = Code(lengths.value)
+        parts, begin = starts.value
         for batch in batches:
-            for part, seq, docs, nulls, counts, offsets, payload in _lists(batch, "part", "seq", "docs", "nulls", "counts", "offsets", "payload"):
+            for part, before, docs, nulls, counts, offsets, payload in _lists(batch, "part", "before", "docs", "nulls", "counts", "offsets", "payload"):
                 n, marks = np.frombuffer(counts, np.int64), np.frombuffer(offsets, np.int64)
                 blocks = -(-n // BLOCK)
                 size = np.full(int(blocks.sum()), BLOCK, np.int64)
@@ -369,7 +422,7 @@ def read_ids(spark: SparkSession, path: str) -> DataFrame:
                     some = slice(lo, lo + 2000)
                     yield pa.RecordBatch.from_arrays([
                         pa.array(np.frombuffer(docs, np.int64)[some], pa.int64(), mask=np.frombuffer(nulls, np.uint8)[some].astype(bool)),
-                        pa.array((ends - n + before.value[part, seq])[some]), pa.array(n[some]),
+                        pa.array((ends - n + before + begin[np.searchsorted(parts, part)])[some]), pa.array(n[some]),
                         pa.array([zlib.crc32(x) for x in apart[some]], pa.int64()), pa.array(apart[some], pa.binary()),
                     ], ["doc_id", "start", "n_tokens", "ids_crc32", "ids"])
 

@@ -55,6 +55,38 @@ def test_cuts_change_no_id():
     assert (ids == again).all()
 
 
+def test_memory_is_bounded(monkeypatch):
+    monkeypatch.setattr(t, "REMEMBERED", 1 << 20)
+    monkeypatch.setattr(t, "PIECE", 5000)
+    tok, own = Tokenizer.from_file(PATH), Encoder(JSON)
+    texts = [" ".join(f"w{i}x{j * j} common word" for j in range(700)) for i in range(40)] + ["x" * 30_000, " " * 20_000 + "end", "q" * 200 + " tail"]
+    for text in texts:
+        ids, counts = own.encode([text, "common word"])
+        assert ids[: counts[0]].tolist() == tok.encode(text, add_special_tokens=False).ids
+        assert own.held() <= t.REMEMBERED
+    assert " common" in own.place and len(own.ids) * 4 + len(own.ends) * 16 < 1 << 21
+
+
+def test_rows_of_one_id_fill_several_files(spark, monkeypatch):
+    monkeypatch.setattr(t, "SHARD", 2000)
+    rows = [(None if i % 3 else i, f"text number {i} of many", "en", "a") for i in range(3000)]
+    path = t.write_ids(table(spark, rows), JSON)
+    sizes = [r["n"] for r in spark.read.parquet(f"{path}/segments").groupBy("part").agg({"counts": "count"}).withColumnRenamed("count(counts)", "n").collect()]
+    assert len(sizes) > 6
+    got = t.read_ids(spark, path).orderBy("start").collect()
+    assert [r["doc_id"] for r in got] == [None] * 2000 + list(range(0, 3000, 3))
+    assert [r["start"] for r in got] == np.cumsum([0, *(r["n_tokens"] for r in got)])[:-1].tolist()
+
+
+def test_more_ids_than_the_shortest_limit_holds():
+    counts = np.ones((1 << t.LIMIT) + 5, np.int64)
+    lengths = code_lengths(counts)
+    assert lengths.min() > 0 and lengths.max() == t.LIMIT + 1
+    code, ids = Code(lengths), np.array([0, 5, len(counts) - 1], np.uint32)
+    raw, _, offsets = code.encode(ids, np.array([3]))
+    assert (code.decode(raw, offsets, np.array([3])) == ids).all()
+
+
 def test_code_is_a_prefix_code_within_the_limit():
     rng = np.random.default_rng(0)
     for counts in (np.array([0, 5]), np.array([1, 1, 1]), 2 ** np.arange(40), rng.integers(0, 1000, 5000), np.zeros(3, int)):
