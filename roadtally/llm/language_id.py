@@ -15,12 +15,13 @@ UNKNOWN = "und"
 
 @dataclass(frozen=True)
 class Settings:
-    """The network, and the bound on what it is fitted on: `rows` documents a language, `windows` windows a document."""
+    """The network, and the bound on what it is fitted on: the `classes` most frequent languages, `rows` documents each, `windows` windows a document."""
 
     window: int = 256
     embed: int = 8
     filters: int = 16
     widths: tuple[int, ...] = (2, 3, 4)
+    classes: int = 200
     rows: int = 600
     windows: int = 4
     epochs: int = 10
@@ -112,15 +113,24 @@ def held_out(id_col: str) -> Column:
 
 
 def train(docs: DataFrame, settings: Settings = Settings(), id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> ByteCnn | None:
-    """A network from at most `rows` documents of each language that are not held out; None without any.
+    """A network from at most `rows` documents of each of the `classes` most frequent languages that are not held out; None without any.
 
-    The documents are those of the smallest hash of their id, the windows lie
+    A document's place is a hash of its id and text. Languages are counted
+    first, so that only documents below a threshold that about twice `rows`
+    pass are put in order; of these the first `rows` are taken, as rows and
+    not by their id, so that ids that repeat change nothing. The windows lie
     evenly over the whole text.
     """
-    known = docs.where(F.col(lang_col).isNotNull() & F.col(text_col).isNotNull() & F.col(id_col).isNotNull() & ~held_out(id_col) & (F.col(text_col) != ""))
-    order = Window.partitionBy("lang").orderBy(F.xxhash64("id"), "id")
-    picked = known.select(F.col(lang_col).alias("lang"), F.col(id_col).alias("id")).withColumn("place", F.row_number().over(order))
-    picked = picked.where(F.col("place") <= settings.rows).select("id", F.col("lang").alias("own")).distinct()
+    lang, text = F.col(lang_col).cast("string"), F.col(text_col)
+    known = docs.where(lang.isNotNull() & text.isNotNull() & (text != "") & F.col(id_col).isNotNull() & ~held_out(id_col))
+    counted = known.groupBy(lang.alias("lang")).agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("n"), "lang").limit(settings.classes).collect()
+    if not counted:
+        return None
+    share = F.create_map(*[F.lit(x) for r in counted for x in (r["lang"], min(1.0, 2 * settings.rows / r["n"] + 1e-4))])
+    near = known.select(lang.alias("lang"), text.alias("text"), F.xxhash64(F.col(id_col).cast("string"), text).alias("place"))
+    near = near.where((F.col("place") / 2.0**64 + 0.5) <= share[F.col("lang")])
+    order = Window.partitionBy("lang").orderBy("place", "text")
+    rows = near.withColumn("nth", F.row_number().over(order)).where(F.col("nth") <= settings.rows).select("lang", "text")
 
     def windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -132,11 +142,7 @@ def train(docs: DataFrame, settings: Settings = Settings(), id_col: str = "doc_i
                     parts.append(all_[i].tobytes())
             yield pa.RecordBatch.from_pydict({"lang": pa.array(langs, pa.string()), "bytes": pa.array(parts, pa.binary())})
 
-    rows = known.select(F.col(lang_col).alias("lang"), F.col(text_col).alias("text"), F.col(id_col).alias("id"))
-    rows = rows.join(F.broadcast(picked), (rows["id"] == picked["id"]) & (rows["lang"] == picked["own"])).select("lang", "text")
     found = sorted((r["lang"], bytes(r["bytes"])) for r in rows.mapInArrow(windows, "lang string, bytes binary").collect())
-    if not found:
-        return None
     classes = sorted({lang for lang, _ in found})
     x = np.frombuffer(b"".join(b for _, b in found), np.uint8).reshape(-1, settings.window)
     return ByteCnn(settings, classes).fit(x, np.array([classes.index(lang) for lang, _ in found]))

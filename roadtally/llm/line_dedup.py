@@ -56,20 +56,21 @@ def dedup_lines(docs: DataFrame, min_chars: int = 10, id_col: str = "doc_id", te
 
     def suspects(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            ids, keys = [], []
-            for own, text in zip(batch.column("own_id").to_pylist(), batch.column("text").to_pylist()):
+            ids, rxs, keys = [], [], []
+            for own, rx, text in zip(*(batch.column(c).to_pylist() for c in ("own_id", "rx", "text"))):
                 found = [k for k in {*line_keys(text, min_chars)} if k is not None and own is not None]
                 if found:
                     hit = np.flatnonzero(test(twice.value, _hash(found), bits))
                     ids += [own] * len(hit)
+                    rxs += [rx] * len(hit)
                     keys += [found[i] for i in hit]
-            yield pa.RecordBatch.from_pydict({"id": pa.array(ids, pa.int64()), "key": pa.array(keys, pa.binary())})
+            yield pa.RecordBatch.from_pydict({"id": pa.array(ids, pa.int64()), "rx": pa.array(rxs, pa.int64()), "key": pa.array(keys, pa.binary())})
 
-    maybe = staged(spark, rows.select(F.col("own_id").cast("long"), "text").mapInArrow(suspects, "id long, key binary"), "suspected-lines")
+    maybe = staged(spark, rows.select(F.col("own_id").cast("long"), "rx", "text").mapInArrow(suspects, "id long, rx long, key binary"), "suspected-lines")
     repeated = maybe.groupBy("key").agg(F.min("id").alias("first"), F.max("id").alias("last")).where("first < last").select("key", "first")
     # as a table of its own it is shuffled like the other side, so that a line of very many documents can be split in the join
     repeated = staged(spark, repeated, "repeated-lines")
-    lost = maybe.join(repeated, "key").where("id > first").groupBy("id").agg(F.collect_set("key").alias("lost"))
+    lost = maybe.join(repeated, "key").where("id > first").groupBy("id", "rx").agg(F.collect_set("key").alias("lost"))
 
     def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -88,6 +89,6 @@ def dedup_lines(docs: DataFrame, min_chars: int = 10, id_col: str = "doc_id", te
 
     own = docs.schema[id_col].dataType.simpleString()
     return (
-        rows.select("own_id", "id", "text").join(lost, "id", "left").select("own_id", "text", "lost")
+        rows.select("own_id", "id", "rx", "text").join(lost, ["id", "rx"], "left").select("own_id", "text", "lost")
         .mapInArrow(keep, f"doc_id {own}, n_lines long, n_dropped long, kept_sha256 string, kept string")
     )

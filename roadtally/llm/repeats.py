@@ -143,7 +143,8 @@ def repeated_windows(rows: DataFrame, units: Units, match: Matcher) -> DataFrame
         .mapInArrow(_in_groups(units, match), "id long, rx long, lo long, hi long")
     )
     runs = settled.unionByName(pairs).unionByName(_by_digests(open_.where(F.col("kinds") > HOT), units))
-    return runs.groupBy("id", "rx").agg(F.collect_list(F.struct("lo", "hi")).alias("spans"))
+    # equal rows have equal runs: each once, before they are collected
+    return runs.distinct().groupBy("id", "rx").agg(F.collect_list(F.struct("lo", "hi")).alias("spans"))
 
 
 def _runs(flags: np.ndarray, lo: int) -> list[tuple[int, int]]:

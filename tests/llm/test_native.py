@@ -95,8 +95,9 @@ def plain_contamination(rows, items):
     for item, text in items:
         w = tokens(text)
         size = min(10, len(w))
-        for i in range(len(w) - size + 1) if w and item is not None else ():
-            windows[tuple(w[i : i + size])].add(str(item))
+        for i in range(len(w) - size + 1) if w else ():
+            # windows of an item without id count as hits, but name no item
+            windows[tuple(w[i : i + size])] |= {str(item)} - {"None"}
     out = []
     for d, text, *_ in rows:
         w = tokens(text)
