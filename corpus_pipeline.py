@@ -10,7 +10,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from roadtally.llm.common import staged
@@ -19,6 +19,7 @@ from roadtally.llm.language_id import keep_known, train
 from roadtally.llm.mixing import mix
 from roadtally.llm.near_dedup import near_duplicates
 from roadtally.llm.token_output import token_output
+from roadtally.operators.windows import dense_row_number
 
 #: Score below which a document's language counts as not found.
 LEAST_SCORE = 0.4
@@ -49,14 +50,23 @@ def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of each group of near duplicates the document of the smallest id stays. Rows without id stay.
 
-    Of rows of one id the row with the smallest SHA-256 of its text stays, whatever the texts; a null text counts as empty.
+    Rows of one id with different texts are documents of their own, in the
+    order of their texts' digests; of equal rows (id and text) one stays. Where
+    neither occurs, which a count of ids and digests tells, ids name the rows.
     """
-    gone = near_duplicates(docs).where("not kept").select(F.col("doc_id").alias("gone")).distinct()
-    left = docs.join(gone, docs["doc_id"] == gone["gone"], "left_anti")
-    # equal texts are told apart by all columns
-    rule = F.struct(F.sha2(F.coalesce("text", F.lit("")).cast("binary"), 256), F.xxhash64(*docs.columns))
-    one = left.where("doc_id is not null").groupBy("doc_id").agg(F.min_by(F.struct(*docs.columns), rule).alias("row")).select("row.*")
-    return one.unionByName(left.where("doc_id is null"))
+    text = F.xxhash64("text")
+    names = staged(spark, docs.where("doc_id is not null").groupBy("doc_id", text.alias("rx")).agg(F.count(F.lit(1)).alias("n")), "row-names")
+    if names.where("n > 1").isEmpty() and names.groupBy("doc_id").count().where("count > 1").isEmpty():
+        gone = near_duplicates(docs).where("not kept").select(F.col("doc_id").alias("gone"))
+        return docs.join(gone, docs["doc_id"] == gone["gone"], "left_anti")
+    numbers = dense_row_number(names.select(F.col("doc_id").alias("__id"), F.col("rx").alias("__rx")), ["__id", "__rx"], _ROW)
+    same = (docs["doc_id"] == numbers["__id"]) & (text == numbers["__rx"])
+    rows = staged(spark, docs.join(numbers, same, "left").drop("__id", "__rx"), "named-rows")
+    gone = near_duplicates(rows, id_col=_ROW).where("not kept").select(F.col("doc_id").alias("gone"))
+    left = rows.join(gone, rows[_ROW] == gone["gone"], "left_anti")
+    equal = Window.partitionBy(_ROW).orderBy(F.xxhash64(*docs.columns))
+    one = left.where(F.col(_ROW).isNotNull()).withColumn("__nth", F.row_number().over(equal)).where("__nth = 1")
+    return one.select(*docs.columns).unionByName(left.where(F.col(_ROW).isNull()).select(*docs.columns))
 
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
