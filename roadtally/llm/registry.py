@@ -11,6 +11,7 @@ from roadtally.llm.line_dedup import dedup_lines
 from roadtally.llm.mixing import mixed_counts
 from roadtally.llm.near_dedup import near_duplicates
 from roadtally.llm.secret_scan import scan
+from roadtally.llm.spelling_variants import spelling_variants
 from roadtally.llm.substring_dedup import dedup_substrings
 from roadtally.llm.suffix_dedup import dedup_suffixes
 from roadtally.llm.token_output import token_output
@@ -190,6 +191,64 @@ def token_ids(spark: SparkSession, sf: str) -> DataFrame:
     return token_output(_docs(spark, sf), _tokenizer()).drop("ids")
 
 
+def spelling_groups(spark: SparkSession, sf: str) -> DataFrame:
+    return spelling_variants(_docs(spark, sf), every=31)
+
+
+#: The table of crc32 as a relation with one list, `steps`; _crc is the value of a list of bytes where that relation is joined.
+CRC_TABLE = """
+crc_table AS (
+  SELECT list(list_reduce([i, 0, 0, 0, 0, 0, 0, 0, 0], lambda c, x: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END) ORDER BY i) AS steps
+  FROM (SELECT CAST(range AS BIGINT) AS i FROM range(256))
+)"""
+
+
+def _crc(bytes_: str) -> str:
+    return f"""xor(list_reduce(list_prepend(CAST(4294967295 AS BIGINT), {bytes_}),
+               lambda c, b: xor(c >> 8, steps[(xor(c, b) & 255) + 1])), 4294967295)"""
+
+
+SPELLING_VARIANTS = rf"""
+WITH RECURSIVE {CRC_TABLE}, runs AS (
+  SELECT doc_id, translate(run, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS run, count(*) AS n FROM (
+    SELECT doc_id, unnest(regexp_extract_all(coalesce(text, ''), '[A-Za-z\x{{C0}}-\x{{FF}}]+')) AS run FROM documents
+  ) GROUP BY ALL
+), hexed AS (
+  SELECT *, hex(encode(coalesce(CAST(doc_id AS VARCHAR), '') || ':' || run)) AS h FROM runs WHERE length(run) >= 7
+), bytes AS (
+  SELECT *, list_transform(range(1, length(h), 2), lambda i: CAST(instr('0123456789ABCDEF', h[i]) * 16 + instr('0123456789ABCDEF', h[i + 1]) - 17 AS BIGINT)) AS raw
+  FROM hexed
+), hashed AS (
+  SELECT run, n, {_crc("raw")} AS crc FROM bytes, crc_table
+), slipped AS (
+  SELECT CASE WHEN crc % 31 = 0 THEN run[:crc % length(run)] || run[crc % length(run) + 2:] ELSE run END AS word, n FROM hashed
+), words AS (
+  SELECT word, CAST(sum(n) AS BIGINT) AS n FROM slipped WHERE length(word) >= 7 GROUP BY word HAVING sum(n) >= 2
+), shorter AS (
+  SELECT word, n, i, word[:i - 1] || word[i + 1:] AS rest FROM words, unnest(range(1, length(word) + 1)) AS u(i)
+), pairs AS (
+  SELECT DISTINCT a.word, b.word AS near, b.n AS near_n FROM shorter a JOIN shorter b ON a.rest = b.rest AND a.i = b.i AND a.word <> b.word
+  UNION
+  SELECT a.word, b.word, b.n FROM words a JOIN shorter b ON a.word = b.rest
+  UNION
+  SELECT b.word, a.word, a.n FROM words a JOIN shorter b ON a.word = b.rest
+), best AS (
+  SELECT word, count(*) AS n_near, max(near_n) AS most FROM pairs GROUP BY word
+), forms AS (
+  SELECT w.word, w.n, coalesce(b.n_near, 0) AS n_near, CASE WHEN b.most >= 10 * w.n THEN b.most END AS form_n,
+         CASE WHEN b.most >= 10 * w.n THEN (SELECT min(encode(p.near)) FROM pairs p WHERE p.word = w.word AND p.near_n = b.most) END AS form
+  FROM words w LEFT JOIN best b ON w.word = b.word
+), chains AS (
+  SELECT word, word AS root, 0 AS steps FROM forms
+  UNION ALL
+  SELECT c.word, decode(f.form), steps + 1 FROM chains c JOIN forms f ON c.root = f.word WHERE f.form IS NOT NULL
+), ends AS (
+  SELECT word, arg_max(root, steps) AS root FROM chains GROUP BY word
+)
+SELECT f.word, decode(f.form) AS form, e.root, f.n, f.n_near, f.form_n FROM forms f JOIN ends e ON f.word = e.word
+"""
+
+
 QUERIES = {
     "op1_near_dedup": (near_dedup, NEAR_DEDUP),
     "op2_line_dedup": (line_dedup, LINE_DEDUP),
@@ -201,4 +260,5 @@ QUERIES = {
     "op8_language_id": (language_id, None),
     "op9_substring_dedup": (substring_dedup, SUBSTRING_DEDUP),
     "op10_token_output": (token_ids, None),
+    "op13_spelling_variants": (spelling_groups, SPELLING_VARIANTS),
 }
