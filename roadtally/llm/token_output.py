@@ -22,8 +22,8 @@ LIMIT = 18
 BLOCK, SEGMENT = 512, 1 << 20
 #: Ids of a file of the output.
 SHARD = 16 << 20
-#: Bytes that a worker may spend on cuts whose ids it remembers, and what an entry takes besides its characters and ids.
-REMEMBERED, ENTRY = 32 << 20, 190
+#: Bytes that a worker may spend on cuts whose ids it remembers, those it keeps after a task, and what an entry takes besides its characters and ids.
+REMEMBERED, KEPT, ENTRY = 96 << 20, 16 << 20, 190
 #: Longest cut that is remembered, and characters of text that are encoded at once.
 LONG, PIECE = 48, 1 << 20
 _SPLIT = re.compile(r" (?=\s|\Z)")
@@ -38,9 +38,11 @@ class Encoder:
     the library's: new cuts go to it, joined to long texts, and its ids are
     told apart by the bytes they stand for. What is remembered stays within
     REMEMBERED bytes: above that, long cuts go and the half of the others that
-    came most often stays. An encoder belongs to a task and ends with it.
+    came most often stays. After a task, a worker keeps KEPT bytes of them.
     """
 
+    _made: dict[str, "Encoder"] = {}
+
     def __init__(self, tokenizer_json: str):
         from tokenizers import Tokenizer
 
@@ -52,6 +54,13 @@ class Encoder:
             self.id_bytes[id_] = len(token)
         self.forget()
 
+    @classmethod
+    def of(cls, tokenizer_json: str) -> "Encoder":
+        """The worker's encoder of this tokenizer; of another one, nothing is kept."""
+        if tokenizer_json not in cls._made:
+            cls._made = {tokenizer_json: cls(tokenizer_json)}
+        return cls._made[tokenizer_json]
+
     def forget(self) -> None:
         self.place: dict[str, int] = {}
         self.ids, self.ends, self.times = np.empty(1 << 16, np.uint32), np.zeros(1 << 16, np.int64), np.zeros(1 << 16, np.int64)
@@ -61,14 +70,14 @@ class Encoder:
         """Bytes of what is remembered, about."""
         return ENTRY * len(self.place) + self.chars + 4 * self.used
 
-    def trim(self) -> None:
-        """Keep the most frequent short cuts, within half the bound."""
+    def trim(self, bound: int) -> None:
+        """Keep the most frequent short cuts, within `bound` bytes."""
         cuts, n = list(self.place), len(self.place)
         sizes = np.diff(self.ends[: n + 1])
         bytes_ = ENTRY + np.fromiter(map(len, cuts), np.int64, n) + 4 * sizes
         order = np.argsort(-self.times[:n], kind="stable")
         order = order[bytes_[order] <= ENTRY + 5 * LONG]
-        order = np.sort(order[np.cumsum(bytes_[order]) <= REMEMBERED // 2])
+        order = np.sort(order[np.cumsum(bytes_[order]) <= bound])
         starts, sizes, times = self.ends[order], sizes[order], self.times[order]
         ids = np.concatenate([np.empty(0, np.uint32), *(self.ids[a : a + k] for a, k in zip(starts, sizes))])
         self.forget()
@@ -89,9 +98,9 @@ class Encoder:
 
     def learn(self, cuts: list[str]) -> None:
         plain = [c for c in cuts if c[0] == " "]
-        for at in range(0, len(plain), 4000):
-            part = plain[at : at + 4000]
-            ids = np.array(self.tokenizer.encode("".join(part), add_special_tokens=False).ids, np.uint32)
+        for at in range(0, len(plain), 1000):
+            part = plain[at : at + 1000]
+            ids = np.array(self.tokenizer.encode_batch_fast(["".join(part)], add_special_tokens=False)[0].ids, np.uint32)
             ends = np.cumsum(self.id_bytes[ids])
             want = np.cumsum([len(c.encode()) for c in part])
             cut = np.searchsorted(ends, want)
@@ -104,7 +113,7 @@ class Encoder:
     def learn_apart(self, cuts: list[str]) -> None:
         for at in range(0, len(cuts), 4000):
             part = cuts[at : at + 4000]
-            found = [e.ids for e in self.tokenizer.encode_batch(part, add_special_tokens=False)]
+            found = [e.ids for e in self.tokenizer.encode_batch_fast(part, add_special_tokens=False)]
             self._add(part, np.array([i for ids in found for i in ids], np.uint32), np.array([len(ids) for ids in found]))
 
     @staticmethod
@@ -173,7 +182,7 @@ class Encoder:
         sums = np.concatenate(([0], np.cumsum(lengths)))
         text_ends = np.cumsum([len(part) for part in cut], dtype=np.int64)
         if self.held() > REMEMBERED:
-            self.trim()
+            self.trim(REMEMBERED // 2)
         return ids, np.diff(sums[text_ends], prepend=0)
 
 
@@ -293,7 +302,7 @@ def write_ids(docs: DataFrame, tokenizer_json: str, end_id: int = 0, id_col: str
     shared = spark.sparkContext.broadcast(tokenizer_json)
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = Encoder(shared.value)
+        encoder = Encoder.of(shared.value)
         for batch in batches:
             for part in (batch.slice(i, 1000) for i in range(0, len(batch), 1000)):
                 ids, counts = encoder.encode([t or "" for t in part.column("text").to_pylist()])
@@ -303,6 +312,7 @@ def write_ids(docs: DataFrame, tokenizer_json: str, end_id: int = 0, id_col: str
                 yield pa.RecordBatch.from_arrays(
                     [part.column("own_id"), part.column("id"), part.column("rx"), pa.array(counts, pa.int64()),
                      pa.array([_packed(x) for x in np.split(ids, ends[:-1])], pa.binary())], ["own_id", "id", "rx", "n", "ids"])
+        encoder.trim(KEPT)
 
     rows = keyed(docs, id_col, text_col).select(F.col("own_id").cast("long"), "id", "rx", "text")
     rows = staged(spark, rows.mapInArrow(encode, "own_id long, id long, rx long, n long, ids binary"), "token-ids", compression="zstd")
