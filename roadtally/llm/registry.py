@@ -8,8 +8,10 @@ from pyspark.sql import DataFrame, SparkSession
 from roadtally.llm.decontaminate import contamination
 from roadtally.llm.language_id import identify
 from roadtally.llm.line_dedup import dedup_lines
+from roadtally.llm.lm_scoring import lm_scores
 from roadtally.llm.mixing import mixed_counts
 from roadtally.llm.near_dedup import near_duplicates
+from roadtally.llm.prefix_trie import conversation_trie
 from roadtally.llm.secret_scan import scan
 from roadtally.llm.spelling_variants import spelling_variants
 from roadtally.llm.substring_dedup import dedup_substrings
@@ -191,6 +193,10 @@ def token_ids(spark: SparkSession, sf: str) -> DataFrame:
     return token_output(_docs(spark, sf), _tokenizer()).drop("ids")
 
 
+def lm_scoring(spark: SparkSession, sf: str) -> DataFrame:
+    return lm_scores(_docs(spark, sf))
+
+
 def spelling_groups(spark: SparkSession, sf: str) -> DataFrame:
     return spelling_variants(_docs(spark, sf), every=31)
 
@@ -208,6 +214,52 @@ def _crc(bytes_: str) -> str:
                lambda c, b: xor(c >> 8, steps[(xor(c, b) & 255) + 1])), 4294967295)"""
 
 
+def trie(spark: SparkSession, sf: str) -> DataFrame:
+    return conversation_trie(spark.read.parquet(f"{sf}/conversations.parquet"))
+
+
+TRIE = rf"""
+WITH {CRC_TABLE}, turns AS (
+  SELECT conv_id AS c, coalesce(role, '') AS role, coalesce(text, '') AS text,
+         row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, coalesce(role, ''), md5(coalesce(text, ''))) AS i
+  FROM conversations WHERE conv_id IS NOT NULL
+), convs AS (
+  SELECT DISTINCT c, list_transform(string_split(CAST(c AS VARCHAR), ''), lambda d: CAST(ascii(d) AS BIGINT)) AS raw FROM turns
+), heads AS (
+  SELECT c, c - c % 100 AS base, {_crc("raw")} % 6 AS h FROM convs, crc_table
+), lent AS (
+  SELECT h.c, t.i, t.role, t.text FROM heads h JOIN turns t ON t.c = h.base AND t.i <= h.h
+), parts AS (
+  SELECT c, 0 AS own, i, role, text FROM lent
+  UNION ALL
+  SELECT h.c, 1, t.i, t.role, t.text FROM heads h JOIN turns t ON t.c = h.c AND t.i > h.h
+), rebuilt AS (
+  SELECT c, row_number() OVER w AS depth, length(text) AS size, string_agg(md5(role) || md5(text), '') OVER w AS path
+  FROM parts WINDOW w AS (PARTITION BY c ORDER BY own, i ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)
+), prefixes AS (
+  SELECT c, depth, size, path, path[:64 * (depth - 1)] AS up FROM rebuilt
+  UNION ALL
+  SELECT c, 0, 0, '', NULL FROM convs
+), nodes AS (
+  SELECT depth, path, min(up) AS up, min(c) AS conv, count(*) AS n, min(size) AS size FROM prefixes GROUP BY depth, path
+), children AS (
+  SELECT up, count(*) AS n_children FROM nodes WHERE depth > 0 GROUP BY up
+), full_nodes AS (
+  SELECT n.*, coalesce(k.n_children, 0) AS n_children FROM nodes n LEFT JOIN children k ON n.path = k.up
+), sums AS (
+  SELECT a.path, count(*) FILTER (WHERE b.n_children = 0) AS n_leaves, sum((b.n - 1) * b.size) AS saved
+  FROM full_nodes a JOIN full_nodes b ON starts_with(b.path, a.path) GROUP BY a.path
+), lasts AS (
+  SELECT c, arg_max(path, depth) AS path FROM prefixes GROUP BY c
+), ends AS (
+  SELECT path, string_agg(CAST(c AS VARCHAR), ',' ORDER BY c) AS ids FROM lasts GROUP BY path
+)
+SELECT n.conv AS conv_id, CAST(n.depth AS BIGINT) AS depth, p.conv AS parent_conv_id, n.n AS n_convs, n.n_children, s.n_leaves,
+       CAST(s.saved AS BIGINT) AS saved_tokens, sha256(coalesce(e.ids, '')) AS ends_sha256
+FROM full_nodes n JOIN sums s ON n.path = s.path LEFT JOIN nodes p ON n.depth > 0 AND n.up = p.path LEFT JOIN ends e ON n.path = e.path
+"""
+
+
 SPELLING_VARIANTS = rf"""
 WITH RECURSIVE {CRC_TABLE}, runs AS (
   SELECT doc_id, translate(run, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS run, count(*) AS n FROM (
@@ -260,5 +312,7 @@ QUERIES = {
     "op8_language_id": (language_id, None),
     "op9_substring_dedup": (substring_dedup, SUBSTRING_DEDUP),
     "op10_token_output": (token_ids, None),
+    "op11_prefix_trie": (trie, TRIE),
+    "op12_lm_scoring": (lm_scoring, None),
     "op13_spelling_variants": (spelling_groups, SPELLING_VARIANTS),
 }
