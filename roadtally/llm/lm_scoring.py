@@ -10,6 +10,7 @@ from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
+import zstandard
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -106,23 +107,48 @@ def held_out(id_col: str) -> Column:
 
 
 def _chunks(rows: DataFrame, size: int) -> DataFrame:
-    """chunk, own_id, held, text: texts as bytes with A-Z lower-cased, dealt into chunks of about `size` bytes within their tasks."""
+    """chunk, own_ids, held, sizes, texts: texts as bytes with A-Z lower-cased, dealt into chunks of about `size` bytes within their tasks.
+
+    A row holds the texts of about PIECE bytes, compressed, since they are kept and shuffled.
+    """
+    own_type = rows.schema["own_id"].dataType.simpleString()
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        chunk, used = TaskContext.get().partitionId() << 32, 0
+        chunk, used, held_bytes = TaskContext.get().partitionId() << 32, 0, 0
+        block: list[tuple] = []
+
+        def row(own: pa.DataType) -> pa.RecordBatch:
+            ids, held, texts = zip(*block)
+            return pa.RecordBatch.from_arrays([
+                pa.array([chunk], pa.int64()), pa.array([list(ids)], pa.list_(own)), pa.array([list(held)], pa.list_(pa.bool_())),
+                pa.array([[len(t) for t in texts]], pa.list_(pa.int64())), pa.array([zstandard.compress(b"".join(texts))], pa.binary()),
+            ], ["chunk", "own_ids", "held", "sizes", "texts"])
+
+        own = pa.null()
         for batch in batches:
-            texts = [(t or "").encode().lower() for t in batch.column("text").to_pylist()]
-            numbers = []
-            for text in texts:
-                if used and used + len(text) > size:
+            own = batch.column("own_id").type
+            for id_, held, text in zip(*(batch.column(c).to_pylist() for c in ("own_id", "held", "text"))):
+                raw = (text or "").encode().lower()
+                full = used and used + len(raw) > size
+                if block and (full or held_bytes > PIECE):
+                    yield row(own)
+                    block, held_bytes = [], 0
+                if full:
                     chunk, used = chunk + 1, 0
-                numbers.append(chunk)
-                used += len(text) + 1
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(numbers, pa.int64()), batch.column("own_id"), batch.column("held"), pa.array(texts, pa.binary())], ["chunk", "own_id", "held", "text"])
+                block.append((id_, held, raw))
+                used, held_bytes = used + len(raw) + 1, held_bytes + len(raw)
+        if block:
+            yield row(own)
+
+    return rows.mapInArrow(work, f"chunk long, own_ids array<{own_type}>, held array<boolean>, sizes array<long>, texts binary")
+
 
-    own = rows.schema["own_id"].dataType.simpleString()
-    return rows.mapInArrow(work, f"chunk long, own_id {own}, held boolean, text binary")
+def _texts(packed: bytes, sizes: list[int]) -> list[bytes]:
+    raw, at, out = zstandard.decompress(packed), 0, []
+    for size in sizes:
+        out.append(raw[at : at + size])
+        at += size
+    return out
 
 
 def _needs(texts: DataFrame, order: int) -> DataFrame:
@@ -144,15 +170,13 @@ def _needs(texts: DataFrame, order: int) -> DataFrame:
             words, seen, tally = Counter(), set(), _Tally()
 
         for batch in batches:
-            chunk = batch.column("chunk").to_numpy()
-            held = np.array(batch.column("held").to_pylist(), bool)
-            texts = batch.column("text").to_pylist()
-            for number in np.unique(chunk):
+            for number, held, sizes, packed in zip(*(batch.column(c).to_pylist() for c in ("chunk", "held", "sizes", "texts"))):
                 if at is not None and number != at:
                     yield from rows()
-                at = int(number)
+                at = number
+                texts = _texts(packed, sizes)
                 for out in (False, True):
-                    some = [texts[i] for i in np.flatnonzero((chunk == number) & (held == out))]
+                    some = [text for text, h in zip(texts, held) if h == out]
                     for text in some:
                         for part in word_pieces(text):
                             seen.update(part) if out else words.update(part)
@@ -161,7 +185,7 @@ def _needs(texts: DataFrame, order: int) -> DataFrame:
         if at is not None:
             yield from rows()
 
-    return texts.select("chunk", "held", "text").mapInArrow(work, "chunk long, word binary, gram long, n long")
+    return texts.select("chunk", "held", "sizes", "texts").mapInArrow(work, "chunk long, word binary, gram long, n long")
 
 
 def _mask(order: int) -> int:
@@ -256,13 +280,13 @@ def lm_scores(docs: DataFrame, settings: Settings = Settings(), id_col: str = "d
     """
     spark, order = docs.sparkSession, settings.order
     rows = docs.select(F.col(id_col).alias("own_id"), held_out(id_col).alias("held"), F.col(text_col).cast("string").alias("text"))
-    texts = staged(spark, _chunks(rows, settings.chunk), "scored-texts", compression="zstd")
+    texts = staged(spark, _chunks(rows, settings.chunk), "scored-texts", compression="uncompressed")
     needs = staged(spark, _needs(texts, order), "needed-grams", compression="zstd")
     needed_words, needed_grams = needs.where("word is not null").select("chunk", "word", "n"), needs.where("gram is not null").select("chunk", "gram", "n")
     words = staged(spark, needed_words.groupBy("word").agg(F.sum("n").alias("c")).where("c > 0"), "word-counts")
     grams = staged(spark, needed_grams.groupBy("gram").agg(F.sum("n").alias("c")), "gram-counts")
     scored = staged(spark, symbol_scores(grams, order), "gram-scores")
-    ends = texts.where("not held").count()
+    ends = texts.agg(F.sum(F.size(F.filter("held", lambda h: ~h)))).first()[0] or 0
     known = words.agg(F.sum("c").alias("n"), F.count(F.lit(1)).alias("v")).first()
     total = (known["n"] or 0) + ends
     floor = math.log10(total + known["v"] + bool(ends) + 1)
@@ -272,7 +296,6 @@ def lm_scores(docs: DataFrame, settings: Settings = Settings(), id_col: str = "d
     own = docs.schema[id_col].dataType.simpleString()
 
     def score(left: pa.Table, right: pa.Table) -> pa.Table:
-        raw = left.column("text").to_pylist()
         is_word = right.column("word").is_valid()
         counts = right.filter(is_word)
         count_of = dict(zip(counts.column("word").to_pylist(), counts.column("value").to_pylist())).get
@@ -280,20 +303,24 @@ def lm_scores(docs: DataFrame, settings: Settings = Settings(), id_col: str = "d
         keys, values = grams_.column("gram").to_numpy(), grams_.column("value").to_numpy()
         by = np.argsort(keys)
         keys, values = keys[by], values[by]
-        scores = np.zeros(len(raw))
-        for owners, sizes, found in blocks(raw, order):
-            np.add.at(scores, owners, np.add.reduceat(values[np.searchsorted(keys, found)], np.cumsum(sizes) - sizes))
-        n_tokens, n_known, base = np.ones(len(raw), np.int64), np.full(len(raw), bool(ends), np.int64), np.full(len(raw), math.log10(ends + 1) - floor)
-        for i, text in enumerate(raw):
-            for part in word_pieces(text):
-                c = np.fromiter(map(count_of, part, repeat(0.0)), np.float64, len(part))
-                n_tokens[i] += len(c)
-                n_known[i] += np.count_nonzero(c)
-                base[i] += np.log10(c + 1).sum() - floor * len(c)
-        return pa.table({
-            "doc_id": left.column("own_id"), "held_out": left.column("held"), "n_tokens": n_tokens, "n_known": n_known,
-            "train_tokens": np.full(len(raw), total, np.int64), "base_score": base, "score": scores,
-        })
+        out = []
+        for packed, lengths, ids, held in zip(*(left.column(c).to_pylist() for c in ("texts", "sizes", "own_ids", "held"))):
+            raw = _texts(packed, lengths)
+            scores = np.zeros(len(raw))
+            for owners, sizes, found in blocks(raw, order):
+                np.add.at(scores, owners, np.add.reduceat(values[np.searchsorted(keys, found)], np.cumsum(sizes) - sizes))
+            n_tokens, n_known, base = np.ones(len(raw), np.int64), np.full(len(raw), bool(ends), np.int64), np.full(len(raw), math.log10(ends + 1) - floor)
+            for i, text in enumerate(raw):
+                for part in word_pieces(text):
+                    c = np.fromiter(map(count_of, part, repeat(0.0)), np.float64, len(part))
+                    n_tokens[i] += len(c)
+                    n_known[i] += np.count_nonzero(c)
+                    base[i] += np.log10(c + 1).sum() - floor * len(c)
+            out.append(pa.table({
+                "doc_id": pa.array(ids, left.schema.field("own_ids").type.value_type), "held_out": pa.array(held, pa.bool_()), "n_tokens": n_tokens, "n_known": n_known,
+                "train_tokens": np.full(len(raw), total, np.int64), "base_score": base, "score": scores,
+            }))
+        return pa.concat_tables(out)
 
     return texts.groupBy("chunk").cogroup(sent.groupBy("chunk")).applyInArrow(
         score, f"doc_id {own}, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double")
