@@ -1,9 +1,9 @@
-"""Points against polygon layers, by grid cell.
+"""Points against polygon layers, by the cells of a quadtree.
 
 A polygon layer is a table of (name, ring) with one row per ring, where ring
 is array<struct<x,y>> in longitude / latitude. Several rings of one name are
-its parts and holes. The layer is cut into grid cells; a point then meets only
-the edges of its own cell, by an equi-join on the cell's number.
+its parts and holes. The layer is cut into cells (see `quadtree`); a point then
+meets only the edges of its own cell, by an equi-join on the cell's number.
 """
 
 from __future__ import annotations
@@ -14,12 +14,11 @@ from functools import cached_property
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.storagelevel import StorageLevel
 
-from roadtally.functions.geometry import inside, mercator_x, mercator_y, min_distance2, ring_edges
-from roadtally.functions.text import col_of
+from roadtally.functions.geometry import mercator_x, mercator_y, min_distance2, ring_edges
 from roadtally.operators.columns import quoted
 from roadtally.operators.joins import MAX_BROADCAST_ROWS, spread_join
+from roadtally.operators.quadtree import DEPTH, Grid, holds, leaves
 
 # Largest number of indexed edges that is sent to every executor.
 MAX_BROADCAST_EDGES = 2_000_000
@@ -42,103 +41,50 @@ def polygon_edges(polygons: DataFrame, name: str = "name", projected: bool = Fal
     )
 
 
-def _cell(v: Column | str, size: float) -> Column:
-    return F.floor(col_of(v) / F.lit(size)).cast("int")
-
-
-def _edge() -> Column:
-    return F.struct("x1", "y1", "x2", "y2")
-
-
-def cell_index(edges: DataFrame, size: float) -> DataFrame:
-    """Per grid cell the polygons that may contain its points: (cx, cy, shapes).
-
-    A shape carries the edges that a ray from the cell towards +x can cross:
-    those at the cell's height that do not end left of it. Cells right of a
-    polygon need none of its edges and are left out.
-    """
-    span = edges.groupBy("name").agg(F.min(F.least("x1", "x2")).alias("left"))
-    # Keyed by polygon name: one row per polygon, AQE picks the join by its size.
-    rows = edges.join(span, "name").withColumns(
-        {
-            "cy": F.explode(F.sequence(_cell(F.least("y1", "y2"), size), _cell(F.greatest("y1", "y2"), size))),
-        }
-    )
-    cells = rows.withColumn("cx", F.explode(F.sequence(_cell("left", size), _cell(F.greatest("x1", "x2"), size))))
-    shapes = cells.groupBy("cx", "cy", "name").agg(F.min("place").alias("place"), F.collect_list(_edge()).alias("edges"))
-    return shapes.groupBy("cx", "cy").agg(
-        F.array_sort(F.collect_list(F.struct("place", "name", "edges"))).alias("shapes")
-    )
-
-
-def near_index(edges: DataFrame, size: float, reach: float) -> DataFrame:
-    """Per grid cell the polygons with an edge within `reach` of the cell: (cx, cy, shapes)."""
-
-    def cells(a: str, b: str) -> Column:
-        return F.explode(F.sequence(_cell(F.least(a, b) - F.lit(reach), size), _cell(F.greatest(a, b) + F.lit(reach), size)))
-
-    rows = edges.withColumn("cx", cells("x1", "x2")).withColumn("cy", cells("y1", "y2"))
-    shapes = rows.groupBy("cx", "cy", "name").agg(F.min("place").alias("place"), F.collect_list(_edge()).alias("edges"))
-    return shapes.groupBy("cx", "cy").agg(
-        F.array_sort(F.collect_list(F.struct("place", "name", "edges"))).alias("shapes")
-    )
-
+@dataclass(frozen=True)
+class CellIndex:
+    """Shapes by cell, a table for each level of the quadtree that has any. Small tables are broadcast."""
 
-def _grid_size(edges: DataFrame, cells_across: int) -> float:
-    """Cell size for about `cells_across` cells over the wider side of the layer."""
-    box = edges.agg(
-        F.min(F.least("x1", "x2")).alias("x0"), F.max(F.greatest("x1", "x2")).alias("x1"),
-        F.min(F.least("y1", "y2")).alias("y0"), F.max(F.greatest("y1", "y2")).alias("y1"),
-    ).first()
-    if box["x0"] is None:
-        return 1.0
-    return max(box["x1"] - box["x0"], box["y1"] - box["y0"], 1e-9) / cells_across
+    grid: Grid
+    levels: dict[int, tuple[DataFrame, bool]]
 
+    @property
+    def small(self) -> bool:
+        return all(small for _, small in self.levels.values())
 
-@dataclass(frozen=True)
-class CellIndex:
-    """Shapes by cell. A small index is held as a local table, a large one stays a plan."""
 
-    table: DataFrame
-    size: float
-    small: bool
+def _rings(polygons: DataFrame, name: str = "name", projected: bool = False) -> DataFrame:
+    """(place, name, edges): one row per ring."""
+    order = "place" if "place" in polygons.columns else name
+    edges = F.transform(ring_edges(F.col("ring")), lambda e: F.struct(*[e[c].cast("double").alias(c) for c in ("x1", "y1", "x2", "y2")]))
+    if projected:
+        edges = F.transform(edges, lambda e: F.struct(
+            mercator_x(e.x1).alias("x1"), mercator_y(e.y1).alias("y1"), mercator_x(e.x2).alias("x2"), mercator_y(e.y2).alias("y2")))
+    return polygons.select(F.col(quoted(order)).alias("place"), F.col(quoted(name)).alias("name"), edges.alias("edges"))
 
 
-def _settle(index: DataFrame, size: float, max_edges: int, max_cells: int) -> CellIndex:
-    """Check the index's size; fetch it if it is small enough to be broadcast."""
-    cell = F.concat(F.col("cx").cast("string"), F.lit(","), F.col("cy").cast("string"))
-    keyed = index.select(cell.alias("_cell"), "shapes")
-    kept = keyed.persist(StorageLevel.MEMORY_AND_DISK)
-    try:
-        edges = F.aggregate("shapes", F.lit(0), lambda n, s: n + F.size(s.edges))
-        total = kept.agg(F.coalesce(F.sum(edges), F.lit(0)).alias("edges"), F.count(F.lit(1)).alias("cells")).first()
-        if total["edges"] > max_edges or total["cells"] > max_cells:
-            return CellIndex(keyed, size, False)
-        return CellIndex(index.sparkSession.createDataFrame(kept.toArrow(), keyed.schema), size, True)
-    finally:
-        kept.unpersist()
+def _index(polygons: DataFrame, reach: float | None, max_edges: int, max_cells: int) -> CellIndex:
+    """The layer's quadtree; each level's table is broadcast if its edges and cells are few enough."""
+    grid = Grid.over(polygon_edges(polygons, projected=reach is not None)).widened(reach or 0.0)
+    found = leaves(_rings(polygons, projected=reach is not None), grid, reach)
+    return CellIndex(grid, {level: (table, n <= max_edges and cells <= max_cells) for level, (table, n, cells) in found.items()})
 
 
 class Layer:
-    """A polygon layer with its cell indexes, each built once on first use."""
+    """A polygon layer with its indexes, each built once on first use."""
 
-    def __init__(self, polygons: DataFrame, cells_across: int = 64, max_edges: int = MAX_BROADCAST_EDGES, max_cells: int = MAX_BROADCAST_ROWS):
+    def __init__(self, polygons: DataFrame, max_edges: int = MAX_BROADCAST_EDGES, max_cells: int = MAX_BROADCAST_ROWS):
         self.polygons = polygons
-        self.cells_across = cells_across
         self.limits = (max_edges, max_cells)
         self._near: dict[float, CellIndex] = {}
 
     @cached_property
     def within(self) -> CellIndex:
-        edges = polygon_edges(self.polygons)
-        size = _grid_size(edges, self.cells_across)
-        return _settle(cell_index(edges, size), size, *self.limits)
+        return _index(self.polygons, None, *self.limits)
 
     def near(self, reach: float) -> CellIndex:
         if reach not in self._near:
-            edges = polygon_edges(self.polygons, projected=True)
-            size = max(reach, _grid_size(edges, 4096))
-            self._near[reach] = _settle(near_index(edges, size, reach), size, *self.limits)
+            self._near[reach] = _index(self.polygons, reach, *self.limits)
         return self._near[reach]
 
 
@@ -147,16 +93,33 @@ def as_layer(polygons: DataFrame | Layer) -> Layer:
 
 
 def _with_shapes(points: DataFrame, index: CellIndex, x: Column, y: Column, only: Column | None) -> DataFrame:
-    """Attach the shapes of each point's cell. The index has one row per cell, so rows stay as many.
+    """Attach the shapes of each point's cell, and the cell's level. A cell is in one level's table, so rows stay as many.
 
-    A point without coordinates, or outside `only`, has no cell and meets nothing.
+    A point without coordinates, outside the layer or outside `only` has no
+    cell and meets nothing; one that met its cell looks no further.
     """
-    placed = points.withColumns({"_x": x, "_y": y})
-    cell = F.concat(_cell("_x", index.size).cast("string"), F.lit(","), _cell("_y", index.size).cast("string"))
-    placed = placed.withColumn("_cell", cell if only is None else F.when(only, cell))
-    if index.small:
-        return placed.join(F.broadcast(index.table), "_cell", "left")
-    return spread_join(placed, index.table, "_cell", "left")
+    placed = points.withColumns({"_x": x, "_y": y, "_level": F.lit(None).cast("int")})
+    found = None
+    for level, (table, small) in index.levels.items():
+        cell = F.when(F.col("_level").isNull(), index.grid.cell(F.col("_x"), F.col("_y"), level))
+        placed = placed.withColumn("_cell", cell if only is None else F.when(only, cell))
+        table = table.select(F.col("cell").alias("_cell"), F.col("shapes").alias(f"_shapes_{level}"))
+        placed = placed.join(F.broadcast(table), "_cell", "left") if small else spread_join(placed, table, "_cell", "left")
+        mine = F.col(f"_shapes_{level}")
+        placed = placed.withColumn("_level", F.when(mine.isNotNull(), F.lit(level)).otherwise(F.col("_level")))
+        found = mine if found is None else F.coalesce(found, mine)
+    empty = F.lit(None).cast("array<struct<place:int,name:string,base:boolean,edges:array<struct<x1:double,y1:double,x2:double,y2:double>>>>")
+    return placed.withColumn("shapes", empty if found is None else found)
+
+
+def _corner(index: CellIndex, v: str, start: float) -> Column:
+    """The right or upper side of each point's cell, computed as the quadtree does."""
+    out = F.lit(None).cast("double")
+    for level in index.levels:
+        unit = index.grid.width / 2**DEPTH
+        at = F.shiftright(F.floor((F.col(v) - F.lit(start)) / F.lit(unit)).cast("long"), DEPTH - level) + 1
+        out = F.when(F.col("_level") == level, F.lit(start) + at * F.lit(index.grid.width / 2**level)).otherwise(out)
+    return out
 
 
 def point_in_polygon(
@@ -169,8 +132,10 @@ def point_in_polygon(
 ) -> DataFrame:
     """Add the first polygon (by `place`, else by name) that contains each point, else null."""
     x, y = F.col(quoted(lon)).cast("double"), F.col(quoted(lat)).cast("double")
-    joined = _with_shapes(points, as_layer(polygons).within, x, y, only)
-    holding = F.filter("shapes", lambda s: inside(s.edges, F.col("_x"), F.col("_y")))
+    index = as_layer(polygons).within
+    joined = _with_shapes(points, index, x, y, only)
+    joined = joined.withColumns({"_right": _corner(index, "_x", index.grid.x0), "_top": _corner(index, "_y", index.grid.y0)})
+    holding = F.filter("shapes", lambda s: holds(s, F.col("_x"), F.col("_y"), F.col("_right"), F.col("_top")))
     return joined.withColumn(out, F.try_element_at(holding, F.lit(1))["name"]).select(*[quoted(c) for c in points.columns], out)
 
 
