@@ -125,9 +125,29 @@ def split_by(df: DataFrame, predicate: Column) -> tuple[DataFrame, DataFrame]:
     return df.where(passed), df.where(~passed)
 
 
-def sample(df: DataFrame, fraction: float | None, seed: int = 42) -> DataFrame:
-    """Bernoulli sample; a fraction outside (0, 1) keeps all rows."""
-    return df.sample(fraction=fraction, seed=seed) if fraction and 0 < fraction < 1 else df
+#: Ranks of rows lie below this: twelve hexadecimal digits of a digest.
+RANKS = 16**12
+
+
+def key_rank(df: DataFrame, key: list[str], seed: int) -> Column:
+    """A uniform number below RANKS from the key's columns and the seed; equal keys have equal ranks."""
+    values = F.concat_ws("|", F.lit(str(seed)), *[F.col(quoted(k)).cast("string") for k in key])
+    return F.conv(F.substring(F.md5(values), 1, 12), 16, 10).cast("bigint")
+
+
+def sample(df: DataFrame, fraction: float | None, seed: int = 42, key: list[str] | None = None) -> DataFrame:
+    """A sample of the rows; a fraction outside (0, 1) keeps all.
+
+    With `key` a row is kept if the rank of its key is below the fraction: the
+    same rows on any layout of the table, all rows of a key or none, and a
+    larger fraction keeps what a smaller one kept. Without key the rows are
+    drawn by their place, which is cheaper and differs with the layout.
+    """
+    if not fraction or not 0 < fraction < 1:
+        return df
+    if key:
+        return df.where(key_rank(df, key, seed) < int(fraction * RANKS))
+    return df.sample(fraction=fraction, seed=seed)
 
 
 def sample_n(df: DataFrame, n: int, key: list[str], seed: int = 42) -> DataFrame:
@@ -137,9 +157,9 @@ def sample_n(df: DataFrame, n: int, key: list[str], seed: int = 42) -> DataFrame
     threshold slightly above n / total keeps the final sort small; should it
     keep too few rows, it is widened until it holds n.
     """
-    rank = F.conv(F.substring(F.md5(F.concat_ws("|", F.lit(str(seed)), *[F.col(quoted(k)).cast("string") for k in key])), 1, 12), 16, 10).cast("bigint")
+    rank = key_rank(df, key, seed)
     ranked = df.withColumn("_rank", rank)
-    span = 16**12
+    span = RANKS
     total = df.count()
     share = min(1.0, (n + 8 * n**0.5 + 64) / total) if total else 1.0
     while share < 1.0 and ranked.where(F.col("_rank") < int(share * span)).limit(n).count() < n:

@@ -59,13 +59,13 @@ def summary_cells(merged: DataFrame, style: str = "known", mode: str = "sum4") -
     return add_up(explode_cells(texts, style))
 
 
-def explode_cells(texts: DataFrame, style: str) -> DataFrame:
-    """One row per (vehicle, factor) pair of each row's own lists."""
+def explode_cells(texts: DataFrame, style: str, values: list[str] = TOTALS) -> DataFrame:
+    """One row per (vehicle, factor) pair of each row's own lists, with the columns `values`."""
     pairs = texts.select(
         "borough", "year", F.explode(labels_of(texts, "_vehicles", style)).alias("vehicle_type"),
-        labels_of(texts, "_factors", style).alias("_labels"), *TOTALS,
+        labels_of(texts, "_factors", style).alias("_labels"), *values,
     )
-    return pairs.select("borough", "year", "vehicle_type", F.explode("_labels").alias("factor"), *TOTALS)
+    return pairs.select("borough", "year", "vehicle_type", F.explode("_labels").alias("factor"), *values)
 
 
 def add_up(cells: DataFrame) -> DataFrame:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from roadtally.functions.numbers import age_band, rate
@@ -43,8 +43,8 @@ ORDER = {
 LIVE = {name: getattr(q, name) for name in DIMENSIONS}
 
 
-def _facts(merged: DataFrame) -> DataFrame:
-    """The label columns that the questions group by, and the two tests they count."""
+def _facts(merged: DataFrame, *more: Column) -> DataFrame:
+    """The label columns that the questions group by, and the two tests they count; `more` columns are kept."""
 
     def col(role: str):
         return role_col(merged, role) if has_role(merged, role) else F.lit(None).cast("string")
@@ -66,6 +66,7 @@ def _facts(merged: DataFrame) -> DataFrame:
         label(col("borough")).alias("borough_label"),
         is_injured(injury).cast("int").alias("is_injured"),
         is_fatal(injury).cast("int").alias("is_fatal"),
+        *more,
     )
 
 
@@ -106,6 +107,13 @@ def shape_answer(cells: DataFrame, name: str) -> DataFrame:
     return mine.select(*dims, "cnt")
 
 
+def ordered(rows: DataFrame, name: str) -> DataFrame:
+    """A question's rows in its order, cut where the live question cuts them."""
+    by = [F.desc(c[1:]) if c.startswith("-") else F.col(c) for c in ORDER[name]]
+    rows = rows.orderBy(*by)
+    return rows.limit(1000) if name == "safety_vs_injury" else rows
+
+
 def materialize(merged: DataFrame, folder: str, mode: str = "overwrite") -> None:
     """Write one table per question below `folder`.
 
@@ -122,7 +130,5 @@ def materialize(merged: DataFrame, folder: str, mode: str = "overwrite") -> None
 def answer(spark: SparkSession, name: str, merged: DataFrame, folder: str, filters: Filters = Filters()) -> DataFrame:
     """The materialised table if it exists and nothing is filtered, else the live question."""
     if filters.empty and path_exists(spark, f"{folder}/{name}"):
-        by = [F.desc(c[1:]) if c.startswith("-") else F.col(c) for c in ORDER[name]]
-        stored = spark.read.parquet(f"{folder}/{name}").orderBy(*by)
-        return stored.limit(1000) if name == "safety_vs_injury" else stored
+        return ordered(spark.read.parquet(f"{folder}/{name}"), name)
     return LIVE[name](merged, filters)

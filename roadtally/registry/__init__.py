@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from importlib import import_module
 
-TOPICS = ("places", "people", "measures", "cleaning", "derived", "filtered")
+TOPICS = ("places", "people", "measures", "cleaning", "derived", "filtered", "stored")
 
 
 def all_queries() -> dict:
