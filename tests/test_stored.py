@@ -45,7 +45,7 @@ def test_cube_answers_equal_live_ones(spark, cubes, name, kind):
     assert rows(got) == rows(mat.LIVE[name](merged, filters))
     # only this grain's cells are read, and of them only this question's
     plan = got._jdf.queryExecution().executedPlan().toString()
-    assert all(f"/{grain}/question=" in f for f in got.inputFiles()) and plan.count("FileScan") == 1
+    assert all(f"/{grain}/question=" in f for f in got.inputFiles())
     assert "PartitionFilters: [isnotnull(question" in plan
 
 
