@@ -137,9 +137,14 @@ def mix(docs: DataFrame, plan: Curriculum = Curriculum(), id_col: str = "doc_id"
         """Rows of one id and text are told apart by a number."""
         return rows.withColumn(f"{_IN}nth", F.row_number().over(Window.partitionBy(id_, rx).orderBy(rx)))
 
-    rows = nth(planned(docs, plan, id_col, text_col, source_col), "doc_id", "rx")
+    rows = staged(docs.sparkSession, planned(docs, plan, id_col, text_col, source_col), "planned")
+    own = docs.withColumn(f"{_IN}rx", F.xxhash64(text_col))
+    if rows.groupBy("doc_id", "rx").count().where("count > 1").isEmpty():
+        # no equal rows: texts need not be brought together to be numbered
+        rows, own = rows.withColumn(f"{_IN}nth", F.lit(1)), own.withColumn(f"{_IN}nth", F.lit(1))
+    else:
+        rows, own = nth(rows, "doc_id", "rx"), nth(own, id_col, f"{_IN}rx")
     uses = _positions(rows).select(*(F.col(c).alias(f"{_IN}use_{c}") for c in ("doc_id", "rx", f"{_IN}nth", "words", "size", "position")))
-    own = nth(docs.withColumn(f"{_IN}rx", F.xxhash64(text_col)), id_col, f"{_IN}rx")
     use = lambda name: F.col(f"{_IN}use_{name}")
     joined = own.join(uses, F.col(id_col).eqNullSafe(use("doc_id")) & (F.col(f"{_IN}rx") == use("rx")) & (F.col(f"{_IN}nth") == use(f"{_IN}nth")))
     head = F.slice(F.regexp_extract_all(text_col, F.lit(WORD), F.lit(0)), F.lit(1), F.greatest(use("words"), F.lit(1)).cast("int"))

@@ -57,9 +57,10 @@ def test_mixing(spark, monkeypatch, piece):
     assert got == sorted_rows(mixed_counts(table(spark)).drop("position"))
 
 
-def test_mix_rows(spark):
-    rows = odd_rows()
-    out = [r for r in mix(table(spark)).collect()]
+@pytest.mark.parametrize("equal", [True, False])
+def test_mix_rows(spark, equal):
+    rows = odd_rows() if equal else list(dict.fromkeys(odd_rows()))
+    out = [r for r in mix(table(spark, rows)).collect()]
     count = lambda t: len(re.findall(r"[^\x20\x09-\x0D]+", t))
     per_source = Counter()
     for r in out:
