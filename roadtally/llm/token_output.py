@@ -10,6 +10,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -23,12 +24,28 @@ BLOCK, SEGMENT = 512, 1 << 20
 #: Ids of a file of the output.
 SHARD = 16 << 20
 #: Bytes that a worker may spend on cuts whose ids it remembers, those it keeps after a task, and what an entry takes besides its characters and ids.
-REMEMBERED, KEPT, ENTRY = 96 << 20, 16 << 20, 190
+REMEMBERED, KEPT, ENTRY = 64 << 20, 16 << 20, 190
+#: Rarer cuts whose ids a worker remembers by 128 bits of their digest, about 40 bytes each.
+RARE = 1_500_000
 #: Longest cut that is remembered, and characters of text that are encoded at once.
 LONG, PIECE = 48, 1 << 20
 _SPLIT = re.compile(r" (?=\s|\Z)")
 
 
+_RARE = np.dtype([("hi", np.uint64), ("lo", np.uint64), ("at", np.int64), ("size", np.int64)])
+
+
+def _digests(cuts: list[str]) -> np.ndarray:
+    """128 bits of each cut, in two columns."""
+    return np.frombuffer(b"".join([xxhash.xxh3_128_digest(c.encode()) for c in cuts]), ">u8").reshape(-1, 2).astype(np.uint64)
+
+
+def _gather(values: np.ndarray, starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """The stretches of `values` at `starts`, one after the other."""
+    before = np.cumsum(sizes) - sizes
+    return values[np.repeat(starts - before, sizes) + np.arange(int(sizes.sum()))]
+
+
 class Encoder:
     """Ids of texts by a tokenizer of the tokenizers library whose pre-tokenizer is the byte-level one.
 
@@ -37,8 +54,9 @@ class Encoder:
     since most are words that come again. Everything else of the tokenizer is
     the library's: new cuts go to it, joined to long texts, and its ids are
     told apart by the bytes they stand for. What is remembered stays within
-    REMEMBERED bytes: above that, long cuts go and the half of the others that
-    came most often stays. After a task, a worker keeps KEPT bytes of them.
+    REMEMBERED bytes: above that, the half of the short cuts that came most
+    often stays, and the others are remembered by their digests, RARE of them
+    at most. After a task, a worker keeps KEPT bytes and these.
     """
 
     _made: dict[str, "Encoder"] = {}
@@ -52,6 +70,8 @@ class Encoder:
         self.id_bytes = np.zeros(max(vocabulary.values()) + 1, np.int64)
         for token, id_ in vocabulary.items():
             self.id_bytes[id_] = len(token)
+        self.rare = np.empty(0, _RARE)
+        self.rare_ids = np.empty(0, np.uint32)
         self.forget()
 
     @classmethod
@@ -71,18 +91,46 @@ class Encoder:
         return ENTRY * len(self.place) + self.chars + 4 * self.used
 
     def trim(self, bound: int) -> None:
-        """Keep the most frequent short cuts, within `bound` bytes."""
+        """Keep the most frequent short cuts, within `bound` bytes; the other short ones are remembered by their digests."""
         cuts, n = list(self.place), len(self.place)
         sizes = np.diff(self.ends[: n + 1])
         bytes_ = ENTRY + np.fromiter(map(len, cuts), np.int64, n) + 4 * sizes
         order = np.argsort(-self.times[:n], kind="stable")
         order = order[bytes_[order] <= ENTRY + 5 * LONG]
-        order = np.sort(order[np.cumsum(bytes_[order]) <= bound])
-        starts, sizes, times = self.ends[order], sizes[order], self.times[order]
-        ids = np.concatenate([np.empty(0, np.uint32), *(self.ids[a : a + k] for a, k in zip(starts, sizes))])
+        stay = np.cumsum(bytes_[order]) <= bound
+        kept, rest = np.sort(order[stay]), order[~stay]
+        self._remember([cuts[i] for i in rest], self.ends[rest], sizes[rest])
+        ids, times = _gather(self.ids, self.ends[kept], sizes[kept]), self.times[kept]
         self.forget()
-        self._add([cuts[i] for i in order], ids, sizes)
-        self.times[: len(order)] = times // 2
+        self._add([cuts[i] for i in kept], ids, sizes[kept])
+        self.times[: len(kept)] = times // 2
+
+    def _remember(self, cuts: list[str], starts: np.ndarray, sizes: np.ndarray) -> None:
+        """Put cuts into the table of digests; when it is full, older entries go."""
+        new = np.empty(min(len(cuts), RARE), _RARE)
+        new["hi"], new["lo"] = _digests(cuts[: len(new)]).T
+        new["size"] = sizes[: len(new)]
+        both = np.concatenate([new, self.rare[: RARE - len(new)]])
+        ids = np.concatenate([_gather(self.ids, starts[: len(new)], new["size"]), _gather(self.rare_ids, self.rare["at"][: RARE - len(new)], self.rare["size"][: RARE - len(new)])])
+        both["at"] = np.cumsum(both["size"]) - both["size"]
+        order = np.argsort(both["hi"], kind="stable")
+        both = both[order]
+        # a digest that came twice has its ids once
+        both = both[np.concatenate(([True], both["hi"][1:] != both["hi"][:-1]))] if len(both) else both
+        self.rare_ids = _gather(ids, both["at"], both["size"])
+        both["at"] = np.cumsum(both["size"]) - both["size"]
+        self.rare = both
+
+    def recall(self, cuts: list[str]) -> list[str]:
+        """Bring back the cuts that the table of digests knows; the others are returned."""
+        if not len(self.rare) or not cuts:
+            return cuts
+        digests = _digests(cuts)
+        at = np.minimum(np.searchsorted(self.rare["hi"], digests[:, 0]), len(self.rare) - 1)
+        known = (self.rare["hi"][at] == digests[:, 0]) & (self.rare["lo"][at] == digests[:, 1])
+        found = self.rare[at[known]]
+        self._add([cuts[i] for i in np.flatnonzero(known)], _gather(self.rare_ids, found["at"], found["size"]), found["size"])
+        return [cuts[i] for i in np.flatnonzero(~known)]
 
     def _add(self, cuts: list[str], ids: np.ndarray, lengths: np.ndarray) -> None:
         n = len(self.place)
@@ -173,12 +221,11 @@ class Encoder:
     def _encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         cut = [self.cuts(t) for t in texts]
         flat = [c for part in cut for c in part]
-        self.learn([c for c in dict.fromkeys(flat) if c not in self.place])
+        self.learn(self.recall([c for c in dict.fromkeys(flat) if c not in self.place]))
         at = np.fromiter(map(self.place.__getitem__, flat), np.int64, len(flat))
         self.times += np.bincount(at, minlength=len(self.times))
-        starts, lengths = self.ends[at], self.ends[at + 1] - self.ends[at]
-        before = np.cumsum(lengths) - lengths
-        ids = self.ids[np.repeat(starts - before, lengths) + np.arange(int(lengths.sum()))]
+        lengths = self.ends[at + 1] - self.ends[at]
+        ids = _gather(self.ids, self.ends[at], lengths)
         sums = np.concatenate(([0], np.cumsum(lengths)))
         text_ends = np.cumsum([len(part) for part in cut], dtype=np.int64)
         if self.held() > REMEMBERED:
