@@ -6,11 +6,14 @@ from pyspark.sql import functions as F
 
 from roadtally.operators import sketches
 from roadtally.operators.filters import Filters, sample
+from roadtally.operators.columns import with_totals
 from roadtally.plans import cube
 from roadtally.plans.derive import explode_cells, with_basics
+from roadtally.plans.pyramid import build_pyramid, map_cells
+from roadtally.plans.textindex import build_index, search_indexed
 from roadtally.registry.people import AGE, BAND, CHOSEN, CHOSEN_SQL, INJURED, SAFETY, by_injury, label_sql
 from roadtally.registry.places import SUMMARY_SQL, rounded
-from roadtally.registry.tables import incidents, merged, persons, sql
+from roadtally.registry.tables import incidents, merged, persons, sql, table
 from roadtally.session import scratch_dir
 from roadtally.streaming.corrections import corrected_summary, merge_batch
 
@@ -70,6 +73,30 @@ def about(s, d, rolled):
     return both.select("person_type", "crashes", (F.abs(F.col("about") - F.col("crashes")) <= F.greatest(F.lit(1), F.col("crashes") * 0.05)).alias("near"))
 
 
+def searched(s, d, name, key, query, cols, year_col=None):
+    folder, rows = scratch_dir(s, "grams"), table(s, d, name)
+    build_index(rows, key, cols, folder, year_col)
+    return search_indexed(rows, folder, query, key, cols, year_col)
+
+
+def mapped(s, d, level, box=None):
+    folder = scratch_dir(s, "pyramid")
+    build_pyramid(with_totals(incidents(s, d), "persons"), folder)
+    cells = map_cells(s, folder, level, box)
+    return cells.select(F.round("lat", 9).alias("lat"), F.round("lon", 9).alias("lon"), "n", "severity", F.round("severity_mean", 6).alias("severity_mean"))
+
+
+def mapped_sql(level: int, where: str = "TRUE") -> str:
+    scale = f"CAST({1 << level} AS DOUBLE)"
+    return sql(
+        f"SELECT round((y + 0.5::DOUBLE) * (180 / {scale}) - 90, 9) AS lat, round((x + 0.5::DOUBLE) * (360 / {scale}) - 180, 9) AS lon, n, severity, "
+        "round(severity / n, 6) AS severity_mean FROM (SELECT x, y, COUNT(*) AS n, CAST(SUM(severity_score) AS DOUBLE) AS severity FROM ("
+        f"SELECT floor((longitude + 180) / 360 * {scale}) AS x, floor((latitude + 90) / 180 * {scale}) AS y, severity_score FROM scored WHERE latitude IS NOT NULL "
+        f"AND longitude IS NOT NULL) WHERE {where} GROUP BY x, y)",
+        "scored",
+    )
+
+
 _KEPT = "CAST('0x' || md5('42|' || CAST(unique_id AS VARCHAR))[:12] AS BIGINT) < CAST(floor({share} * 281474976710656) AS BIGINT)"
 
 QUERIES = {
@@ -114,6 +141,19 @@ QUERIES = {
         sql("SELECT vehicle_type, COUNT(DISTINCT collision_id) AS crashes, TRUE AS near FROM exploded GROUP BY 1", "scored",
             exploded="SELECT collision_id, v AS vehicle_type FROM (" + SUMMARY_SQL.split("FROM (", 1)[1].removesuffix(" GROUP BY ALL")),
     ),
+    "search_indexed_parts": (
+        lambda s, d: searched(s, d, "part", "p_partkey", "Blue", ["p_name", "p_type"], "p_size").select("p_partkey", "p_name", "p_type", "p_size"),
+        "SELECT p_partkey, p_name, p_type, p_size FROM part WHERE contains(lower(p_name), 'blue') OR contains(lower(p_type), 'blue') OR contains(CAST(p_size AS VARCHAR), 'blue')",
+    ),
+    "search_indexed_documents": (
+        lambda s, d: searched(s, d, "documents", "doc_id", "the thon", ["text", "lang"]).select("doc_id"),
+        "SELECT doc_id FROM documents WHERE COALESCE(contains(lower(text), 'the thon'), FALSE) OR COALESCE(contains(lower(lang), 'the thon'), FALSE)",
+    ),
+    "map_cells_fine": (lambda s, d: mapped(s, d, 17), mapped_sql(17)),
+    "map_cells_of_box": (
+        lambda s, d: mapped(s, d, 13, (-74.1, 40.6, -73.9, 40.75)),
+        mapped_sql(13, "x BETWEEN floor((-74.1 + 180) / 360 * 8192) AND floor((-73.9 + 180) / 360 * 8192) AND y BETWEEN floor((40.6 + 90) / 180 * 8192) AND floor((40.75 + 90) / 180 * 8192)"),
+    ),
     "sample_by_key": (
         lambda s, d: sample(persons(s, d), 0.25, key=["unique_id"]).select("unique_id", "person_type"),
         sql(f"SELECT unique_id, person_type FROM persons WHERE {_KEPT.format(share=0.25)}", "persons"),
