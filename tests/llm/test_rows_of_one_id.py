@@ -2,6 +2,7 @@
 
 import corpus_pipeline
 import pytest
+from pyspark.sql import functions as F
 
 from roadtally.llm import language_id
 from roadtally.llm.line_dedup import dedup_lines
@@ -46,5 +47,5 @@ def test_language_sample_is_bounded(spark, many, monkeypatch):
     seen = []
     monkeypatch.setattr(language_id.ByteCnn, "fit", lambda self, x, y: seen.append(len(x)) or self)
     settings = language_id.Settings(rows=50)
-    language_id.train(many, settings)
+    language_id.train(many.withColumn("doc_id", F.lit(3)), settings)
     assert 50 <= seen[0] <= 50 * settings.windows
