@@ -23,8 +23,8 @@ LIMIT = 18
 BLOCK, SEGMENT = 512, 1 << 20
 #: Ids of a file of the output.
 SHARD = 16 << 20
-#: Bytes that a worker may spend on cuts whose ids it remembers, those it keeps after a task, and what an entry takes besides its characters and ids.
-REMEMBERED, KEPT, ENTRY = 64 << 20, 16 << 20, 190
+#: Bytes that a task may spend on cuts whose ids it remembers, and what an entry takes besides its characters and ids.
+REMEMBERED, ENTRY = 64 << 20, 190
 #: Rarer cuts whose ids a worker remembers by 128 bits of their digest, about 40 bytes each.
 RARE = 1_500_000
 #: Longest cut that is remembered, and characters of text that are encoded at once.
@@ -56,7 +56,7 @@ class Encoder:
     told apart by the bytes they stand for. What is remembered stays within
     REMEMBERED bytes: above that, the half of the short cuts that came most
     often stays, and the others are remembered by their digests, RARE of them
-    at most. After a task, a worker keeps KEPT bytes and these.
+    at most. After a task, a worker keeps these only, in flat arrays.
     """
 
     _made: dict[str, "Encoder"] = {}
@@ -359,7 +359,7 @@ def write_ids(docs: DataFrame, tokenizer_json: str, end_id: int = 0, id_col: str
                 yield pa.RecordBatch.from_arrays(
                     [part.column("own_id"), part.column("id"), part.column("rx"), pa.array(counts, pa.int64()),
                      pa.array([_packed(x) for x in np.split(ids, ends[:-1])], pa.binary())], ["own_id", "id", "rx", "n", "ids"])
-        encoder.trim(KEPT)
+        encoder.trim(0)
 
     rows = keyed(docs, id_col, text_col).select(F.col("own_id").cast("long"), "id", "rx", "text")
     rows = staged(spark, rows.mapInArrow(encode, "own_id long, id long, rx long, n long, ids binary"), "token-ids", compression="zstd")
