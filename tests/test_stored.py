@@ -166,6 +166,33 @@ def test_indexed_searches_equal_scans(spark, tmp_path):
     assert textindex.candidates(spark, folder, "never there").count() == 0
 
 
+def test_rows_of_one_key_are_all_found(spark, tmp_path):
+    data = [(7, "the first needle"), (7, "a needle again"), (8, "need"), (8, "edle")] + [(100 + i, "hay") for i in range(50)]
+    df = spark.createDataFrame(data, "id long, text string")
+    textindex.build_index(df, "id", ["text"], str(tmp_path / "grams"))
+    assert sorted(rows(textindex.search_indexed(df, str(tmp_path / "grams"), "needle", "id", ["text"]))) == [(7, "a needle again"), (7, "the first needle")]
+
+
+@pytest.mark.parametrize("piece", [7, 1 << 21])
+def test_postings_hold_each_gram_of_each_row_once_in_a_list(spark, tmp_path, monkeypatch, piece):
+    monkeypatch.setattr(textindex, "PIECE", piece)
+    pick = random.Random(piece)
+    texts = ["".join(pick.choice("aB\u00e9\U0001f600 ") for _ in range(pick.randrange(0, 30))) for _ in range(300)] + ["".join(map(chr, range(0x4E00, 0x9E00)))]
+    held = [(row, t) for part in textindex._pieces([texts, [None] * len(texts)]) for row, t in part]
+    found = set()
+    for part in textindex._pieces([texts]):
+        grams, cuts, row = textindex._grams(part)
+        assert grams == sorted(set(grams))
+        pairs = [(g, int(r)) for g, a, b in zip(grams, cuts, cuts[1:]) for r in row[a:b]]
+        assert len(pairs) == len(set(pairs))
+        found.update(pairs)
+    assert found == {(t[i : i + 3], r) for r, t in enumerate(texts) for i in range(len(t) - 2)} and all(len(t) <= piece + 2 for _, t in held)
+    df = spark.createDataFrame([(i, "common words") for i in range(2000)], "id long, text string").coalesce(1)
+    textindex.build_index(df, "id", ["text"], str(tmp_path / "grams"))
+    postings = spark.read.parquet(f"{tmp_path}/grams/postings")
+    assert postings.agg(F.sum("n")).first()[0] == 20000 and (piece == 7 or postings.count() == 10)
+
+
 def test_pyramid_levels_are_sums_of_finer_ones(spark, tmp_path):
     pick = random.Random(2)
     data = [(pick.uniform(40.5, 40.9), pick.uniform(-74.2, -73.7), pick.randrange(4)) for _ in range(500)] + [(None, -74.0, 1), (95.0, -74.0, 1), (40.7, -74.0, None), (-90.0, -180.0, 2)]
