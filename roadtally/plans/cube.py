@@ -16,9 +16,10 @@ from pyspark.sql import functions as F
 
 from roadtally.functions.numbers import to_int
 from roadtally.functions.temporal import try_ts
-from roadtally.operators.columns import has_role, resolve, role_col
+from roadtally.operators.columns import has_role, quoted, resolve, role_col
 from roadtally.operators.filters import Filters
 from roadtally.plans.materialize import DIMENSIONS, LIVE, _facts, ordered, shape_answer
+from roadtally.session import written
 from roadtally.sources.readers import path_exists
 
 #: Grains from fine to coarse: the columns that filters can test on their cells.
@@ -29,6 +30,8 @@ GRAINS = {
     "all": (),
 }
 COUNTS = ("cnt", "injured", "fatalities")
+#: Roles that dimensions are made of and no filter tests.
+LABELLED = ("safety_equipment", "ejection", "position_in_vehicle")
 
 
 def _filter_columns(merged: DataFrame) -> dict[str, Column]:
@@ -41,24 +44,45 @@ def _filter_columns(merged: DataFrame) -> dict[str, Column]:
     return found
 
 
-def finest(merged: DataFrame) -> DataFrame:
-    """question, the questions' dimensions, the filters' columns, counts: the cells of the finest grain, from one pass."""
+def _facts_of(merged: DataFrame, tested: dict[str, Column]) -> DataFrame:
+    """The questions' dimensions, the filters' columns and counts, as a table of its own.
+
+    Rows that agree on all columns in use are counted first: that shuffle also
+    spreads a table of a single file before any label is made.
+    """
+    used = {resolve(merged, r) for r in (*GRAINS["person"], *LABELLED)}
+    counted = merged.groupBy(*[quoted(c) for c in merged.columns if c in used]).agg(F.count(F.lit(1)).alias("__cnt"))
+    facts = _facts(counted.withColumns({f"__{c}": v for c, v in tested.items()}), *[F.col(f"__{c}") for c in tested], F.col("__cnt"))
+    weighed = {c: (F.col(c) * F.col("__cnt")).alias(c) for c in ("is_injured", "is_fatal")}
+    return written(facts.select(*[weighed.get(c, F.col(c)) for c in facts.columns]), "facts")
+
+
+def _of_question(rows: DataFrame, question: str, tested: dict[str, str], sums: dict[str, str]) -> DataFrame:
+    """Cells of a question from rows that hold its dimensions: only these and the tested columns are keys, the other dimensions are null."""
     names = list(dict.fromkeys(d for dims in DIMENSIONS.values() for d in dims))
+    dims = DIMENSIONS[question]
+    keys = [*[F.col(d).alias(d) for d in dims], *[F.col(c).alias(as_) for c, as_ in tested.items()]]
+    cells = rows.groupBy(*keys).agg(*[F.sum(c).alias(as_) for c, as_ in sums.items()])
+    none = {n: F.lit(None).cast(rows.schema[n].dataType).alias(n) for n in names if n not in dims}
+    return cells.select(F.lit(question).alias("question"), *[none.get(n, F.col(n)) for n in names], *tested.values(), *COUNTS)
+
+
+def finest(merged: DataFrame) -> DataFrame:
+    """question, the questions' dimensions, the filters' columns, counts: the cells of the finest grain.
+
+    The merged table is read once, for the facts; each question's aggregate
+    reads its own columns of these.
+    """
     tested = _filter_columns(merged)
-    facts = _facts(merged.withColumns({f"__{c}": v for c, v in tested.items()}), *[F.col(f"__{c}") for c in tested])
-    # one row a question, with the others' dimensions left out, so that all questions meet in one aggregate
-    sides = F.array(*[
-        F.struct(F.lit(q).alias("question"), *[(F.col(n) if n in dims else F.lit(None).cast(facts.schema[n].dataType)).alias(n) for n in names])
-        for q, dims in DIMENSIONS.items()])
-    rows = facts.select(F.explode(sides).alias("side"), *[F.col(f"__{c}").alias(c) for c in tested], "is_injured", "is_fatal")
-    rows = rows.select("side.*", *tested, "is_injured", "is_fatal")
-    return rows.groupBy("question", *names, *tested).agg(F.count(F.lit(1)).alias("cnt"), F.sum("is_injured").alias("injured"), F.sum("is_fatal").alias("fatalities"))
+    facts = _facts_of(merged, tested)
+    sums = {"__cnt": "cnt", "is_injured": "injured", "is_fatal": "fatalities"}
+    return reduce(DataFrame.unionByName, [_of_question(facts, q, {f"__{c}": c for c in tested}, sums) for q in DIMENSIONS])
 
 
 def coarser(cells: DataFrame, keep: tuple[str, ...]) -> DataFrame:
     """Cells added up over the filters' columns that are not kept."""
-    gone = set(GRAINS["person"]) - set(keep)
-    return cells.groupBy(*[c for c in cells.columns if c not in gone and c not in COUNTS]).agg(*[F.sum(c).alias(c) for c in COUNTS])
+    kept = {c: c for c in cells.columns if c in keep}
+    return reduce(DataFrame.unionByName, [_of_question(cells.where(F.col("question") == q), q, kept, dict(zip(COUNTS, COUNTS))) for q in DIMENSIONS])
 
 
 def build_cubes(merged: DataFrame, folder: str, mode: str = "overwrite") -> None:

@@ -2,6 +2,7 @@
 
 import math
 import random
+import re
 
 import pytest
 from pyspark.sql import functions as F
@@ -49,6 +50,20 @@ def test_cube_answers_equal_live_ones(spark, cubes, name, kind):
     assert "PartitionFilters: [isnotnull(question" in plan
 
 
+def test_cubes_count_equal_rows_once_and_multiply_none(spark, tmp_path):
+    merged = t.merged(spark, SF).where("unique_id % 7 = 0")
+    thrice = merged.unionByName(merged).unionByName(merged).coalesce(1)
+    one, three = (cube._facts_of(m, cube._filter_columns(m)) for m in (merged, thrice))
+    assert one.count() == three.count() and three.agg(F.sum("__cnt")).first()[0] == 3 * merged.count()
+    # no copy of a row for each question; a question's aggregate has its own dimensions as keys
+    plan = cube.finest(thrice)._jdf.queryExecution().executedPlan().toString()
+    assert "Generate" not in plan and "keys=[safety" in plan and not re.search(r"keys=\[[^\]]*safety[^\]]*age_group", plan)
+    cube.build_cubes(thrice, str(tmp_path / "cubes"))
+    for name in cube.DIMENSIONS:
+        for filters in (Filters(), Filters(min_age=20, boroughs=("Bronx", "Manhattan"))):
+            assert rows(cube.answer(spark, name, thrice, str(tmp_path / "cubes"), filters)) == rows(mat.LIVE[name](thrice, filters)), name
+
+
 def test_filters_that_no_cube_holds_are_answered_live(spark, cubes):
     merged = t.merged(spark, SF)
     for filters in (Filters(factors=("speeding",)), Filters(facets={"ejection": ("Ejected",)})):
