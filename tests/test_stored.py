@@ -115,6 +115,23 @@ def test_a_batch_reads_the_buckets_of_its_keys_only(spark, tmp_path):
     assert touched == 1 and held.select("_bucket").distinct().count() == 1 and held.count() < 20
 
 
+def test_a_batch_writes_the_rows_that_won_only(spark, tmp_path, monkeypatch):
+    folder, alive = str(tmp_path / "ledger"), {}
+    monkeypatch.setattr(c, "DELTAS", 2, raising=False)
+    for i in range(6):
+        batch = [(k, i + 1, k == 3 * i, f"Place {i}", str(k % 2)) for k in range(0 if i == 0 else 3, 400 if i == 0 else 8 + i)]
+        for _ in range(2 if i in (2, 4) else 1):
+            c.merge_batch(crashes(spark, batch), i, folder, "collision_id", "version", "deleted", buckets=2)
+        alive.update({r[0]: r for r in batch})
+        want = build_summary(crashes(spark, [r for r in alive.values() if not r[2]]))
+        assert sorted(rows(c.corrected_summary(spark, folder)), key=str) == sorted(rows(want), key=str)
+    sizes = {r["batch_id"]: r["count"] for r in spark.read.parquet(f"{folder}/rows").groupBy("batch_id").count().collect()}
+    # the fourth batch finds each bucket in three and writes them whole, the others what won
+    assert sizes == {0: 400, 1: 6, 2: 7, 3: 400, 4: 9, 5: 10}
+    files = spark.read.parquet(f"{folder}/rows").where("batch_id = 0").inputFiles()
+    assert len([f for f in files if "batch_id=0/" in f]) == 2
+
+
 def test_sketches_roll_up_within_their_error(spark):
     frame = spark.range(60_000).selectExpr("id % 7 as day", "id % 3 as place", "id div 2 as crash")
     fine = sketches.distinct_sketches(frame, "crash", ["day", "place"])
