@@ -10,6 +10,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -22,29 +23,42 @@ LIMIT = 18
 BLOCK, SEGMENT = 512, 1 << 20
 #: Ids of a file of the output.
 SHARD = 16 << 20
-#: Bytes that a worker may spend on cuts whose ids it remembers, those it keeps after a task, and what an entry takes besides its characters and ids.
-REMEMBERED, KEPT, ENTRY = 96 << 20, 16 << 20, 190
-#: Longest cut that is remembered, and characters of text that are encoded at once.
-LONG, PIECE = 48, 1 << 20
-_SPLIT = re.compile(r" (?=\s|\Z)")
+#: Bytes that a worker may spend on words whose ids it remembers, and what a word takes besides its bytes and ids.
+REMEMBERED, ENTRY = 16 << 20, 24
+#: Longest word that is remembered, and characters of text that are encoded at once.
+LONG, PIECE = 48, 4 << 20
+#: Characters of which two that a text does not hold mark its cuts and borders; a text that holds nearly all is encoded whole.
+MARKS = "\0\1\2\3\4\5\6\7\x08"
+_SPLIT, _CUT = re.compile(r" (?=\s|\Z)"), re.compile(r" (?=\S)")
+#: Behind a letter and before what is none.
+_BORDER = re.compile(r"(?<=[A-Za-z\u00C0-\u00D6\u00D8-\u00F6\u00F8-\u00FF])(?=[\t-@\[-`{-~])")
+
+
+def _ranges(starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
+    """Places of all elements of ranges of an array, one range after the other."""
+    ends = np.cumsum(lengths)
+    return np.repeat(starts - (ends - lengths), lengths) + np.arange(int(ends[-1]) if len(ends) else 0)
 
 
 class Encoder:
     """Ids of texts by a tokenizer of the tokenizers library whose pre-tokenizer is the byte-level one.
 
     That pre-tokenizer always starts a piece at a space before a visible
-    character, so a text may be cut there; ids of the cuts are remembered,
-    since most are words that come again. Everything else of the tokenizer is
-    the library's: new cuts go to it, joined to long texts, and its ids are
-    told apart by the bytes they stand for. What is remembered stays within
-    REMEMBERED bytes: above that, long cuts go and the half of the others that
-    came most often stays. After a task, a worker keeps KEPT bytes of them.
+    character, so a text may be cut there, and ends one between a letter and
+    an ASCII character that is none, so the different cuts of a text are
+    divided there into words (unless an added token is among them). Ids of
+    words are remembered, since most come again. Everything else of the
+    tokenizer is the library's: new words go to it, joined to long texts, and
+    their ids are told apart by the bytes they stand for. What is remembered
+    stays within REMEMBERED bytes: above that, long words go and the half of
+    the others that came most often stays, also for a worker's next tasks.
     """
 
     _made: dict[str, "Encoder"] = {}
 
     def __init__(self, tokenizer_json: str):
         from tokenizers import Tokenizer
+        from tokenizers.pre_tokenizers import ByteLevel
 
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         self.tokenizer = Tokenizer.from_str(tokenizer_json)
@@ -52,6 +66,9 @@ class Encoder:
         self.id_bytes = np.zeros(max(vocabulary.values()) + 1, np.int64)
         for token, id_ in vocabulary.items():
             self.id_bytes[id_] = len(token)
+        before = self.tokenizer.pre_tokenizer
+        self.borders = isinstance(before, ByteLevel) and before.use_regex
+        self.added = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
         self.forget()
 
     @classmethod
@@ -62,81 +79,73 @@ class Encoder:
         return cls._made[tokenizer_json]
 
     def forget(self) -> None:
-        self.place: dict[str, int] = {}
+        self.words = pa.array([], pa.large_string())
         self.ids, self.ends, self.times = np.empty(1 << 16, np.uint32), np.zeros(1 << 16, np.int64), np.zeros(1 << 16, np.int64)
-        self.used, self.chars = 0, 0
+        self.used = 0
+
+    @property
+    def place(self) -> dict[str, int]:
+        """Each remembered word's place."""
+        return {w: i for i, w in enumerate(self.words.to_pylist())}
 
     def held(self) -> int:
         """Bytes of what is remembered, about."""
-        return ENTRY * len(self.place) + self.chars + 4 * self.used
+        return ENTRY * len(self.words) + (pc.sum(pc.binary_length(self.words)).as_py() or 0) + 4 * self.used
 
     def trim(self, bound: int) -> None:
-        """Keep the most frequent short cuts, within `bound` bytes."""
-        cuts, n = list(self.place), len(self.place)
+        """Keep the most frequent short words, within `bound` bytes."""
+        n = len(self.words)
         sizes = np.diff(self.ends[: n + 1])
-        bytes_ = ENTRY + np.fromiter(map(len, cuts), np.int64, n) + 4 * sizes
+        bytes_ = ENTRY + pc.binary_length(self.words).to_numpy() + 4 * sizes
         order = np.argsort(-self.times[:n], kind="stable")
         order = order[bytes_[order] <= ENTRY + 5 * LONG]
         order = np.sort(order[np.cumsum(bytes_[order]) <= bound])
-        starts, sizes, times = self.ends[order], sizes[order], self.times[order]
-        ids = np.concatenate([np.empty(0, np.uint32), *(self.ids[a : a + k] for a, k in zip(starts, sizes))])
+        words, ids, sizes, times = self.words.take(pa.array(order)), self.ids[_ranges(self.ends[order], sizes[order])], sizes[order], self.times[order]
         self.forget()
-        self._add([cuts[i] for i in order], ids, sizes)
+        self._add(words, ids, sizes)
         self.times[: len(order)] = times // 2
 
-    def _add(self, cuts: list[str], ids: np.ndarray, lengths: np.ndarray) -> None:
-        n = len(self.place)
+    def _add(self, words: pa.Array, ids: np.ndarray, lengths: np.ndarray) -> None:
+        n = len(self.words)
         while self.used + len(ids) > len(self.ids):
             self.ids = np.concatenate([self.ids, np.empty_like(self.ids)])
-        while n + len(cuts) + 1 > len(self.ends):
+        while n + len(words) + 1 > len(self.ends):
             self.ends, self.times = np.concatenate([self.ends, np.zeros_like(self.ends)]), np.concatenate([self.times, np.zeros_like(self.times)])
         self.ids[self.used : self.used + len(ids)] = ids
-        self.ends[n + 1 : n + 1 + len(cuts)] = self.used + np.cumsum(lengths)
+        self.ends[n + 1 : n + 1 + len(words)] = self.used + np.cumsum(lengths)
         self.used += len(ids)
-        self.place.update(zip(cuts, range(n, n + len(cuts))))
-        self.chars += sum(map(len, cuts))
-
-    def learn(self, cuts: list[str]) -> None:
-        plain = [c for c in cuts if c[0] == " "]
-        for at in range(0, len(plain), 1000):
-            part = plain[at : at + 1000]
-            ids = np.array(self.tokenizer.encode_batch_fast(["".join(part)], add_special_tokens=False)[0].ids, np.uint32)
-            ends = np.cumsum(self.id_bytes[ids])
-            want = np.cumsum([len(c.encode()) for c in part])
-            cut = np.searchsorted(ends, want)
-            if not len(ends) or ends[-1] != want[-1] or (ends[cut] != want).any():
-                self.learn_apart(part)
+        self.words = pa.concat_arrays([self.words, words])
+
+    def learn(self, words: pa.Array) -> np.ndarray:
+        """Remember words that are not remembered yet; their places."""
+        joint = pc.match_substring_regex(words, r"^ [^\pZ\pC]").to_numpy(zero_copy_only=False)
+        order = np.argsort(~joint, kind="stable")
+        words, n = words.take(pa.array(order)), int(joint.sum())
+        want, found = np.cumsum(pc.binary_length(words).to_numpy()), []
+        starts = np.append(np.arange(0, n, 1000), n)
+        parts = pa.LargeListArray.from_arrays(pa.array(starts), words[:n])
+        for lo, hi, text in zip(starts, starts[1:], pc.binary_join(parts, pa.scalar("", pa.large_string())).to_pylist()):
+            ids = np.array(self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids, np.uint32)
+            ends, at = np.cumsum(self.id_bytes[ids]) + (want[lo - 1] if lo else 0), want[lo:hi]
+            cut = np.searchsorted(ends, at)
+            if not len(ends) or ends[-1] != at[-1] or (ends[cut] != at).any():
+                found.append(self.apart(words[lo:hi]))
             else:
-                self._add(part, ids, np.diff(cut + 1, prepend=0))
-        self.learn_apart([c for c in cuts if c[0] != " "])
-
-    def learn_apart(self, cuts: list[str]) -> None:
-        for at in range(0, len(cuts), 4000):
-            part = cuts[at : at + 4000]
-            found = [e.ids for e in self.tokenizer.encode_batch_fast(part, add_special_tokens=False)]
-            self._add(part, np.array([i for ids in found for i in ids], np.uint32), np.array([len(ids) for ids in found]))
-
-    @staticmethod
-    def cuts(text: str) -> list[str]:
-        if not text:
-            return []
-        if "\0" in text:
-            parts = [" " * bool(i) + p for i, p in enumerate(text.split(" "))]
-        else:
-            parts = text.replace(" ", "\0 ").split("\0")
-        if _SPLIT.search(text):
-            joined = parts[:1]
-            for p in parts[1:]:
-                if len(p) > 1 and not p[1].isspace():
-                    joined.append(p)
-                else:
-                    joined[-1] += p
-            parts = joined
-        return parts if parts[0] else parts[1:]
+                found.append((ids, np.diff(cut + 1, prepend=0)))
+        found.append(self.apart(words[n:]))
+        places = np.empty(len(words), np.int64)
+        places[order] = len(self.words) + np.arange(len(words))
+        self._add(words, *map(np.concatenate, zip(*found)))
+        return places
+
+    def apart(self, words: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of words that are encoded each for itself, and the number of each."""
+        found = [e.ids for at in range(0, len(words), 4000) for e in self.tokenizer.encode_batch_fast(words[at : at + 4000].to_pylist(), add_special_tokens=False)]
+        return np.array([i for ids in found for i in ids], np.uint32), np.array([len(ids) for ids in found], np.int64)
 
     @staticmethod
     def pieces(text: str) -> Iterator[str]:
-        """The text in pieces of about PIECE characters, cut where cuts() cuts."""
+        """The text in pieces of about PIECE characters, cut at spaces before visible characters."""
         at = 0
         while len(text) - at > PIECE:
             end = text.find(" ", at + PIECE)
@@ -171,19 +180,42 @@ class Encoder:
         return np.concatenate(found), counts
 
     def _encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        cut = [self.cuts(t) for t in texts]
-        flat = [c for part in cut for c in part]
-        self.learn([c for c in dict.fromkeys(flat) if c not in self.place])
-        at = np.fromiter(map(self.place.__getitem__, flat), np.int64, len(flat))
-        self.times += np.bincount(at, minlength=len(self.times))
+        if not texts:
+            return np.empty(0, np.uint32), np.empty(0, np.int64)
+        marks = [m for m in MARKS if not any(m in t for t in texts)]
+        if len(marks) < 2:
+            whole = [np.array(self.tokenizer.encode_batch_fast([t], add_special_tokens=False)[0].ids, np.uint32) for t in texts]
+            return np.concatenate(whole), np.array([len(x) for x in whole], np.int64)
+        cut, border = marks[:2]
+        marked = [_CUT.sub(cut + " ", t) if _SPLIT.search(t) else t.replace(" ", cut + " ") for t in texts]
+        cuts = pc.split_pattern(pa.array(marked, pa.large_string()), cut)
+        coded = cuts.flatten().dictionary_encode()
+        each = coded.indices.to_numpy()
+        text = pc.binary_join(pa.ListArray.from_arrays([0, len(coded.dictionary)], coded.dictionary), pa.scalar(cut, pa.large_string()))[0].as_py()
+        if self.borders and not any(t in text for t in self.added):
+            text = _BORDER.sub(border, text)
+        parts = pc.split_pattern(pc.split_pattern(pa.array([text], pa.large_string()), cut).flatten(), border)
+        n_parts = parts.value_lengths().to_numpy().astype(np.int64)
+        coded = parts.flatten().dictionary_encode()
+        words, word = coded.dictionary, coded.indices.to_numpy()
+        at = pc.fill_null(pc.index_in(words, self.words), -1).to_numpy().astype(np.int64)
+        new = np.flatnonzero(at < 0)
+        if len(new):
+            at[new] = self.learn(words.take(pa.array(new)))
+        times = np.repeat(np.bincount(each, minlength=len(n_parts)), n_parts)
+        self.times[at] += np.bincount(word, times, len(words)).astype(np.int64)
+        # ids of the different cuts, then of all
+        at = at[word]
         starts, lengths = self.ends[at], self.ends[at + 1] - self.ends[at]
-        before = np.cumsum(lengths) - lengths
-        ids = self.ids[np.repeat(starts - before, lengths) + np.arange(int(lengths.sum()))]
+        ids = self.ids[_ranges(starts, lengths)]
+        lengths = np.add.reduceat(lengths, np.cumsum(n_parts) - n_parts)
+        starts = np.cumsum(lengths) - lengths
+        lengths = lengths[each]
+        ids = ids[_ranges(starts[each], lengths)]
         sums = np.concatenate(([0], np.cumsum(lengths)))
-        text_ends = np.cumsum([len(part) for part in cut], dtype=np.int64)
         if self.held() > REMEMBERED:
             self.trim(REMEMBERED // 2)
-        return ids, np.diff(sums[text_ends], prepend=0)
+        return ids, np.diff(sums[np.cumsum(cuts.value_lengths().to_numpy(), dtype=np.int64)], prepend=0)
 
 
 def code_lengths(counts: np.ndarray, limit: int = LIMIT) -> np.ndarray:
@@ -290,11 +322,11 @@ def _lists(batch: pa.RecordBatch, *names: str) -> Iterator[tuple]:
 def write_ids(docs: DataFrame, tokenizer_json: str, end_id: int = 0, id_col: str = "doc_id", text_col: str = "text") -> str:
     """Encode all texts, append `end_id` to each, write them in ascending id order; the folder written.
 
-    One pass encodes and keeps the ids, one counts them; the code comes from
-    these global counts (one number per id of the vocabulary reaches the
-    driver). A third pass writes the code: documents go to files of about
-    SHARD ids by ranges of their id, those of one id by ranges of their text's
-    digest where one id alone fills files. A file's rows are segments of whole
+    One pass encodes, keeps the ids and counts them in one more row of each
+    task; the code comes from the global counts (one number per id of the
+    vocabulary reaches the driver). A second pass writes the code: documents
+    go to files of about SHARD ids by ranges of their id, those of one id by
+    ranges of their text's digest where one id alone fills files. A file's rows are segments of whole
     documents in order: the number of ids of the file before it, the documents'
     ids, counts and bytes, the coded bits, and the bit offset of each block of BLOCK ids, from which it can be decoded alone.
     """
@@ -302,33 +334,32 @@ def write_ids(docs: DataFrame, tokenizer_json: str, end_id: int = 0, id_col: str
     shared = spark.sparkContext.broadcast(tokenizer_json)
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = Encoder.of(shared.value)
+        encoder, total = Encoder.of(shared.value), np.zeros(1, np.int64)
         for batch in batches:
             for part in (batch.slice(i, 1000) for i in range(0, len(batch), 1000)):
                 ids, counts = encoder.encode([t or "" for t in part.column("text").to_pylist()])
                 ends = np.cumsum(counts)
                 ids = np.insert(ids, ends, end_id).astype(np.uint32)
                 counts, ends = counts + 1, ends + np.arange(1, len(counts) + 1)
-                yield pa.RecordBatch.from_arrays(
-                    [part.column("own_id"), part.column("id"), part.column("rx"), pa.array(counts, pa.int64()),
-                     pa.array([_packed(x) for x in np.split(ids, ends[:-1])], pa.binary())], ["own_id", "id", "rx", "n", "ids"])
-        encoder.trim(KEPT)
-
-    rows = keyed(docs, id_col, text_col).select(F.col("own_id").cast("long"), "id", "rx", "text")
-    rows = staged(spark, rows.mapInArrow(encode, "own_id long, id long, rx long, n long, ids binary"), "token-ids", compression="zstd")
-
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = np.zeros(1, np.int64)
-        for batch in batches:
-            for part in (batch.slice(i, 1000) for i in range(0, len(batch), 1000)):
-                found = np.bincount(np.concatenate([np.empty(0, np.uint32), *map(_unpacked, part.column("ids").to_pylist())]).astype(np.int64))
+                found = np.bincount(ids)
                 if len(found) > len(total):
                     total = np.concatenate([total, np.zeros(len(found) - len(total), np.int64)])
                 total[: len(found)] += found
+                yield pa.RecordBatch.from_arrays(
+                    [part.column("own_id"), part.column("id"), part.column("rx"), pa.array(counts, pa.int64()),
+                     pa.array([_packed(x) for x in np.split(ids, ends[:-1])], pa.binary()), pa.nulls(len(part), seen)], names)
         at = np.flatnonzero(total)
-        yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(total[at])], ["token", "n"])
+        pairs = pa.StructArray.from_arrays([pa.array(at, pa.int64()), pa.array(total[at])], ["token", "n"])
+        yield pa.RecordBatch.from_arrays(
+            [pa.array([x], pa.int64()) for x in (None, 0, 0, 0)] + [pa.array([None], pa.binary()), pa.ListArray.from_arrays([0, len(at)], pairs)], names)
 
-    counted = rows.select("ids").mapInArrow(count, "token long, n long").groupBy("token").agg(F.sum("n").alias("n")).collect()
+    names, seen = ["own_id", "id", "rx", "n", "ids", "seen"], pa.list_(pa.struct([("token", pa.int64()), ("n", pa.int64())]))
+    rows = keyed(docs, id_col, text_col).select(F.col("own_id").cast("long"), "id", "rx", "text")
+    rows = rows.mapInArrow(encode, "own_id long, id long, rx long, n long, ids binary, seen array<struct<token: long, n: long>>")
+    rows = staged(spark, rows, "token-ids", compression="zstd")
+    counted = rows.where("n = 0").select(F.inline("seen")).groupBy("token").agg(F.sum("n").alias("n")).collect()
+    # a document has its end id at least
+    rows = rows.where("n > 0").drop("seen")
     counts = np.zeros(max([r["token"] for r in counted], default=0) + 1, np.int64)
     for r in counted:
         counts[r["token"]] = r["n"]
@@ -346,7 +377,7 @@ def write_ids(docs: DataFrame, tokenizer_json: str, end_id: int = 0, id_col: str
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = Code(lengths.value)
         for batch in batches:
-            for part in (batch.slice(i, 1000) for i in range(0, len(batch), 1000)):
+            for part in (batch.slice(i, 200) for i in range(0, len(batch), 200)):
                 docs_ids = [_unpacked(b) for b in part.column("ids").to_pylist()]
                 n = np.fromiter(map(len, docs_ids), np.int64, len(docs_ids))
                 raw, size, offsets = own.encode(np.concatenate(docs_ids), n)

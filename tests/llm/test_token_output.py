@@ -55,6 +55,36 @@ def test_cuts_change_no_id():
     assert (ids == again).all()
 
 
+def test_borders_change_no_id(monkeypatch):
+    tok, own = Tokenizer.from_file(PATH), Encoder(JSON)
+    rng = np.random.default_rng(5)
+    alphabet = [*"abzAZ", "é", "ß", "×", "ł", "я", "日", "e\u0301", "µ", "²", *"019", *"'.,-_<|>%", "'s", "'ll", "\n", "\t", "\r\n", " ", " ", "  ", "\xa0", "\x85", "\x1c", "\0", "\7", "\x7f", "😀"]
+    texts = ["".join(rng.choice(alphabet, n)) for n in rng.integers(0, 60, 3000)]
+    texts += ["x<|endoftext|>y, z.", t.MARKS, t.MARKS[1:] + " a, b", "a." + t.MARKS[2:] + "b c.", "don't, I'll. we're; 'sun's", "end. ", " . "]
+    want = [tok.encode(x, add_special_tokens=False).ids for x in texts]
+    for piece in (t.PIECE, 500):
+        monkeypatch.setattr(t, "PIECE", piece)
+        ids, counts = own.encode(texts)
+        assert [x.tolist() for x in np.split(ids, np.cumsum(counts)[:-1])] == want
+        own.forget()
+
+
+def test_a_word_goes_to_the_tokenizer_once():
+    class Counting:
+        sent = 0
+
+        def encode_batch_fast(self, texts, **options):
+            self.sent += sum(map(len, texts))
+            return tokenizer.encode_batch_fast(texts, **options)
+
+    own = Encoder(JSON)
+    tokenizer, own.tokenizer = own.tokenizer, Counting()
+    words = [f" {a}{b}{c}ward" for a in "abcdefgh" for b in "aeiou" for c in "klmnprst"]
+    for end in ("", ",", ".", ";", ":", "!", "?", ".\n-"):
+        own.encode(["".join(w + end for w in words)])
+    assert own.tokenizer.sent < 2 * sum(map(len, words))
+
+
 def test_memory_is_bounded(monkeypatch):
     monkeypatch.setattr(t, "REMEMBERED", 1 << 20)
     monkeypatch.setattr(t, "PIECE", 5000)
