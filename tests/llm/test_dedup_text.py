@@ -14,7 +14,7 @@ from roadtally.llm.seen_twice import size_for
 from roadtally.llm.substring_dedup import dedup_substrings, extend, word_units
 from roadtally.llm.suffix_dedup import dedup_suffixes, suffix_array
 
-from tests.llm.fixtures import odd_rows, sorted_rows, table
+from tests.llm.fixtures import odd_rows, sorted_rows, table, words
 
 STRIP = " \t\n\r\x0b\x0c"
 
@@ -91,6 +91,23 @@ def test_suffixes(spark, monkeypatch, hot):
     assert sorted_rows(dedup_suffixes(table(spark, rows), window=80, gram=12).drop("kept")) == plain_suffixes(rows, 80)
 
 
+def test_planted_passages_go_by_bytes_not_words(spark):
+    """Passages of over 50 words in two documents each: those of 400 bytes go, shorter ones and clean documents stay."""
+    short, edge, long = (" ".join(words(n, seed)) for n, seed in ((60, 21), (90, 22), (120, 23)))
+    assert len(short) < 399 and len(edge) > 400 and len(long) > 400
+    rows = [
+        (1, f"{' '.join(words(40, 31))} {short} {' '.join(words(40, 32))}"), (2, f"x{short}y"),
+        (3, f"a{edge[:399]}b"), (4, f"c{edge[:399]}d"), (5, f"e{edge[10:410]}f"), (6, f"g{edge[10:410]}h"),
+        (7, f"{' '.join(words(50, 33))} {long} {' '.join(words(50, 34))}"), (8, f"i{long}j"), (9, f"k{long[:450]}l{long[:450]}m"),
+        (10, " ".join(words(300, 35))), (11, " ".join(words(300, 36))),
+    ]
+    got = {r["doc_id"]: r for r in dedup_suffixes(table(spark, [(*r, "en", "a") for r in rows])).collect()}
+    assert {d: r["n_removed"] for d, r in got.items() if d not in (3, 4, 5, 6, 7)} == {
+        1: 0, 2: 0, 8: len(long), 9: 900, 10: 0, 11: 0}
+    assert all(r["n_bytes"] == len(dict(rows)[d]) for d, r in got.items())
+    assert sorted((tuple(r)[:5] for r in got.values()), key=str) == plain_suffixes(rows, 400)
+
+
 def test_long_texts_are_cut_without_loss(spark, monkeypatch):
     monkeypatch.setattr(repeats, "SEGMENT", 50)
     assert sorted_rows(dedup_substrings(table(spark), window=12, gram=4).drop("kept")) == plain_substrings(odd_rows(), 12)
